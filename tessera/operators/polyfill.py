@@ -122,29 +122,32 @@ def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cel
 # ---- compaction ------------------------------------------------------------
 
 def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
-    """Replace every complete set of descendants by its coarsest complete ancestor.
-
-    Input: distinct cells of one resolution ``res`` per key.  An ancestor at
-    level l is complete iff all 7**(res-l) of its descendants at ``res`` are
-    present; the output is the set of complete ancestors whose own parent is not
-    complete (same result as repeatedly merging 7 full siblings).  One
-    aggregation over (cell x level) plus one anti-join of the complete sets.
+    """Replace every complete set of 7 siblings by their parent, repeatedly.
+
+    Input: cells of one resolution ``res`` per key.  Level by level, finest
+    first, the still-open cells are grouped by parent: a parent with all 7
+    children present stays open one level up, otherwise its children are final.
+    Final cells pass through later levels under their own id.  One aggregation
+    per level in a linear chain (no reused sub-plans); the open set shrinks ~7x
+    per level over solid areas, and no group holds more than 7 rows.  Levels
+    that cannot merge (7**depth above the largest key's cell count) are skipped.
     """
     k = _keys(keys)
-    # the ancestor chain, one column per level, each step reusing the previous one
-    cur = df.select(*k, F.col(cell_col).alias(f"__p{res}")).distinct()
-    for lvl in range(res - 1, -1, -1):
-        cur = cur.withColumn(f"__p{lvl}", C.cell_parent(F.col(f"__p{lvl + 1}"), lvl + 1, lvl))
-    levels = F.array(*[F.struct(F.lit(lvl).alias("lvl"), F.col(f"__p{lvl}").alias("anc"),
-                                (F.col(f"__p{lvl - 1}") if lvl > 0 else F.lit(None).cast("long")).alias("par"))
-                       for lvl in range(res, -1, -1)])
-    counts = (cur.select(*k, F.explode(levels).alias("x"))
-              .groupBy(*k, "x.lvl", "x.anc", "x.par").count())
-    need = F.element_at(F.array(*[F.lit(7 ** (res - lvl)).cast("long") for lvl in range(res + 1)]),
-                        F.col("lvl") + 1)
-    full = counts.where(F.col("count") == need).select(*k, "lvl", "anc", "par")
-    parents = full.select(*k, (F.col("lvl") + 1).alias("lvl"), F.col("anc").alias("par"))
-    return full.join(parents, k + ["lvl", "par"], "left_anti").select(*k, F.col("anc").alias(cell_col))
+    state = df.select(*k, F.col(cell_col).alias("c"), F.lit(False).alias("done")).distinct()
+    # a parent l levels up needs 7**l cells under one key: the largest key bounds
+    # how many levels can merge at all (one small aggregation job)
+    biggest = state.groupBy(*k).count().agg(F.max("count")).first()[0] or 0
+    depth = 0
+    while depth < res and 7 ** (depth + 1) <= biggest:
+        depth += 1
+    for lvl in range(res - 1, res - 1 - depth, -1):
+        gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("c"), lvl + 1, lvl))
+        g = state.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list("c").alias("kids"))
+        merged = ~F.col("done") & (F.size("kids") == 7)
+        rows = F.when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done")))) \
+            .otherwise(F.transform("kids", lambda x: F.struct(x.alias("c"), F.lit(True).alias("done"))))
+        state = g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
+    return state.select(*k, F.col("c").alias(cell_col))
 
 
 def uncompact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:

@@ -39,20 +39,16 @@ def broadcast_limit(spark: SparkSession) -> int:
 
 
 class Materialised:
-    """A DataFrame written to the shared scratch folder, with its exact row count."""
+    """A DataFrame written to the shared scratch folder, with measured size."""
 
-    def __init__(self, df: DataFrame, rows: int, path: str):
+    def __init__(self, df: DataFrame, rows: int, nbytes: int, path: str):
         self.df = df
         self.rows = rows
+        self.nbytes = nbytes
         self.path = path
 
     def bytes(self) -> int:
-        """Estimated in-memory size: the larger of fixed-width rows and 4x the files."""
-        spark = self.df.sparkSession
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                 .option("recursiveFileLookup", "true").load(self.path)
-                 .agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"])
-        return max(self.rows * row_bytes(self.df), 4 * int(files))
+        return self.nbytes
 
     def for_join(self) -> DataFrame:
         """Broadcast-hinted when the measured size fits, plain otherwise (then the
@@ -63,15 +59,32 @@ class Materialised:
         return self.df
 
 
+def _measure(df: DataFrame) -> tuple[int, int]:
+    """(rows, estimated bytes) in one aggregation: fixed widths plus the real
+    element counts of top-level array columns."""
+    arrays = [f for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
+    aggs = [F.count(F.lit(1)).alias("__rows")]
+    for i, f in enumerate(arrays):
+        aggs.append(F.coalesce(F.sum(F.size(F.col(f.name))), F.lit(0)).alias(f"__a{i}"))
+    r = df.agg(*aggs).first()
+    rows = int(r["__rows"])
+    fixed = 8 + sum(_width(f.dataType) for f in df.schema.fields if not isinstance(f.dataType, T.ArrayType))
+    nbytes = rows * fixed
+    for i, f in enumerate(arrays):
+        nbytes += int(r[f"__a{i}"]) * _width(f.dataType.elementType) + rows * 16
+    return rows, nbytes
+
+
 def materialise(df: DataFrame, name: str, partition_hint: int | None = None) -> Materialised:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
-    Cuts lineage (survives executor loss) and gives an exact row count from the
-    parquet footers, which is what the broadcast decision uses.
+    Cuts lineage (survives executor loss) and measures rows and bytes with one
+    aggregation over the written files; the broadcast decision uses that.
     """
     spark = df.sparkSession
     path = scratch_dir(spark, name)
     out = df if partition_hint is None else df.repartition(partition_hint)
     out.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
-    return Materialised(back, back.count(), path)
+    rows, nbytes = _measure(back)
+    return Materialised(back, rows, nbytes, path)
