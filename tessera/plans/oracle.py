@@ -4,8 +4,8 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from tessera.plans import geo_oracle
+    from tessera.plans import geo_oracle, table_queries
     out: dict[str, str] = {}
-    for mod in (geo_oracle,):
+    for mod in (geo_oracle, table_queries):
         out.update(mod.oracles())
     return out
