@@ -56,17 +56,17 @@ def geojson_features(collections: DataFrame) -> DataFrame:
 
 def write_geojson(df: DataFrame, path: str, geom_col: str, prop_cols: list[str],
                   files: int = 1) -> None:
-    """Write features as FeatureCollection documents, one per output partition
-    (each document holds only its partition's features)."""
-    feat = df.select(F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(*[F.col(c).cast("string").alias(c) for c in prop_cols]).alias("properties"),
-        F.col(geom_col).alias("geometry")).alias("f"))
-    feat = feat.repartition(files).withColumn("__pid", F.spark_partition_id())
-    docs = feat.groupBy("__pid").agg(F.collect_list(F.to_json("f")).alias("fs"))
+    """Write a geometry column as FeatureCollection documents, one per output
+    partition (each document holds only its own partition's features)."""
+    feat = F.concat(F.lit('{"type":"Feature","properties":'),
+                    F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in prop_cols])),
+                    F.lit(',"geometry":'), G.st_as_geojson(F.col(geom_col)), F.lit("}"))
+    feats = df.select(feat.alias("f")).repartition(files).withColumn("__pid", F.spark_partition_id())
+    docs = feats.groupBy("__pid").agg(F.collect_list("f").alias("fs"))
     text = F.concat(F.lit('{"type":"FeatureCollection","features":['),
                     F.concat_ws(",", "fs"), F.lit("]}"))
-    docs.select(text.alias("value")).write.mode("overwrite").text(path)
+    # one document per file: multi-line JSON readers parse one document per file
+    docs.select(text.alias("value")).write.mode("overwrite").option("maxRecordsPerFile", 1).text(path)
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
