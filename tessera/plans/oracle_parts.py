@@ -174,3 +174,28 @@ def pip_inclusive(px: str, py: str) -> str:
     on_edge = (f"((x2 - x1) * ({py} - y1) - (y2 - y1) * ({px} - x1) = 0 AND {px} BETWEEN least(x1, x2) AND greatest(x1, x2)"
                f" AND {py} BETWEEN least(y1, y2) AND greatest(y1, y2))")
     return f"(sum(CASE WHEN {cross} THEN 1 ELSE 0 END) % 2 = 1 OR bool_or({on_edge}))"
+
+
+def utm_inverse(x: str, y: str, zone: int, south: bool = False) -> tuple[str, str]:
+    """SQL (lon, lat) of UTM coordinates: inverse transverse Mercator, Krueger series."""
+    import math
+    from tessera.functions import geometry as G
+    f = G.WGS84_F
+    n = f / (2 - f)
+    a_hat = G.WGS84_A / (1 + n) * (1 + n * n / 4 + n ** 4 / 64)
+    beta = [n / 2 - 2 * n * n / 3 + 37 * n ** 3 / 96, n * n / 48 + n ** 3 / 15, 17 * n ** 3 / 480]
+    delta = [2 * n - 2 * n * n / 3 - 2 * n ** 3, 7 * n * n / 3 - 8 * n ** 3 / 5, 56 * n ** 3 / 15]
+    fn = G.UTM_FALSE_NORTHING_SOUTH if south else 0.0
+    xi = f"(({y}) - {d(fn)}) / {d(G.UTM_K0 * a_hat)}"
+    eta = f"(({x}) - {d(G.UTM_FALSE_EASTING)}) / {d(G.UTM_K0 * a_hat)}"
+    xi_p, eta_p = xi, eta
+    for j, b in enumerate(beta, start=1):
+        xi_p = f"({xi_p} - {d(b)} * sin({xi} * {2 * j}) * cosh({eta} * {2 * j}))"
+        eta_p = f"({eta_p} - {d(b)} * cos({xi} * {2 * j}) * sinh({eta} * {2 * j}))"
+    chi = f"asin(sin({xi_p}) / cosh({eta_p}))"
+    lat = chi
+    for j, dl in enumerate(delta, start=1):
+        lat = f"({lat} + {d(dl)} * sin({chi} * {2 * j}))"
+    lon = f"({d(zone * 6.0 - 183.0)} + degrees(atan2(sinh({eta_p}), cos({xi_p}))))"
+    _ = math
+    return lon, f"degrees({lat})"

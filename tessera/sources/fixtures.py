@@ -186,3 +186,49 @@ def buildings_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(x.cast("string"), F.lit(" "), y.cast("string")) for x, y in ring]), F.lit("))"))
     return p.select(k.alias("building_id"), name.alias("name"), floors.alias("num_floors"),
                     wkt.alias("geometry"))
+
+
+# ---- raster pixels (tiles of 8 x 8 cells) ------------------------------------
+
+# ---- fixed values: tile layout of the pixel fixture ---------------------------
+TILES = 16                  # tile id = l_suppkey % 16
+TILE_COLS = 8
+TILE_ROWS = 8
+TILE_SIZE_M = 240.0         # 8 cells of 30 m
+TILE_X0 = 580000.0
+TILE_Y0 = 4500000.0
+TILE_GRID_COLS = 4          # tile_col = tile % 4, tile_row = tile / 4
+TILE_CRS = "EPSG:32618"
+SCENE = "fx"
+NODATA_LINENUMBER = 7       # near-infrared cell is NoData on line number 7
+# -------------------------------------------------------------------------------
+
+
+def pixels_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per pixel: scene, tile key, pos (row-major), extent, red, nir.
+
+    Position = row number inside the tile by the lineitem key; only the first
+    cols*rows positions of each tile are kept.  ``row_number() <= k`` lets Spark
+    keep the per-tile top-k on the map side before the shuffle, so the window
+    never gathers a whole tile's input in one task.
+    """
+    from pyspark.sql import Window
+    li = read(spark, sf_dir, "lineitem")
+    tile = (F.col("l_suppkey") % TILES).cast("int")
+    w = Window.partitionBy(tile).orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                                         "l_shipdate", "l_quantity", "l_extendedprice")
+    ranked = li.select(tile.alias("tile"), F.row_number().over(w).alias("rn"), "l_quantity", "l_linenumber")
+    top = ranked.where(F.col("rn") <= TILE_COLS * TILE_ROWS)
+    tcol = (F.col("tile") % TILE_GRID_COLS).cast("int")
+    trow = F.floor(F.col("tile") / TILE_GRID_COLS).cast("int")
+    xmin = F.lit(TILE_X0) + tcol.cast("double") * F.lit(TILE_SIZE_M)
+    ymin = F.lit(TILE_Y0) + trow.cast("double") * F.lit(TILE_SIZE_M)
+    nir = F.when(F.col("l_linenumber") == NODATA_LINENUMBER, F.lit(None).cast("double")) \
+        .otherwise(F.col("l_quantity") + (F.col("l_linenumber") * 10).cast("double"))
+    return top.select(
+        F.lit(SCENE).alias("scene"), tcol.alias("tile_col"), trow.alias("tile_row"),
+        (F.col("rn") - 1).cast("int").alias("pos"),
+        xmin.alias("xmin"), ymin.alias("ymin"),
+        (xmin + F.lit(TILE_SIZE_M)).alias("xmax"), (ymin + F.lit(TILE_SIZE_M)).alias("ymax"),
+        F.lit(TILE_CRS).alias("crs"), F.lit(TILE_COLS).alias("cols"), F.lit(TILE_ROWS).alias("rows"),
+        F.col("l_quantity").cast("double").alias("red"), nir.alias("nir"))
