@@ -27,5 +27,5 @@ def register(name: str, oracle: str = "S", flagship: bool = False):
 
 def load_all() -> dict[str, QueryFn]:
     """Import every query module so the registry is complete."""
-    from tessera.plans import geo_queries, geometry_queries, raster_queries, table_queries  # noqa: F401
+    from tessera.plans import geo_queries, geometry_queries, learn_queries, raster_queries, table_queries  # noqa: F401
     return QUERIES

@@ -232,3 +232,20 @@ def pixels_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
         (xmin + F.lit(TILE_SIZE_M)).alias("xmax"), (ymin + F.lit(TILE_SIZE_M)).alias("ymax"),
         F.lit(TILE_CRS).alias("crs"), F.lit(TILE_COLS).alias("cols"), F.lit(TILE_ROWS).alias("rows"),
         F.col("l_quantity").cast("double").alias("red"), nir.alias("nir"))
+
+
+# ---- labelled arrays (the image data set, re-aimed at the embeddings table) ----
+
+# ---- fixed values: sample layout ------------------------------------------------
+SAMPLE_ROWS = 8
+SAMPLE_COLS = 8
+NUM_CLASSES = 10
+TEST_MODULUS = 5            # test part: vec_id % 5 == 0
+# ---------------------------------------------------------------------------------
+
+
+def samples_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, embedding (64 floats = 8 x 8 x 1), label, part ('train' / 'test')."""
+    e = read(spark, sf_dir, "embeddings")
+    part = F.when(F.col("vec_id") % TEST_MODULUS == 0, F.lit("test")).otherwise(F.lit("train"))
+    return e.select("vec_id", "embedding", "label", part.alias("part"))
