@@ -135,6 +135,16 @@ def cell_from_lonlat(lon, lat, res: int) -> Column:
     return encode(res, a, b)
 
 
+def cell_key(cell) -> Column:
+    """Non-nullable join key of a cell column (null -> -1, which no cell equals).
+
+    Joining on a nullable computed key makes the optimizer infer an
+    ``isnotnull(<cell expression>)`` filter below the projection, which evaluates
+    the whole grid arithmetic twice per row; a non-nullable key avoids that.
+    """
+    return F.coalesce(_c(cell), F.lit(-1).cast("long"))
+
+
 def cell_from_ab(res: int, a: Column, b: Column) -> Column:
     return encode(res, a, b)
 

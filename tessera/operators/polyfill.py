@@ -22,6 +22,7 @@ from tessera.functions import cells as C
 from tessera.functions import geometry as G
 
 H = C.HALF_SQRT3
+CHUNK = 4096            # most cell centres exploded from one row span by one task
 
 
 def _keys(keys) -> list[str]:
@@ -71,7 +72,16 @@ def polyfill(df: DataFrame, geom_col: str, res: int, keys, first_part_only: bool
         .alias("s"))
     a_lo = F.floor(F.col("s.c0") - half)
     a_hi = F.ceil(F.col("s.c1") - half)
-    cand = spans.select(*k, "b", "s.c0", "s.c1", F.explode(F.sequence(a_lo, a_hi)).alias("a"))
+    # split long spans into chunks of at most CHUNK centres and spread them
+    # round-robin, so one huge polygon's cells are exploded by many tasks
+    chunks = spans.select(*k, "b", "s.c0", "s.c1", a_lo.alias("a_lo"), a_hi.alias("a_hi")) \
+        .select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("a_hi") - F.col("a_lo")) / CHUNK)))
+                .alias("ch"))
+    start = F.col("a_lo") + F.col("ch") * CHUNK
+    stop = F.least(F.col("a_hi"), start + (CHUNK - 1))
+    chunks = chunks.select(*k, "b", "c0", "c1", start.alias("a0"), stop.alias("a1")) \
+        .repartition(df.sparkSession.sparkContext.defaultParallelism)
+    cand = chunks.select(*k, "b", "c0", "c1", F.explode(F.sequence("a0", "a1")).alias("a"))
     uc = F.col("a").cast("double") + half
     inside = (F.col("c0") <= uc) & (uc < F.col("c1"))
     return cand.where(inside).select(*k, C.cell_from_ab(res, F.col("a"), F.col("b")).alias(cell_col))

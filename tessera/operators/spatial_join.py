@@ -49,7 +49,7 @@ def pip_join(points: DataFrame, lon: str, lat: str, zones: DataFrame, geom_col:
     (boundary inclusive).  Output: point columns + key + zone_cols."""
     zone_cols = zone_cols or []
     cover, edges = zone_cover(zones, geom_col, key, res)
-    pts = points.withColumn("__cell", C.cell_from_lonlat(F.col(lon), F.col(lat), res))
+    pts = points.withColumn("__cell", C.cell_key(C.cell_from_lonlat(F.col(lon), F.col(lat), res)))
     cov = cover.for_join().withColumnRenamed("cell", "__cell")
     cand = pts.join(cov, "__cell")
     cand = cand.join(edges.for_join(), key)

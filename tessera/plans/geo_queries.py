@@ -69,8 +69,8 @@ def q_airport_trips(spark, sf):
     ap = materialise(airports_cells(spark, sf), "airports_h3").for_join()
     src = ap.select(F.col("locationid").alias("src_loc"), F.col("cell").alias("src_cell"))
     trg = ap.select(F.col("locationid").alias("trg_loc"), F.col("cell").alias("trg_cell"))
-    j = (t.join(src, t.pickup_cell == src.src_cell)
-         .join(trg, t.dropoff_cell == trg.trg_cell)
+    j = (t.join(src, C.cell_key(t.pickup_cell) == src.src_cell)
+         .join(trg, C.cell_key(t.dropoff_cell) == trg.trg_cell)
          .where(F.col("src_loc") != F.col("trg_loc")))
     return j.agg(F.count(F.lit(1)).alias("num_trips"),
                  F.sum("passenger_count").cast("long").alias("num_passengers"),
@@ -160,8 +160,8 @@ def q_join_cell_zone(spark, sf):
     t = FX.trips_fx(spark, sf)
     pts = t.select("trip_id", "pickup_longitude", "pickup_latitude",
                    F.date_format("pickup_datetime", TS_FMT).alias("pickup_datetime"),
-                   C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"),
-                                      RES_ZONE_JOIN).alias("h3index"))
+                   C.cell_key(C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"),
+                                                 RES_ZONE_JOIN)).alias("h3index"))
     z = zones_geom(spark, sf)
     zc = P.polyfill(z, "geom", RES_ZONE_JOIN, "location_id", cell_col="h3index") \
         .join(F.broadcast(z.select("location_id", "zone", "borough")), "location_id")
