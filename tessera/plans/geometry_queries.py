@@ -150,6 +150,30 @@ def q_st_centroid(spark, sf):
                     F.round(G.st_area("geom") * F.lit(1e4), 6).alias("area_e4"))
 
 
+@register("sql_functions", oracle="S")
+def q_sql_functions(spark, sf):
+    """The SQL names (st_*, h3_longlatash3, ...) used from a SQL statement."""
+    from tessera.functions.sqlfuncs import register_sql_functions
+    import uuid
+    register_sql_functions(spark)
+    tv, zv = f"trips_{uuid.uuid4().hex[:8]}", f"zones_{uuid.uuid4().hex[:8]}"
+    FX.trips_fx(spark, sf).createOrReplaceTempView(tv)
+    FX.zones_fx(spark, sf).createOrReplaceTempView(zv)
+    return spark.sql(f"""
+        SELECT t.trip_id,
+               h3_longlatash3(t.pickup_longitude, t.pickup_latitude, 12) AS pickup_cell,
+               geo_to_cell(t.pickup_latitude, t.pickup_longitude, 7) AS pickup_r7,
+               cell_resolution(h3_longlatash3(t.pickup_longitude, t.pickup_latitude, 9)) AS res,
+               st_intersects_point(z.g, t.pickup_longitude, t.pickup_latitude) AS inside,
+               z.gtype, z.npoints, z.area_e4
+        FROM {tv} t
+        JOIN (SELECT location_id, g, st_geometrytype(g) AS gtype,
+                     st_npoints(st_geomfromwkt(st_astext(g))) AS npoints,
+                     round(st_area(g) * 1e4D, 6) AS area_e4
+              FROM (SELECT location_id, st_geomfromwkt(the_geom) AS g FROM {zv})) z
+          ON z.location_id = t.trip_id % 25""")
+
+
 # ---- oracle SQL -----------------------------------------------------------------
 
 def oracles() -> dict[str, str]:
@@ -218,4 +242,22 @@ tot AS (
 )
 SELECT location_id, round(cx / (a2 * 3), 6) AS cx, round(cy / (a2 * 3), 6) AS cy,
        round(a2 / 2 * {O.d(1e4)}, 6) AS area_e4 FROM tot"""
+    q["sql_functions"] = f"""WITH {O.trips_cte()},
+{zc},
+npts AS (SELECT location_id, count(*) AS npoints FROM zone_vtx GROUP BY location_id),
+areas AS (
+  SELECT location_id, sum(CASE WHEN kind = 1 THEN -1 ELSE 1 END * abs(a2)) / 2 AS area
+  FROM (SELECT location_id, kind, sum(x1 * y2 - x2 * y1) AS a2 FROM zone_edges GROUP BY location_id, kind) r
+  GROUP BY location_id
+),
+pip AS (
+  SELECT t.trip_id, {O.pip_inclusive('t.pickup_longitude', 't.pickup_latitude')} AS inside
+  FROM trips t JOIN zone_edges e ON e.location_id = t.trip_id % 25
+  GROUP BY t.trip_id, t.pickup_longitude, t.pickup_latitude
+)
+SELECT t.trip_id, {O.cell('t.pickup_longitude', 't.pickup_latitude', 12)} AS pickup_cell,
+       {O.cell('t.pickup_longitude', 't.pickup_latitude', 7)} AS pickup_r7, 9 AS res, p.inside,
+       {gtype.replace('location_id', 'n.location_id')} AS gtype, n.npoints, round(a.area * {O.d(1e4)}, 6) AS area_e4
+FROM trips t JOIN pip p USING (trip_id) JOIN npts n ON n.location_id = t.trip_id % 25
+JOIN areas a ON a.location_id = n.location_id"""
     return q
