@@ -235,6 +235,26 @@ def q_select_star_derived(spark, sf):
                     F.round(G.st_area("geometry") * F.lit(1e8), 3).alias("area_e8"))
 
 
+@register("scan_shapefile", oracle="S")
+def q_scan_shapefile(spark, sf):
+    """Buildings written as shapefiles (one triple per partition), read back by
+    record ranges: WKT geometry + text attributes."""
+    from tessera.sources import shapefile as SH
+    b = FX.buildings_fx(spark, sf).withColumn("g", G.st_geom_from_wkt("geometry"))
+    rings = F.transform(F.col("g.polys")[0], lambda r: F.reverse(r))   # outer ring clockwise
+    path = scratch_dir(spark, "buildings_shp")
+    SH.write_shapefiles(b.select(rings.alias("rings"), F.col("building_id").cast("string").alias("bid"),
+                                 "name", "num_floors").repartition(4),
+                        path, "rings", ["bid", "name", "num_floors"],
+                        {"bid": 12, "name": 64, "num_floors": 8})
+    SH.register(spark)
+    shp = spark.read.format("shapefile").option("recordsPerPartition", "300").load(path)
+    g = G.st_geom_from_wkt("geometry")
+    return shp.select(F.col("bid").cast("long").alias("building_id"), "name", "num_floors",
+                      G.st_num_points(g).alias("num_points"),
+                      F.round(G.st_area(g) * F.lit(1e8), 3).alias("area_e8"))
+
+
 @register("count_rows", oracle="S")
 def q_count_rows(spark, sf):
     return FX.trips_fx(spark, sf).agg(F.count(F.lit(1)).alias("count"))
@@ -322,5 +342,8 @@ ORDER BY num_floors DESC NULLS LAST, building_id LIMIT 5"""
 SELECT building_id, name, num_floors, 'POLYGON' AS gtype, 5 AS num_points,
        round({O.d(0.0005)} * {O.d(0.0005)} * {O.d(1e8)}, 3) AS area_e8
 FROM buildings"""
+    q["scan_shapefile"] = f"""WITH {bld}
+SELECT building_id, coalesce(name, '') AS name, num_floors, 5 AS num_points,
+       round({O.d(0.0005)} * {O.d(0.0005)} * {O.d(1e8)}, 3) AS area_e8 FROM buildings"""
     q["count_rows"] = f"WITH {O.trips_cte()}\nSELECT count(*) AS count FROM trips"
     return q

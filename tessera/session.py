@@ -64,3 +64,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``tessera`` importable in executor Python workers (once per session).
+
+    Needed where Python code runs on executors by reference (the shapefile data
+    source, the shapefile writer); zips the package on the driver and hands it to
+    ``SparkContext.addPyFile``, which distributes it with the job.
+    """
+    import zipfile
+    sc = spark.sparkContext
+    if spark.conf.get("tessera.shipped", "false") == "true":
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="tessera-pkg-"), "tessera.zip")
+    with zipfile.ZipFile(out, "w") as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    spark.conf.set("tessera.shipped", "true")
