@@ -254,6 +254,18 @@ def cell_children(cell, parent_res: int) -> Column:
     return F.array(*[encode(parent_res + 1, *child_ab(a, b, parent_res, k)) for k in range(7)])
 
 
+def disk_offsets(k: int) -> list[tuple[int, int]]:
+    """Lattice offsets (da, db) within hex distance k (1, 7, 19, ... cells)."""
+    return [(da, db) for da in range(-k, k + 1) for db in range(-k, k + 1)
+            if max(abs(da), abs(db), abs(da + db)) <= k]
+
+
+def cell_disk(cell, res: int, k: int) -> Column:
+    """array<bigint> of every cell within k steps of a cell of resolution ``res``."""
+    a, b = cell_a(cell), cell_b(cell)
+    return F.array(*[encode(res, a + F.lit(da), b + F.lit(db)) for da, db in disk_offsets(k)])
+
+
 def cell_neighbours(cell, res: int, include_self: bool = True) -> Column:
     """array<bigint> of the ring-1 neighbourhood of a cell of resolution ``res``."""
     a, b = cell_a(cell), cell_b(cell)

@@ -256,6 +256,37 @@ def point_in_edges(px, py, edges, inclusive: bool = True) -> Column:
     return ~res["edge"] & res["inside"]
 
 
+def _orient(ax, ay, bx, by, cx, cy) -> Column:
+    return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+
+
+def on_any_edge(px, py, edges) -> Column:
+    """True when (px, py) lies on one of the edges."""
+    px, py = _c(px), _c(py)
+    return F.exists(_c(edges), lambda e: (_orient(e["x1"], e["y1"], e["x2"], e["y2"], px, py) == 0)
+                    & (px >= F.least(e["x1"], e["x2"])) & (px <= F.greatest(e["x1"], e["x2"]))
+                    & (py >= F.least(e["y1"], e["y2"])) & (py <= F.greatest(e["y1"], e["y2"])))
+
+
+def segment_crossing_parity(px, py, rx, ry, edges) -> Column:
+    """Parity of the edges crossed by the segment p -> r.
+
+    Vertices exactly on the line p-r count as lying on its positive side (a
+    consistent perturbation), so an edge chain passing through a vertex on the
+    segment is counted once.  Valid when neither p nor r lies on an edge.
+    """
+    px, py, rx, ry = _c(px), _c(py), _c(rx), _c(ry)
+
+    def cross(e):
+        sa = _orient(px, py, rx, ry, e["x1"], e["y1"]) >= 0
+        sb = _orient(px, py, rx, ry, e["x2"], e["y2"]) >= 0
+        tp = _orient(e["x1"], e["y1"], e["x2"], e["y2"], px, py)
+        tr = _orient(e["x1"], e["y1"], e["x2"], e["y2"], rx, ry)
+        return (sa != sb) & (((tp > 0) & (tr < 0)) | ((tp < 0) & (tr > 0)))
+
+    return F.aggregate(_c(edges), F.lit(False), lambda acc, e: acc != cross(e))
+
+
 def st_intersects_point(geom, px, py) -> Column:
     """True when point (px, py) lies in the polygonal geometry or on its boundary."""
     g = _c(geom)

@@ -94,39 +94,66 @@ def polyfill_wkt(df: DataFrame, wkt_col: str, res: int, keys, first_part_only: b
     return polyfill(g, "__g", res, keys, first_part_only, cell_col)
 
 
-def boundary_cells(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cell") -> DataFrame:
-    """Cells that may meet the boundary: cells of points sampled along every edge
-    (step <= 1/4 centre spacing in the plane) plus their ring-1 neighbours.
-
-    Every point of the boundary lies in one of these cells, so together with the
-    centre fill they cover the polygon.
-    """
+def _edge_samples(df: DataFrame, geom_col: str, res: int, keys) -> DataFrame:
+    """keys..., eid, x1, y1, x2, y2, c0: cells of points sampled along every edge
+    with a step of at most 1/4 of the centre spacing (in the plane)."""
     k = _keys(keys)
-    e = geometry_edges(df, geom_col, k)
+    g = F.col(geom_col)
+    e = (df.select(*k, F.posexplode(G.st_edges(g)).alias("eid", "e"))
+         .select(*k, "eid", "e.x1", "e.y1", "e.x2", "e.y2"))
     u1, v1 = C.lattice_uv(F.col("x1"), F.col("y1"), res)
     u2, v2 = C.lattice_uv(F.col("x2"), F.col("y2"), res)
     n = (F.ceil(F.sqrt((u2 - u1) * (u2 - u1) + (v2 - v1) * (v2 - v1)) / F.lit(0.25)) + 1).cast("int")
-    pts = e.select(*k, "x1", "y1", "x2", "y2",
+    pts = e.select(*k, "eid", "x1", "y1", "x2", "y2",
                    F.explode(F.sequence(F.lit(0), n)).alias("i"), n.alias("n"))
     t = F.col("i").cast("double") / F.col("n").cast("double")
     px = F.col("x1") + (F.col("x2") - F.col("x1")) * t
     py = F.col("y1") + (F.col("y2") - F.col("y1")) * t
-    sample = pts.select(*k, C.cell_from_lonlat(px, py, res).alias("c0")).distinct()
+    return pts.select(*k, "eid", "x1", "y1", "x2", "y2", C.cell_from_lonlat(px, py, res).alias("c0")).distinct()
+
+
+def boundary_cells(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cell") -> DataFrame:
+    """Cells that may meet the boundary: cells of points sampled along every edge
+    (step <= 1/4 centre spacing in the plane) plus their ring-1 neighbours.
+
+    Every point of the boundary lies in one of these cells, so together with the
+    centre fill they cover the polygon.
+    """
+    k = _keys(keys)
+    sample = _edge_samples(df, geom_col, res, k).select(*k, "c0").distinct()
     return sample.select(*k, F.explode(C.cell_neighbours(F.col("c0"), res)).alias(cell_col)).distinct()
 
 
-def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cell") -> DataFrame:
+def edges_near_cells(df: DataFrame, geom_col: str, res: int, keys, ring: int = 2,
+                     cell_col: str = "cell") -> DataFrame:
+    """keys..., cell, eid, x1, y1, x2, y2: every edge assigned to the cells within
+    ``ring`` steps of its sample cells -- a superset of the edges that pass
+    through (or within a cell of) each cell.  Work is proportional to the
+    boundary length, never to cells x edges."""
+    k = _keys(keys)
+    s = _edge_samples(df, geom_col, res, k)
+    return (s.select(*k, "eid", "x1", "y1", "x2", "y2",
+                     F.explode(C.cell_disk(F.col("c0"), res, ring)).alias(cell_col))
+            .distinct())
+
+
+def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cell",
+              with_centre: bool = False) -> DataFrame:
     """keys..., cell, core: a cover of each polygon by cells of resolution ``res``.
 
     ``core`` cells lie wholly inside (no boundary point in them), so a point in a
     core cell is inside without an exact test; other cells need the exact test.
+    ``with_centre`` adds ``centre_in`` (the cell centre is inside, lattice frame).
     """
     k = _keys(keys)
     fill = polyfill(df, geom_col, res, k, cell_col=cell_col).withColumn("__in", F.lit(True))
     edge = boundary_cells(df, geom_col, res, k, cell_col).withColumn("__edge", F.lit(True))
     both = fill.join(edge, k + [cell_col], "full_outer")
-    return both.select(*k, cell_col,
-                       (F.coalesce(F.col("__in"), F.lit(False)) & F.col("__edge").isNull()).alias("core"))
+    inside = F.coalesce(F.col("__in"), F.lit(False))
+    cols = [*k, cell_col, (inside & F.col("__edge").isNull()).alias("core")]
+    if with_centre:
+        cols.append(inside.alias("centre_in"))
+    return both.select(*cols)
 
 
 # ---- compaction ------------------------------------------------------------

@@ -43,47 +43,122 @@ def zone_cover(zones: DataFrame, geom_col: str, key: str, res: int):
     return cover, edges
 
 
+# sliver margin (plane km) added to the bound on how far a lon/lat-straight edge
+# bends away from the plane-straight edge the centre fill used
+SLIVER_MARGIN_KM = 1e-6
+
+
+def _sliver_ambiguous(cx: Column, cy: Column, edges: Column) -> Column:
+    """True when the centre lies so close to an edge that the centre fill's
+    inside/outside status (plane-straight edges) may differ from the exact
+    lon/lat status: distance <= KY * max|sin(lat)| * dlat^2 / 8 + margin."""
+    X, Y = C.plane_xy(cx, cy)
+
+    def near(e):
+        x1, y1 = C.plane_xy(e["x1"], e["y1"])
+        x2, y2 = C.plane_xy(e["x2"], e["y2"])
+        dx, dy = x2 - x1, y2 - y1
+        l2 = dx * dx + dy * dy
+        t = F.when(l2 > 0, F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((X - x1) * dx + (Y - y1) * dy) / l2))) \
+            .otherwise(F.lit(0.0))
+        qx, qy = x1 + t * dx, y1 + t * dy
+        dist = F.sqrt((X - qx) * (X - qx) + (Y - qy) * (Y - qy))
+        dphi = (e["y2"] - e["y1"]) * F.lit(C.D2R)
+        bend = F.lit(C.KY) * F.greatest(F.abs(F.sin(e["y1"] * F.lit(C.D2R))), F.abs(F.sin(e["y2"] * F.lit(C.D2R)))) \
+            * dphi * dphi / 8.0
+        return dist <= bend + F.lit(SLIVER_MARGIN_KM)
+
+    return F.exists(edges, near)
+
+
+MODE_CORE, MODE_LOCAL, MODE_FULL = 0, 1, 2
+
+
+def zone_lookup(zones: DataFrame, geom_col: str, key: str, res: int, attr_cols: list[str],
+                order_col: str):
+    """Per cell, the zones that may contain a point of the cell, sorted by
+    ``order_col``: ``cell -> cands array<struct<order, key, attrs..., mode,
+    centre_in, cx, cy, edges>>``.
+
+    * mode 0 (core): the cell lies inside the zone, no test needed;
+    * mode 1 (local): boundary cell; ``edges`` holds only the zone edges near the
+      cell, and a point's status is the centre's status flipped by the parity of
+      edges crossed on the way to the centre;
+    * mode 2 (full): the centre lies within the bending sliver of an edge (rare);
+      ``edges`` holds all the zone's edges and the full even-odd test runs.
+
+    Built once per zone table with joins and aggregations whose groups are
+    bounded by local boundary complexity; materialised and size-checked.
+    """
+    cover = P.polycover(zones, geom_col, res, key, with_centre=True)
+    near = P.edges_near_cells(zones, geom_col, res, key)
+    bnd = (cover.where(~F.col("core")).select(key, "cell", "centre_in")
+           .join(near, [key, "cell"])
+           .groupBy(key, "cell", "centre_in")
+           .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")))
+    ctr = C.cell_centre(F.col("cell"))
+    bnd = materialise(bnd.select(key, "cell", "centre_in", ctr["lon"].alias("cx"), ctr["lat"].alias("cy"),
+                                 "edges"), "zone_boundary").df
+    amb = _sliver_ambiguous(F.col("cx"), F.col("cy"), F.col("edges"))
+    local = bnd.where(~amb).withColumn("mode", F.lit(MODE_LOCAL))
+    full_edges = zones.select(key, G.st_edges(F.col(geom_col)).alias("full"))
+    full = (bnd.where(amb).join(full_edges, key)
+            .select(key, "cell", "centre_in", "cx", "cy", F.col("full").alias("edges"))
+            .withColumn("mode", F.lit(MODE_FULL)))
+    core = cover.where(F.col("core")).select(
+        key, "cell", F.lit(True).alias("centre_in"), F.lit(None).cast("double").alias("cx"),
+        F.lit(None).cast("double").alias("cy"), F.array().cast(G.EDGE_TYPE).alias("edges"),
+        F.lit(MODE_CORE).alias("mode"))
+    cols = [key, "cell", "centre_in", "cx", "cy", "edges", "mode"]
+    entries = core.select(*cols).unionByName(local.select(*cols)).unionByName(full.select(*cols))
+    attrs = zones.select(key, F.col(order_col).alias("__order"), *attr_cols)
+    entries = entries.join(F.broadcast(attrs), key)
+    cand = F.struct(F.col("__order").alias("order"), F.col(key).alias("key"), *[F.col(c) for c in attr_cols],
+                    "mode", "centre_in", "cx", "cy", "edges")
+    table = entries.groupBy("cell").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
+    return materialise(table, "zone_lookup")
+
+
+def _hit(c: Column, px: Column, py: Column) -> Column:
+    local = (c["mode"] == MODE_LOCAL) & (
+        G.on_any_edge(px, py, c["edges"])
+        | (c["centre_in"] != G.segment_crossing_parity(px, py, c["cx"], c["cy"], c["edges"])))
+    full = (c["mode"] == MODE_FULL) & G.point_in_edges(px, py, c["edges"], inclusive=True)
+    return (c["mode"] == MODE_CORE) | local | full
+
+
+def _lookup_join(points: DataFrame, lon: str, lat: str, lookup, res: int) -> DataFrame:
+    pts = points.withColumn("__cell", C.cell_key(C.cell_from_lonlat(F.col(lon), F.col(lat), res)))
+    tab = lookup.for_join().withColumnRenamed("cell", "__cell")
+    return pts.join(tab, "__cell", "left")
+
+
 def pip_join(points: DataFrame, lon: str, lat: str, zones: DataFrame, geom_col: str, key: str,
              res: int = 9, zone_cols: list[str] | None = None) -> DataFrame:
     """All (point, zone) pairs where the zone polygon intersects the point
-    (boundary inclusive).  Output: point columns + key + zone_cols."""
+    (boundary inclusive).  One broadcast lookup per point, no shuffle of points:
+    output = point columns + key + zone_cols."""
     zone_cols = zone_cols or []
-    cover, edges = zone_cover(zones, geom_col, key, res)
-    pts = points.withColumn("__cell", C.cell_key(C.cell_from_lonlat(F.col(lon), F.col(lat), res)))
-    cov = cover.for_join().withColumnRenamed("cell", "__cell")
-    cand = pts.join(cov, "__cell")
-    cand = cand.join(edges.for_join(), key)
-    hit = F.col("core") | G.point_in_edges(F.col(lon), F.col(lat), F.col("edges"), inclusive=True)
-    out = cand.where(hit).drop("__cell", "core", "edges")
-    if zone_cols:
-        attrs = materialise(zones.select(key, *zone_cols), "zone_attrs").for_join()
-        out = out.join(attrs, key)
-    return out
+    lookup = zone_lookup(zones, geom_col, key, res, zone_cols, key)
+    j = _lookup_join(points, lon, lat, lookup, res)
+    px, py = F.col(lon), F.col(lat)
+    hits = F.filter("cands", lambda c: _hit(c, px, py))
+    out = j.select(*points.columns, F.explode(hits).alias("__z"))
+    return out.select(*points.columns, F.col("__z.key").alias(key), *[F.col(f"__z.{c}").alias(c) for c in zone_cols])
 
 
 def pip_first_match(points: DataFrame, id_col: str, lon: str, lat: str, zones: DataFrame,
                     geom_col: str, key: str, order_col: str, value_col: str, out_col: str,
                     res: int = 9) -> DataFrame:
-    """Points with ``out_col`` = value of the first matching zone by ``order_col``.
+    """Points with ``out_col`` = value of the first zone by ``order_col`` that
+    contains the point and has a non-null value; null when none.
 
-    One left join against the broadcast cover keeps every point; the exact test
-    runs only in boundary cells; one aggregation per point id picks the first
-    non-null value (``min_by`` on the order, deterministic).
-    """
-    cover, edges = zone_cover(zones.where(F.col(value_col).isNotNull()), geom_col, key, res)
-    attrs = materialise(zones.where(F.col(value_col).isNotNull())
-                        .select(key, order_col, value_col), "zone_attrs").for_join()
-    pts = points.withColumn("__cell", C.cell_from_lonlat(F.col(lon), F.col(lat), res))
-    cov = cover.for_join().withColumnRenamed("cell", "__cell")
-    cand = (pts.join(cov, "__cell", "left")
-            .join(edges.for_join(), key, "left")
-            .join(attrs, key, "left"))
-    hit = F.col(key).isNotNull() & (
-        F.col("core") | G.point_in_edges(F.col(lon), F.col(lat), F.col("edges"), inclusive=True))
-    point_cols = [c for c in points.columns if c != id_col]
-    scored = cand.select(id_col, *point_cols,
-                         F.when(hit, F.col(value_col)).alias("__v"),
-                         F.when(hit, F.col(order_col)).alias("__o"))
-    agg = [F.any_value(c).alias(c) for c in point_cols]
-    agg.append(F.min_by("__v", "__o").alias(out_col))
-    return scored.groupBy(id_col).agg(*agg)
+    Candidates of a cell are pre-sorted by the order, so the answer is the first
+    candidate passing its test: a per-row expression after one broadcast
+    lookup -- no shuffle of the points, no aggregation."""
+    z = zones.where(F.col(value_col).isNotNull())
+    lookup = zone_lookup(z, geom_col, key, res, [value_col], order_col)
+    j = _lookup_join(points, lon, lat, lookup, res)
+    px, py = F.col(lon), F.col(lat)
+    first = F.get(F.filter("cands", lambda c: _hit(c, px, py)), 0)
+    return j.select(*points.columns, first[value_col].alias(out_col))
