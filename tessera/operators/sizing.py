@@ -54,7 +54,7 @@ class Materialised:
         """Broadcast-hinted when the measured size fits, plain otherwise (then the
         planner uses a shuffle join and AQE splits skewed keys)."""
         spark = self.df.sparkSession
-        if self.bytes() <= broadcast_limit(spark):
+        if 0 <= self.bytes() <= broadcast_limit(spark):
             return F.broadcast(self.df)
         return self.df
 
@@ -75,7 +75,8 @@ def _measure(df: DataFrame) -> tuple[int, int]:
     return rows, nbytes
 
 
-def materialise(df: DataFrame, name: str, partition_hint: int | None = None) -> Materialised:
+def materialise(df: DataFrame, name: str, partition_hint: int | None = None,
+                measure: bool = True) -> Materialised:
     """Write ``df`` as parquet under the shared checkpoint folder and read it back.
 
     Cuts lineage (survives executor loss) and measures rows and bytes with one
@@ -86,5 +87,7 @@ def materialise(df: DataFrame, name: str, partition_hint: int | None = None) ->
     out = df if partition_hint is None else df.repartition(partition_hint)
     out.write.mode("overwrite").parquet(path)
     back = spark.read.parquet(path)
+    if not measure:               # intermediate that is never broadcast
+        return Materialised(back, -1, -1, path)
     rows, nbytes = _measure(back)
     return Materialised(back, rows, nbytes, path)

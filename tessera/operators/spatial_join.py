@@ -98,7 +98,7 @@ def zone_lookup(zones: DataFrame, geom_col: str, key: str, res: int, attr_cols:
            .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")))
     ctr = C.cell_centre(F.col("cell"))
     bnd = materialise(bnd.select(key, "cell", "centre_in", ctr["lon"].alias("cx"), ctr["lat"].alias("cy"),
-                                 "edges"), "zone_boundary").df
+                                 "edges"), "zone_boundary", measure=False).df
     amb = _sliver_ambiguous(F.col("cx"), F.col("cy"), F.col("edges"))
     local = bnd.where(~amb).withColumn("mode", F.lit(MODE_LOCAL))
     full_edges = zones.select(key, G.st_edges(F.col(geom_col)).alias("full"))
