@@ -1,7 +1,7 @@
 """Raw trip files (all-text columns, several header vintages) -> typed trip tables.
 
 One ``select`` per vintage: headers are trimmed and lower-cased, mapped to the
-clean names through an alias list, cast with ``try_cast`` / ``try_to_timestamp``
+clean names through an alias list, cast with ``try_cast`` / guarded ``to_timestamp_ntz``
 (bad values become null under ANSI mode instead of failing the job), and put
 in the reference's column order.  Vintages are combined with
 ``unionByName(allowMissingColumns=True)``.
@@ -42,7 +42,7 @@ YELLOW_ALIASES = {
     "tolls_amt": "tolls_amount", "total_amt": "total_amount",
 }
 COLUMN_TYPES = {
-    "vendor_id": "string", "pickup_datetime": "timestamp", "dropoff_datetime": "timestamp",
+    "vendor_id": "string", "pickup_datetime": "timestamp_ntz", "dropoff_datetime": "timestamp_ntz",
     "store_and_forward": "string", "rate_code_id": "string", "pickup_longitude": "double",
     "pickup_latitude": "double", "dropoff_longitude": "double", "dropoff_latitude": "double",
     "passenger_count": "int", "trip_distance": "double", "fare_amount": "double",
@@ -70,10 +70,15 @@ def cast_numeric(c: Column, to: str) -> Column:
 
 
 def normalise_datetime(c: Column, as_string: bool = False, fmt: str = DATETIME_FORMAT) -> Column:
-    """Parse text timestamps; bad text gives null.  ``as_string`` keeps the
-    reference's text form (``from_unixtime(unix_timestamp(c))``)."""
-    ts = F.try_to_timestamp(F.trim(c), F.lit(fmt))
-    return F.date_format(ts, fmt) if as_string else ts
+    """Parse text wall-clock times to TIMESTAMP_NTZ; bad text gives null.
+
+    Trip times carry no zone, so they stay wall-clock values and never pass
+    through the session time zone (no shift inside daylight-saving gaps).
+    ``as_string`` keeps the reference's text form."""
+    t = F.trim(c)
+    ok = F.try_to_timestamp(t, F.lit(fmt)).isNotNull()
+    ts = F.when(ok, F.to_timestamp_ntz(t, F.lit(fmt)))
+    return ts.cast("string") if as_string else ts
 
 
 def clean_trips(raw: DataFrame, aliases: dict[str, str], columns: list[str],
@@ -87,7 +92,7 @@ def clean_trips(raw: DataFrame, aliases: dict[str, str], columns: list[str],
             continue
         typ = COLUMN_TYPES[name]
         c = F.col(name)
-        if typ == "timestamp":
+        if typ == "timestamp_ntz":
             out.append(normalise_datetime(c, as_string).alias(name))
         elif typ == "string":
             out.append(c.alias(name))

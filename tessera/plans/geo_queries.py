@@ -159,7 +159,7 @@ def q_join_cell_zone(spark, sf):
     """Pickups joined to zones through resolution-7 cells (approximate join)."""
     t = FX.trips_fx(spark, sf)
     pts = t.select("trip_id", "pickup_longitude", "pickup_latitude",
-                   F.date_format("pickup_datetime", TS_FMT).alias("pickup_datetime"),
+                   F.col("pickup_datetime").cast("string").alias("pickup_datetime"),
                    C.cell_key(C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"),
                                                  RES_ZONE_JOIN)).alias("h3index"))
     z = zones_geom(spark, sf)
@@ -189,7 +189,7 @@ def q_pip_join(spark, sf):
 def q_pip_first_match(spark, sf):
     """find_borough(lat, lng) over every trip: first zone by order, null if none."""
     t = FX.trips_fx(spark, sf).select(
-        "trip_id", F.date_format("pickup_datetime", TS_FMT).alias("pickup_datetime"),
+        "trip_id", F.col("pickup_datetime").cast("string").alias("pickup_datetime"),
         "pickup_latitude", "pickup_longitude")
     z = zones_geom(spark, sf)
     return J.pip_first_match(t, "trip_id", "pickup_longitude", "pickup_latitude", z, "geom",

@@ -49,7 +49,9 @@ def trips_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     to_a = (k % 16 == 0)                  # A -> B
     a_lon, a_lat = _coord(k, AIRPORT_A[0]), _coord(k, AIRPORT_A[1])
     b_lon, b_lat = _coord(k, AIRPORT_B[0]), _coord(k, AIRPORT_B[1])
-    pickup = F.to_timestamp(F.col("o_orderdate")) + F.make_dt_interval(
+    # o_orderdate is a wall-clock timestamp (TIMESTAMP_NTZ): keep it so, so the
+    # trip times do not depend on the session time zone
+    pickup = F.col("o_orderdate").cast("timestamp_ntz") + F.make_dt_interval(
         F.lit(0), F.lit(0), (k * 37 % 1440).cast("int"))
     return o.select(
         k.alias("trip_id"),
@@ -127,12 +129,11 @@ def _raw_values(t: DataFrame) -> DataFrame:
     k = F.col("trip_id")
     pax = (F.when(k % 97 == 0, F.lit("x")).when(k % 101 == 0, F.lit(""))
            .otherwise(F.col("passenger_count").cast("string")))
-    pick = F.when(k % 103 == 0, F.lit("bad")).otherwise(
-        F.date_format("pickup_datetime", "yyyy-MM-dd HH:mm:ss"))
+    pick = F.when(k % 103 == 0, F.lit("bad")).otherwise(F.col("pickup_datetime").cast("string"))
     fare = F.col("fare_amount")
     return t.select(
         k, F.col("vendor_id").alias("v_vendor"), pick.alias("v_pick"),
-        F.date_format("dropoff_datetime", "yyyy-MM-dd HH:mm:ss").alias("v_drop"),
+        F.col("dropoff_datetime").cast("string").alias("v_drop"),
         F.when(k % 5 == 0, F.lit("Y")).otherwise(F.lit("N")).alias("v_flag"),
         (F.lit(1) + k % 3).cast("string").alias("v_rate"),
         F.col("pickup_longitude").cast("string").alias("v_plon"),
