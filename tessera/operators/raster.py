@@ -27,6 +27,20 @@ def tiles_from_pixels(pixels: DataFrame, value_col: str, out_col: str, cols: int
     return g.select(*TILE_KEY, *EXTENT, cells.alias(out_col))
 
 
+def tiles_from_band_pixels(pixels: DataFrame, bands: dict[str, str], cols: int, rows: int) -> DataFrame:
+    """Like ``tiles_from_pixels`` for several value columns of the same pixels
+    (``{output tile column: pixel value column}``): one aggregation, no band join."""
+    vals = F.struct(*[F.col(v).cast("double").alias(out) for out, v in bands.items()])
+    g = pixels.groupBy(*TILE_KEY, *EXTENT).agg(
+        F.map_from_entries(F.collect_list(F.struct(F.col("pos"), vals))).alias("__m"))
+    seq = F.sequence(F.lit(0), F.lit(cols * rows - 1))
+
+    def band(out):
+        return F.transform(seq, lambda i: F.col("__m")[i][out]).alias(out)
+
+    return g.select(*TILE_KEY, *EXTENT, *[band(out) for out in bands])
+
+
 def align_bands(left: DataFrame, right: DataFrame) -> DataFrame:
     """Tile-by-tile join of two bands of the same scenes."""
     r = right.drop(*EXTENT)

@@ -24,10 +24,11 @@ def _band_tiles(spark, sf, band: str, out: str):
 
 
 def _scene(spark, sf):
-    """spark.read.raster(...) shape: red and NIR tiles aligned, extent and CRS."""
-    red = _band_tiles(spark, sf, "red", "red")
-    nir = _band_tiles(spark, sf, "nir", "NIR")
-    return RS.align_bands(red, nir)
+    """spark.read.raster(...) shape: red and NIR tiles with extent and CRS.  Both
+    bands of the fixture come from the same pixel rows, so they are tiled in one
+    aggregation (band_align_join shows the join of separately read bands)."""
+    return RS.tiles_from_band_pixels(FX.pixels_fx(spark, sf), {"red": "red", "NIR": "nir"},
+                                     FX.TILE_COLS, FX.TILE_ROWS)
 
 
 def _weighted(col: str):
@@ -46,7 +47,8 @@ def q_tiles_from_pixels(spark, sf):
 
 @register("band_align_join", oracle="S")
 def q_band_align_join(spark, sf):
-    s = _scene(spark, sf)
+    """Bands tiled separately, then aligned tile by tile with an equi-join."""
+    s = RS.align_bands(_band_tiles(spark, sf, "red", "red"), _band_tiles(spark, sf, "nir", "NIR"))
     return s.select(*RS.TILE_KEY, F.round(RS.tile_sum("red"), 6).alias("red_sum"),
                     F.round(RS.tile_sum("NIR"), 6).alias("nir_sum"),
                     RS.tile_count("NIR").alias("nir_cells"))
