@@ -112,7 +112,7 @@ def zone_lookup(zones: DataFrame, geom_col: str, key: str, res: int, attr_cols:
     cols = [key, "cell", "centre_in", "cx", "cy", "edges", "mode"]
     entries = core.select(*cols).unionByName(local.select(*cols)).unionByName(full.select(*cols))
     attrs = zones.select(key, F.col(order_col).alias("__order"), *attr_cols)
-    entries = entries.join(F.broadcast(attrs), key)
+    entries = entries.join(attrs, key)
     cand = F.struct(F.col("__order").alias("order"), F.col(key).alias("key"), *[F.col(c) for c in attr_cols],
                     "mode", "centre_in", "cx", "cy", "edges")
     table = entries.groupBy("cell").agg(F.array_sort(F.collect_list(cand)).alias("cands"))

@@ -136,7 +136,7 @@ def q_zones_cells(spark, sf):
     z = zones_geom(spark, sf)
     cells = P.polyfill(z, "geom", RES_ZONES, "location_id")
     attrs = z.select(F.col("location_id"), "borough", "zone")
-    return cells.join(F.broadcast(attrs), "location_id").select(
+    return cells.join(attrs, "location_id").select(
         F.col("location_id").alias("locationid"), "borough", "zone", "cell")
 
 
@@ -164,7 +164,7 @@ def q_join_cell_zone(spark, sf):
                                                  RES_ZONE_JOIN)).alias("h3index"))
     z = zones_geom(spark, sf)
     zc = P.polyfill(z, "geom", RES_ZONE_JOIN, "location_id", cell_col="h3index") \
-        .join(F.broadcast(z.select("location_id", "zone", "borough")), "location_id")
+        .join(z.select("location_id", "zone", "borough"), "location_id")
     j = J.cell_join(pts, "h3index", zc, "h3index")
     return j.select("zone", "borough", "trip_id", "pickup_longitude", "pickup_latitude",
                     "pickup_datetime", "h3index")

@@ -136,7 +136,7 @@ def q_st_point_in_polygon(spark, sf):
     """Each trip's pickup against zone (trip_id % 25): exact, boundary inclusive."""
     t = FX.trips_fx(spark, sf).withColumn("location_id", (F.col("trip_id") % 25).cast("int"))
     z = _zones(spark, sf).select("location_id", "geom")
-    j = t.join(F.broadcast(z), "location_id")
+    j = t.join(z, "location_id")
     return j.select("trip_id", "location_id",
                     G.st_intersects_point("geom", F.col("pickup_longitude"), F.col("pickup_latitude"))
                     .alias("inside"))

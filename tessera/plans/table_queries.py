@@ -105,7 +105,7 @@ def q_inline_rows(spark, sf):
     """Literal rows (VALUES) joined with the zone table."""
     codes = spark.sql("SELECT * FROM VALUES (6, 'EWR'), (18, 'LGA') AS t(location_id, code)")
     z = FX.zones_fx(spark, sf).select("location_id", "zone", "borough")
-    return codes.join(F.broadcast(z), "location_id").select("location_id", "code", "zone", "borough")
+    return codes.join(z, "location_id").select("location_id", "code", "zone", "borough")
 
 
 @register("scan_table_path", oracle="S")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions import cells as C
+from tessera.operators.sizing import materialise
 from tessera.session import scratch_dir
 
 
@@ -20,14 +21,14 @@ def tag_trips(trips: DataFrame, zone_cells: DataFrame, res: int) -> DataFrame:
     """Pickup cell + zone of every trip (batch or streaming input).
 
     ``zone_cells`` is (location_id, cell) at ``res``; trips whose cell is in no
-    zone keep a null location (left join).  The zone side is a static table and
-    is hinted for broadcast; callers pass a table whose size they have checked
-    (see ``tessera.operators.sizing.materialise``).
+    zone keep a null location (left join).  The zone side is a static table;
+    pass ``materialise(...).for_join()`` to broadcast it behind a measured size
+    check, or a plain DataFrame to let the planner choose.
     """
     t = trips.withColumn("pickup_cell", C.cell_key(
         C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"), res)))
     z = zone_cells.withColumnRenamed("cell", "pickup_cell")
-    return t.join(F.broadcast(z), "pickup_cell", "left")
+    return t.join(z, "pickup_cell", "left")
 
 
 def start_zone_tagging(spark: SparkSession, source_dir: str, schema, zone_cells: DataFrame,
@@ -42,7 +43,8 @@ def start_zone_tagging(spark: SparkSession, source_dir: str, schema, zone_cells:
     sink = sink_dir or scratch_dir(spark, "tagged_trips")
     ckpt = checkpoint_dir or scratch_dir(spark, "tagged_trips_ckpt")
     stream = spark.readStream.schema(schema).parquet(source_dir)
-    q = (tag_trips(stream, zone_cells, res).writeStream.format("parquet")
+    zc = materialise(zone_cells, "stream_zone_cells").for_join()
+    q = (tag_trips(stream, zc, res).writeStream.format("parquet")
          .option("path", sink).option("checkpointLocation", ckpt)
          .outputMode("append").trigger(availableNow=True).start())
     return q, sink

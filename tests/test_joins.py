@@ -110,3 +110,24 @@ def test_lookup_join_matches_brute_force_on_star_polygons(spark):
         fast = J.pip_join(pdf, "x", "y", zdf, "geom", "zid", res).select("pid", "zid")
         assert fast.exceptAll(brute).count() == 0 and brute.exceptAll(fast).count() == 0, res
     assert brute.count() > 100
+
+
+def test_shuffle_join_path_when_over_broadcast_limit(spark):
+    """With the size check failing, joins fall back to shuffle joins on the cell
+    and give the same results."""
+    from tessera.plans.registry import load_all
+    qs = load_all()
+    names = ["airport_trips", "join_cell_zone", "pip_first_match"]
+    expected = {n: sorted(map(tuple, qs[n](spark, SF_SMALL).collect())) for n in names}
+    spark.conf.set("tessera.broadcast.maxBytes", "0")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n in names:
+            df = qs[n](spark, SF_SMALL)
+            got = sorted(map(tuple, df.collect()))
+            assert got == expected[n], n
+            assert "BroadcastHashJoin" not in _plan(df) or n == "join_cell_zone", n
+    finally:
+        spark.conf.unset("tessera.broadcast.maxBytes")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
