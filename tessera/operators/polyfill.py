@@ -158,16 +158,49 @@ def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cel
 
 # ---- compaction ------------------------------------------------------------
 
+def _compact_one(state: DataFrame, k: list[str], lvl: int) -> DataFrame:
+    """One level: open cells of level lvl+1 grouped by parent (<= 7 rows)."""
+    gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("c"), lvl + 1, lvl))
+    g = state.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list("c").alias("kids"))
+    merged = ~F.col("done") & (F.size("kids") == 7)
+    rows = F.when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done")))) \
+        .otherwise(F.transform("kids", lambda x: F.struct(x.alias("c"), F.lit(True).alias("done"))))
+    return g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
+
+
+def _compact_two(state: DataFrame, k: list[str], lvl: int) -> DataFrame:
+    """Two levels at once: open cells of level lvl+2 grouped by grandparent
+    (<= 49 rows); children complete at lvl+1 and the grandparent's completeness
+    are decided inside the group."""
+    p1 = C.cell_parent(F.col("c"), lvl + 2, lvl + 1)
+    s = state.withColumn("p1", F.when(F.col("done"), F.col("c")).otherwise(p1))
+    gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("p1"), lvl + 1, lvl))
+    g = s.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list(F.struct("c", "p1")).alias("kids"))
+    kids = F.col("kids")
+    full = F.filter(F.array_distinct(F.transform(kids, lambda x: x["p1"])),
+                    lambda p: F.size(F.filter(kids, lambda x: x["p1"] == p)) == 7)
+    done_row = lambda c: F.struct(c.alias("c"), F.lit(True).alias("done"))
+    merged = ~F.col("done") & (F.size(full) == 7)
+    partial = F.concat(F.transform(full, done_row),
+                       F.transform(F.filter(kids, lambda x: ~F.array_contains(full, x["p1"])),
+                                   lambda x: done_row(x["c"])))
+    rows = (F.when(F.col("done"), F.transform(kids, lambda x: done_row(x["c"])))
+            .when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done"))))
+            .otherwise(partial))
+    return g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
+
+
 def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
     """Replace every complete set of 7 siblings by their parent, repeatedly.
 
-    Input: cells of one resolution ``res`` per key.  Level by level, finest
-    first, the still-open cells are grouped by parent: a parent with all 7
-    children present stays open one level up, otherwise its children are final.
-    Final cells pass through later levels under their own id.  One aggregation
-    per level in a linear chain (no reused sub-plans); the open set shrinks ~7x
-    per level over solid areas, and no group holds more than 7 rows.  Levels
-    that cannot merge (7**depth above the largest key's cell count) are skipped.
+    Input: cells of one resolution ``res`` per key.  Finest first, the still-open
+    cells are grouped by their grandparent (two levels per aggregation, <= 49
+    rows per group; one single-level step when an odd number of levels is
+    left): a parent with all 7 children stays open one level up, otherwise its
+    children are final.  Final cells pass through later steps under their own
+    id.  The open set shrinks ~49x per step over solid areas, the plan is a
+    linear chain (no reused sub-plans), and levels that cannot merge (7**depth
+    above the largest key's cell count) are skipped.
     """
     k = _keys(keys)
     state = df.select(*k, F.col(cell_col).alias("c"), F.lit(False).alias("done")).distinct()
@@ -177,13 +210,12 @@ def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
     depth = 0
     while depth < res and 7 ** (depth + 1) <= biggest:
         depth += 1
-    for lvl in range(res - 1, res - 1 - depth, -1):
-        gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("c"), lvl + 1, lvl))
-        g = state.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list("c").alias("kids"))
-        merged = ~F.col("done") & (F.size("kids") == 7)
-        rows = F.when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done")))) \
-            .otherwise(F.transform("kids", lambda x: F.struct(x.alias("c"), F.lit(True).alias("done"))))
-        state = g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
+    lvl = res
+    while depth >= 2:
+        state = _compact_two(state, k, lvl - 2)
+        lvl, depth = lvl - 2, depth - 2
+    if depth == 1:
+        state = _compact_one(state, k, lvl - 1)
     return state.select(*k, F.col("c").alias(cell_col))
 
 
