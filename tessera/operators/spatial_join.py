@@ -90,7 +90,9 @@ def zone_lookup(zones: DataFrame, geom_col: str, key: str, res: int, attr_cols:
     Built once per zone table with joins and aggregations whose groups are
     bounded by local boundary complexity; materialised and size-checked.
     """
-    cover = P.polycover(zones, geom_col, res, key, with_centre=True)
+    # written once: both the core and the boundary entries derive from it
+    cover = materialise(P.polycover(zones, geom_col, res, key, with_centre=True), "zone_cover",
+                        measure=False).df
     near = P.edges_near_cells(zones, geom_col, res, key)
     bnd = (cover.where(~F.col("core")).select(key, "cell", "centre_in")
            .join(near, [key, "cell"])
