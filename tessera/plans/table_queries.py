@@ -182,8 +182,9 @@ def q_compact_table(spark, sf):
     return TB.compact_files(spark, src, scratch_dir(spark, "compacted"), order_by="trip_id")
 
 
-@register("table_columns", oracle="R")
+@register("table_columns", oracle="S")
 def q_table_columns(spark, sf):
+    """``df.columns`` of the cleaned green table, as (position, name) rows."""
     cols = TR.clean_trips_green(FX.trips_raw_green_fx(spark, sf)).columns
     return spark.createDataFrame([(i, c) for i, c in enumerate(cols)], "position int, name string")
 
@@ -198,11 +199,16 @@ def q_list_files(spark, sf):
     return RD.list_files(spark, _write_raw(spark, sf, "green"))
 
 
-@register("scan_csv_infer", oracle="R")
+@register("scan_csv_infer", oracle="S")
 def q_scan_csv_infer(spark, sf):
+    """Zone CSV read with schema inference: integer ids come back as int, the
+    geometry as text (compared through its parsed vertex count)."""
     path = scratch_dir(spark, "zones_csv")
     FX.zones_fx(spark, sf).write.option("header", "true").csv(path)
-    return RD.read_csv_infer(spark, path)
+    z = RD.read_csv_infer(spark, path)
+    return z.select("location_id", "zone", "borough", "zone_order",
+                    F.lit(dict(z.dtypes)["location_id"]).alias("location_id_type"),
+                    G.st_num_points(G.st_geom_from_wkt("the_geom")).alias("num_points"))
 
 
 # ---- building table (shapefile-shaped attributes) ----------------------------
@@ -345,5 +351,12 @@ FROM buildings"""
     q["scan_shapefile"] = f"""WITH {bld}
 SELECT building_id, coalesce(name, '') AS name, num_floors, 5 AS num_points,
        round({O.d(0.0005)} * {O.d(0.0005)} * {O.d(1e8)}, 3) AS area_e8 FROM buildings"""
+    q["table_columns"] = ("SELECT CAST(position AS INTEGER) AS position, name FROM (VALUES "
+                          + ", ".join(f"({i}, '{c}')" for i, c in enumerate(TR.GREEN_COLUMNS))
+                          + ") AS t(position, name)")
+    q["scan_csv_infer"] = f"""WITH {O.zones_cte()},
+npts AS (SELECT location_id, count(*) AS num_points FROM zone_vtx GROUP BY location_id)
+SELECT z.location_id, z.zone, z.borough, z.zone_order, 'int' AS location_id_type, n.num_points
+FROM zones z JOIN npts n USING (location_id)"""
     q["count_rows"] = f"WITH {O.trips_cte()}\nSELECT count(*) AS count FROM trips"
     return q
