@@ -55,7 +55,7 @@ cmp AS (
     return ",\n".join(parts)
 
 
-def _pip_pairs(res_unused: int | None = None) -> str:
+def _pip_pairs() -> str:
     """pairs(trip_id, location_id): exact, boundary-inclusive point-in-polygon."""
     return f"""pairs AS (
   SELECT t.trip_id, e.location_id

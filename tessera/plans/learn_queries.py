@@ -4,7 +4,6 @@ barrier mode, checkpoints and batch scoring."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
@@ -198,5 +197,4 @@ SELECT round(avg(-ln(p[label + 1])), 6) AS loss,
        round(avg(CASE WHEN list_position(p, list_max(p)) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM pp WHERE part = 'test'"""
     q["head_slice"] = f"WITH {s}\nSELECT vec_id, label FROM s WHERE part = 'test' ORDER BY vec_id LIMIT {HEAD_ROWS}"
-    _ = np
     return q

@@ -178,7 +178,6 @@ def pip_inclusive(px: str, py: str) -> str:
 
 def utm_inverse(x: str, y: str, zone: int, south: bool = False) -> tuple[str, str]:
     """SQL (lon, lat) of UTM coordinates: inverse transverse Mercator, Krueger series."""
-    import math
     from tessera.functions import geometry as G
     f = G.WGS84_F
     n = f / (2 - f)
@@ -197,5 +196,4 @@ def utm_inverse(x: str, y: str, zone: int, south: bool = False) -> tuple[str, st
     for j, dl in enumerate(delta, start=1):
         lat = f"({lat} + {d(dl)} * sin({chi} * {2 * j}))"
     lon = f"({d(zone * 6.0 - 183.0)} + degrees(atan2(sinh({eta_p}), cos({xi_p}))))"
-    _ = math
     return lon, f"degrees({lat})"
