@@ -25,8 +25,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import WORDLIKE, keyed_texts, mix, read_table, text_map, words_of
+from tessera.llm.common import WORDLIKE, keyed_texts, mix, pieces, read_table, text_map, words_of
 from tessera.operators.sizing import materialise
 from tessera.session import ship_package
 
@@ -156,20 +157,23 @@ def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def _clean(index):
+    """Column function: whether a text holds no item of the block."""
+
+    @arrow_udf(T.BooleanType())
+    def clean(text: pa.Array) -> pa.Array:
+        out = []
+        for _, texts in pieces([pa.RecordBatch.from_arrays([pa.nulls(len(text)), text], names=["i", "t"])]):
+            hit = {r[0] for r in index.value.matches(texts)}
+            out += [i not in hit for i in range(len(texts))]
+        return pa.array(out, pa.bool_())
+
+    return clean
+
+
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go; no text is shuffled."""
-    from pyspark.sql.functions import arrow_udf
     for block in blocks(items):
-        index = _index(docs.sparkSession, block)
-
-        @arrow_udf(T.BooleanType())
-        def clean(text: pa.Array, index=index) -> pa.Array:
-            from tessera.llm.common import pieces
-            out = []
-            for _, texts in pieces([pa.RecordBatch.from_arrays([pa.nulls(len(text)), text], names=["i", "t"])]):
-                hit = {r[0] for r in index.value.matches(texts)}
-                out += [i not in hit for i in range(len(texts))]
-            return pa.array(out, pa.bool_())
-
+        clean = _clean(_index(docs.sparkSession, block))
         docs = docs.where(clean(F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))))
     return docs

@@ -24,11 +24,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import WORDLIKE, keyed_texts, mix, range_hashes, read_table, sampled, text_map, words_of
+from tessera.llm.common import WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, words_of
+from tessera.session import ship_package
 
 WINDOW, STRIDE = 16, 8
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 15
@@ -339,16 +342,11 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, seed: int
 
 def scorer(spark: SparkSession, net: Net):
     """Column function text -> score, for use next to any other columns."""
-    import pyarrow as pa
-    from pyspark.sql.functions import arrow_udf
-
-    from tessera.llm.common import PIECE_BYTES, ship_package
     ship_package(spark)
     shared = spark.sparkContext.broadcast(net)            # a fixed number of parameters
 
     @arrow_udf(T.DoubleType())
     def toxicity(text: pa.Array) -> pa.Array:
-        from tessera.llm.common import pieces
         batch = pa.RecordBatch.from_arrays([pa.nulls(len(text)), text.fill_null("")], names=["i", "t"])
         parts = [score_texts(shared.value, t) for _, t in pieces([batch])]
         return pa.array(np.concatenate(parts) if parts else np.zeros(0), pa.float64())
