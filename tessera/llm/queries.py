@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, jaccard_join, mixing, secrets, toxicity
+from tessera.llm import decontaminate, jaccard_join, mixing, pii, quality, secrets, toxicity, url_rules
 from tessera.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,10 +16,22 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_table(spark, sf_dir, "documents"))
 
 
+def op2_pii_weak_supervision(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.find_pii(read_table(spark, sf_dir, "documents"))
+
+
+def op3_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_query(spark, sf_dir)
+
+
 def op4_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate_query(spark, sf_dir)
 
 
+def op5_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.url_query(spark, sf_dir)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_query(read_table(spark, sf_dir, "documents"))
 
@@ -33,6 +45,7 @@ def op10_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_secret_scan, op4_spaced_seed_decontamination, op7_ngram_jaccard_join, op9_source_mixing, op10_toxicity_bigru)}
+    op1_secret_scan, op2_pii_weak_supervision, op3_pu_quality, op4_spaced_seed_decontamination,
+    op5_url_association_rules, op7_ngram_jaccard_join, op9_source_mixing, op10_toxicity_bigru)}
 
 ORACLES: dict[str, str] = {"op9_source_mixing": mixing.mix_sql()}
