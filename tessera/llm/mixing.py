@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.sizing import materialise
+
 #: Weights of the sources in code point order, repeating.
 WEIGHTS = (1, 2, 3)
 #: A source's target is at most so many times its size.
@@ -87,6 +89,7 @@ def systematic_copies(docs: DataFrame, seed: int = 17, weights=WEIGHTS, max_repe
         base = base.withColumn("size", word_count(F.col(text)))
     else:                                      # sizes were computed before the texts were left out
         base = docs.drop(*[c for c in OUT[1:] if c in docs.columns])
+    base = materialise(base, "mix-sizes", measure=False).df        # the texts are counted once
     base = (base.withColumn("__source", F.col(source).cast("string"))
             .withColumn("__bin", size_bin(F.col("size")))
             .withColumn("__h", unit_hash(F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")))))
