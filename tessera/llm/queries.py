@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import decontaminate, jaccard_join, mixing, pii, quality, secrets, toxicity, url_rules
+from tessera.llm import (bwt_dedup, decontaminate, jaccard_join, mixing, nn_descent, pii, quality, secrets, toxicity,
+                         url_rules)
 from tessera.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,10 +33,18 @@ def op5_url_association_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.url_query(spark, sf_dir)
 
 
+def op6_rlbwt_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bwt_dedup.repeats_query(spark, sf_dir)
+
+
 def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_query(read_table(spark, sf_dir, "documents"))
 
 
+def op8_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.embedding_query(spark, sf_dir)
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_query(read_table(spark, sf_dir, "documents"))
 
@@ -46,6 +55,6 @@ def op10_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_pii_weak_supervision, op3_pu_quality, op4_spaced_seed_decontamination,
-    op5_url_association_rules, op7_ngram_jaccard_join, op9_source_mixing, op10_toxicity_bigru)}
+    op5_url_association_rules, op6_rlbwt_dedup, op7_ngram_jaccard_join, op8_nn_descent, op9_source_mixing, op10_toxicity_bigru)}
 
 ORACLES: dict[str, str] = {"op9_source_mixing": mixing.mix_sql()}
