@@ -36,8 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASES, PIECE_BYTES, keyed_texts, pieces, range_hashes, read_table, text_map
-from tessera.llm.nn_descent import groups_of
+from tessera.llm.common import BASES, PIECE_BYTES, groups_of, keyed_texts, pieces, range_hashes, read_table, text_map
 from tessera.session import ship_package
 
 LENGTH, K = 100, 24

@@ -83,6 +83,27 @@ def _utf8(col: pa.Array) -> list[bytes]:
     return col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()
 
 
+def groups_of(batches, keys: list[str]):
+    """Successive groups of rows, equal in ``keys``, of sorted Arrow batches."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b])
+        if rest is not None:
+            t = pa.concat_tables([rest, t]).combine_chunks()
+        if not t.num_rows:
+            continue
+        change = np.zeros(t.num_rows, dtype=bool)
+        for k in keys:
+            codes = t.column(k).combine_chunks().dictionary_encode().indices.to_numpy(zero_copy_only=False)
+            change[1:] |= codes[1:] != codes[:-1]
+        cut = [0, *np.flatnonzero(change).tolist()]
+        for s, e in zip(cut, cut[1:], strict=False):
+            yield t.slice(s, e - s)
+        rest = t.slice(cut[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
+
 # ---------------------------------------------------------------- numpy byte hashing
 
 #: Fixed odd multipliers of the polynomial hashes (any odd 64-bit numbers do).

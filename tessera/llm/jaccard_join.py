@@ -13,11 +13,13 @@ when 100 * intersection >= ``PERCENT`` * union.  Steps:
    histogram of set sizes; sets just below it post to the lists too, so that pairs across
    the boundary meet there;
 4. all sets of a list (or of a subset) form a group named by its smallest doc_id.  A group is
-   cut into blocks of at most ``BLOCK`` documents and every pair of blocks is a task, in
-   which the overlaps are counted exactly, all documents of the group that could link being
-   compared; documents already known to be connected are not compared again.  The task
-   returns a spanning forest of the links it found;
-5. connected components over the forests name the groups of linked documents.
+   cut into blocks of at most ``BLOCK`` documents and every pair of blocks is a task.  A first
+   task compares sizes and counts of shingles in ``CELLS`` hash cells, which bound the overlap
+   from above, and splits the group into the parts that may still hold links;
+5. only the documents of these parts send their texts, and in a task for every pair of blocks
+   of a part the overlaps are counted exactly; documents already known to be connected are
+   not compared again.  The task returns a spanning forest of the links it found;
+6. connected components over the forests name the groups of linked documents.
 
 No list is ever cut short, and equal texts never multiply into pairs.
 
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import (NOT_SPACE, connected_components, keyed_texts, lists, mix, text_map, words_of)
+from tessera.llm.common import NOT_SPACE, connected_components, groups_of, keyed_texts, lists, mix, text_map, words_of
 from tessera.operators.sizing import materialise
 
 GRAM, PERCENT = 4, 85
@@ -44,6 +46,8 @@ GRAM, PERCENT = 4, 85
 K = 2
 #: Documents of a group that meet in one task (two blocks of them).
 BLOCK = 512
+#: Hash cells of the overlap bound.
+CELLS = 256
 #: The frequent shingles put last in the order: at most so many, one in FREQUENT of all
 #: shingle occurrences or more, counted over all documents (a Misra-Gries summary).
 FREQUENT = 50_000
@@ -126,6 +130,9 @@ def summaries(docs: DataFrame, frequent: np.ndarray, gram: int, percent: int) ->
     def run(ids, texts):
         v, off = shingle_sets(texts, gram)
         late = np.isin(v, shared.value) if len(shared.value) else np.zeros(len(v), bool)
+        text = np.repeat(np.arange(len(texts)), np.diff(off))
+        cell = (v >> np.uint64(8)).astype(np.int64) % CELLS
+        counts = np.bincount(text * CELLS + cell, minlength=len(texts) * CELLS).reshape(-1, CELLS).astype(np.uint32)
         sigs, head, ends = [], [], [0]
         for i in range(len(texts)):
             own = v[off[i]:off[i + 1]]
@@ -137,9 +144,10 @@ def summaries(docs: DataFrame, frequent: np.ndarray, gram: int, percent: int) ->
             ends.append(ends[-1] + (len(own) if n else 0))
         values = np.concatenate(head) if head else np.zeros(0, np.uint64)
         return {"doc_id": ids, "n": np.diff(off), "sig": sigs,
+                "cells": [c.tobytes() for c in counts],
                 "head": lists(values.view(np.int64), np.array(ends), pa.int64())}
 
-    return text_map(docs, run, "doc_id long, n long, sig binary, head array<long>")
+    return text_map(docs, run, "doc_id long, n long, sig binary, cells binary, head array<long>")
 
 
 def boundary(sizes: list[tuple[int, int]], percent: int = PERCENT) -> int:
@@ -216,31 +224,72 @@ def forest(ids: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: in
                 root[root == r] = root[i]
 
 
-def verified_links(groups: DataFrame, docs: DataFrame, gram: int, percent: int) -> DataFrame:
-    """(a, b): enough links between the documents of each group to connect what is linked."""
+TASK = ["leader", "i", "j"]
+
+
+def block_tasks(groups: DataFrame) -> DataFrame:
+    """(leader, i, j, block, doc_id): every document of a group in a task for each pair of its
+    block with a block of the group."""
     sized = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("members"))
     spot = (groups.join(sized, "leader")
             .withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")))
-    pairs = spot.select("leader", "doc_id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    wanted = (pairs.select("doc_id", F.struct("leader", F.least("block", "other").alias("i"),
-                                              F.greatest("block", "other").alias("j"), "block").alias("task"))
-              .groupBy("doc_id").agg(F.collect_list("task").alias("tasks")))
+    return (spot.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id"))
+
+
+def across(table: pa.Table) -> np.ndarray | None:
+    """The block of each row when only pairs across two blocks are due."""
+    return None if table.column("i")[0] == table.column("j")[0] else table.column("block").to_numpy()
+
+
+def narrowed(groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """(leader, doc_id): the groups split into parts that may hold links, by an upper bound of the
+    overlaps; a part is named by its smallest doc_id."""
+    rows = (block_tasks(groups).join(reps.select("doc_id", "n", "cells"), "doc_id")
+            .repartition(*TASK).sortWithinPartitions(*TASK, "n"))
+
+    def run(batches):
+        for t in groups_of(batches, TASK):
+            if t.num_rows < 2:
+                continue
+            ids, n = t.column("doc_id").to_numpy(), t.column("n").to_numpy()
+            cells = np.frombuffer(b"".join(t.column("cells").to_pylist()), dtype=np.uint32).reshape(len(ids), CELLS)
+            block = across(t)
+            root = np.arange(len(ids))
+            for a in range(len(ids) - 1):
+                end = np.searchsorted(n, n[a] * 100 // percent, side="right")
+                may = np.arange(a + 1, end)
+                if block is not None:
+                    may = may[block[may] != block[a]]
+                both = np.minimum(cells[may], cells[a]).sum(axis=1)
+                may = may[both * (100 + percent) >= percent * (n[may] + n[a])]
+                for r in np.unique(root[may]):
+                    if r != root[a]:
+                        root[root == r] = root[a]
+            part, size = np.unique(root, return_counts=True)
+            lead = np.array([ids[root == r].min() for r in part[size > 1]], dtype=np.int64)
+            for r, name in zip(part[size > 1], lead, strict=True):
+                own = ids[root == r]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), name)), pa.array(own)], names=["leader", "doc_id"])
+
+    return rows.mapInArrow(run, "leader long, doc_id long").distinct()
+
+
+def verified_links(groups: DataFrame, docs: DataFrame, gram: int, percent: int) -> DataFrame:
+    """(a, b): enough links between the documents of each group to connect what is linked."""
+    wanted = (block_tasks(groups).groupBy("doc_id")
+              .agg(F.collect_list(F.struct("leader", "i", "j", "block")).alias("tasks")))
     sent = (docs.join(wanted, "doc_id").select("doc_id", "text", F.explode("tasks").alias("t"))
-            .select("t.*", "doc_id", "text"))
+            .select("t.*", "doc_id", "text").repartition(*TASK).sortWithinPartitions(*TASK, "doc_id"))
 
-    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
-        ids = table.column("doc_id").to_numpy()
-        texts = table.column("text").cast(pa.large_binary()).to_pylist()
-        block = table.column("block").to_numpy()
-        values, offsets = shingle_sets(texts, gram)
-        across = None if key[1].as_py() == key[2].as_py() else (block == key[1].as_py())
-        links = forest(ids, values, offsets, percent, across)
-        return pa.table({"a": pa.array([p[0] for p in links], pa.int64()),
-                         "b": pa.array([p[1] for p in links], pa.int64())})
+    def run(batches):
+        for t in groups_of(batches, TASK):
+            values, offsets = shingle_sets(t.column("text").cast(pa.large_binary()).to_pylist(), gram)
+            links = forest(t.column("doc_id").to_numpy(), values, offsets, percent, across(t))
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
-    return sent.groupBy("leader", "i", "j").applyInArrow(run, "a long, b long")
+    return sent.mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -251,11 +300,12 @@ def jaccard_components(docs: DataFrame, gram: int = GRAM, percent: int = PERCENT
     classes = (table.where(F.col("doc_id").isNotNull() & F.col("sig").isNotNull())
                .groupBy("sig").agg(F.min("doc_id").alias("rep")))
     reps = (table.where(F.col("n") > 0).join(classes, "sig").where(F.col("doc_id") == F.col("rep"))
-            .dropDuplicates(["doc_id", "sig"]).select("doc_id", "n", "head"))
+            .dropDuplicates(["doc_id", "sig"]).select("doc_id", "n", "cells", "head"))
     sizes = [(int(r[0]), int(r[1])) for r in
              table.where(F.col("n") > 0).groupBy("n").count().orderBy("n").collect()]
     x = boundary(sizes, percent)
     groups = materialise(candidate_groups(reps, x, percent), "jaccard-groups", measure=False).df
+    groups = materialise(narrowed(groups, reps, percent), "jaccard-parts", measure=False).df
     edges = verified_links(groups, texts, gram, percent)
     labels = connected_components(edges, "jaccard")
     named = (table.join(classes, "sig", "left")
