@@ -20,7 +20,7 @@ GEOM_TYPE = T.StructType([
     T.StructField("gtype", T.StringType()),
     T.StructField("polys", T.ArrayType(T.ArrayType(T.ArrayType(T.ArrayType(T.DoubleType()))))),
 ])
-EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+EDGE_TYPE = "array<struct<x1:double,y1:double,x2:double,y2:double,part:int>>"
 
 # ---- fixed values: geometry type names as written in WKT / GeoJSON ------
 WKT_POINT = "POINT"
@@ -171,16 +171,28 @@ def st_bbox(geom) -> Column:
                     F.array_max(xs).alias("xmax"), F.array_max(ys).alias("ymax"))
 
 
-def st_edges(geom) -> Column:
-    """All ring edges of all parts: array<struct<x1,y1,x2,y2>> (rings are closed)."""
-    rings = F.flatten(_c(geom)["polys"])
+def st_parts(geom) -> Column:
+    """Each part as a geometry of its own: array<geometry>."""
+    g = _c(geom)
+    return F.transform(g["polys"], lambda p: geometry(F.lit(WKT_POLYGON), F.array(p)))
+
+
+def closed_ring(r) -> Column:
+    """The ring with its first point repeated at the end, if it is not there already."""
+    return F.when(F.element_at(r, 1) == F.element_at(r, -1), r).otherwise(F.concat(r, F.slice(r, 1, 1)))
 
-    def ring_edges(r):
+
+def st_edges(geom) -> Column:
+    """All ring edges, part by part: array<struct<x1,y1,x2,y2,part>>.  Open rings are closed."""
+    def ring_edges(ring, part):
+        r = closed_ring(ring)
         return F.transform(F.sequence(F.lit(0), F.size(r) - 2),
                            lambda i: F.struct(r[i][0].alias("x1"), r[i][1].alias("y1"),
-                                              r[i + 1][0].alias("x2"), r[i + 1][1].alias("y2")))
+                                              r[i + 1][0].alias("x2"), r[i + 1][1].alias("y2"),
+                                              part.cast("int").alias("part")))
 
-    return F.flatten(F.transform(F.filter(rings, lambda r: F.size(r) >= 2), ring_edges))
+    return F.flatten(F.transform(_c(geom)["polys"], lambda rings, k: F.flatten(F.transform(
+        F.filter(rings, lambda r: F.size(r) >= 2), lambda r: ring_edges(r, k)))))
 
 
 def st_area(geom) -> Column:
@@ -234,10 +246,11 @@ def st_centroid(geom) -> Column:
 # ---- predicates ----------------------------------------------------------
 
 def point_in_edges(px, py, edges, inclusive: bool = True) -> Column:
-    """Even-odd point-in-polygon over an edge array (all rings of all parts).
+    """Point-in-polygon over an edge array: even-odd within a part, any part will do.
 
-    ``inclusive`` counts points on an edge or vertex as inside (intersects
-    semantics); otherwise they are outside (interior semantics).
+    The edges of a part follow one another, as st_edges gives them.  ``inclusive`` counts
+    points on an edge or vertex as inside (intersects semantics); otherwise they are
+    outside (interior semantics).
     """
     px, py = _c(px), _c(py)
 
@@ -247,13 +260,18 @@ def point_in_edges(px, py, edges, inclusive: bool = True) -> Column:
         on_edge = (((x2 - x1) * (py - y1) - (y2 - y1) * (px - x1)) == 0) & \
             (px >= F.least(x1, x2)) & (px <= F.greatest(x1, x2)) & \
             (py >= F.least(y1, y2)) & (py <= F.greatest(y1, y2))
-        return F.struct((acc["inside"] != crosses).alias("inside"),
-                        (acc["edge"] | on_edge).alias("edge"))
-
-    res = F.aggregate(_c(edges), F.struct(F.lit(False).alias("inside"), F.lit(False).alias("edge")), step)
+        same = acc["part"] == e["part"]
+        return F.struct((acc["done"] | (~same & acc["inside"])).alias("done"),
+                        ((same & acc["inside"]) != crosses).alias("inside"),
+                        (acc["edge"] | on_edge).alias("edge"), e["part"].alias("part"))
+
+    start = F.struct(F.lit(False).alias("done"), F.lit(False).alias("inside"), F.lit(False).alias("edge"),
+                     F.lit(-1).alias("part"))
+    res = F.aggregate(_c(edges), start, step)
+    inside = res["done"] | res["inside"]
     if inclusive:
-        return res["edge"] | res["inside"]
-    return ~res["edge"] & res["inside"]
+        return res["edge"] | inside
+    return ~res["edge"] & inside
 
 
 def _orient(ax, ay, bx, by, cx, cy) -> Column:

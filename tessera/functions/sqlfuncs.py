@@ -81,20 +81,23 @@ def _wkt_sql(text: str) -> str:
 
 
 def _edges_sql(g: str) -> str:
-    return (f"flatten(transform(filter(flatten({g}.polys), r -> size(r) >= 2), "
+    """Edges part by part; open rings are closed."""
+    closed = "CASE WHEN o[0] = element_at(o, -1) THEN o ELSE concat(o, slice(o, 1, 1)) END"
+    return (f"flatten(transform({g}.polys, (p, k) -> flatten(transform(transform(filter(p, o -> size(o) >= 2), o -> {closed}), "
             f"r -> transform(sequence(0, size(r) - 2), i -> named_struct("
-            f"'x1', r[i][0], 'y1', r[i][1], 'x2', r[i + 1][0], 'y2', r[i + 1][1]))))")
+            f"'x1', r[i][0], 'y1', r[i][1], 'x2', r[i + 1][0], 'y2', r[i + 1][1], 'part', k))))))")
 
 
 def _pip_sql(g: str, px: str, py: str, inclusive: bool) -> str:
-    step = (f"(acc, e) -> named_struct("
-            f"'inside', acc.inside <> ((e.y1 > {py}) <> (e.y2 > {py}) AND "
+    step = (f"(acc, e) -> named_struct('done', acc.done OR (acc.part <> e.part AND acc.inside), "
+            f"'inside', (acc.part = e.part AND acc.inside) <> ((e.y1 > {py}) <> (e.y2 > {py}) AND "
             f"{px} < e.x1 + ({py} - e.y1) * (e.x2 - e.x1) / (e.y2 - e.y1)), "
             f"'edge', acc.edge OR ((e.x2 - e.x1) * ({py} - e.y1) - (e.y2 - e.y1) * ({px} - e.x1) = 0 "
             f"AND {px} >= least(e.x1, e.x2) AND {px} <= greatest(e.x1, e.x2) "
-            f"AND {py} >= least(e.y1, e.y2) AND {py} <= greatest(e.y1, e.y2)))")
-    res = f"aggregate({_edges_sql(g)}, named_struct('inside', false, 'edge', false), {step})"
-    test = f"({res}.edge OR {res}.inside)" if inclusive else f"(NOT {res}.edge AND {res}.inside)"
+            f"AND {py} >= least(e.y1, e.y2) AND {py} <= greatest(e.y1, e.y2)), 'part', e.part)")
+    last = "acc -> acc.edge OR acc.done OR acc.inside" if inclusive else "acc -> NOT acc.edge AND (acc.done OR acc.inside)"
+    test = (f"aggregate({_edges_sql(g)}, named_struct('done', false, 'inside', false, 'edge', false, 'part', -1), "
+            f"{step}, {last})")
     return f"CASE WHEN {g} IS NOT NULL AND {px} IS NOT NULL AND {py} IS NOT NULL THEN {test} END"
 
 
@@ -109,6 +112,38 @@ def _area_sql(g: str) -> str:
     return f"aggregate(transform({g}.polys, {part}), 0D, (a, v) -> a + v)"
 
 
+def _parent_sql(cell: str) -> str:
+    """The cell one level up; the level is read from the id (null at level 0)."""
+    res = f"CAST(shiftright({cell}, 58) AS INT)"
+    a = f"CAST((shiftright({cell}, 29) & {C.SHIFT_A - 1}L) - {C.OFFSET}L AS DOUBLE)"
+    b = f"CAST(({cell} & {C.SHIFT_A - 1}L) - {C.OFFSET}L AS DOUBLE)"
+    odd = f"tessera_pack_cell(({a} * 3D + {b}) / 7D, ({b} * 2D - {a}) / 7D, {res} - 1)"
+    even = f"tessera_pack_cell(({a} * 2D - {b}) / 7D, ({a} + {b} * 3D) / 7D, {res} - 1)"
+    return f"CASE WHEN {res} > 0 AND {res} % 2 = 1 THEN {odd} WHEN {res} > 0 THEN {even} END"
+
+
+def _geojson_sql(text: str) -> str:
+    raw = f"from_json({text}, 'type STRING, coordinates STRING')"
+    kind, xy = f"upper({raw}.type)", f"{raw}.coordinates"
+    polys = (f"CASE WHEN {kind} = 'MULTIPOLYGON' THEN from_json({xy}, 'array<array<array<array<double>>>>') "
+             f"WHEN {kind} = 'POLYGON' THEN array(from_json({xy}, 'array<array<array<double>>>')) "
+             f"WHEN {kind} = 'POINT' THEN array(array(array(from_json({xy}, 'array<double>')))) END")
+    return f"CASE WHEN {polys} IS NOT NULL THEN named_struct('gtype', {kind}, 'polys', {polys}) END"
+
+
+def _centroid_sql(g: str) -> str:
+    """Area-weighted centroid, holes subtract; a point is its own."""
+    zero = "named_struct('a', 0D, 'x', 0D, 'y', 0D)"
+    cross = "(r[i][0] * r[i + 1][1] - r[i + 1][0] * r[i][1])"
+    ring = (f"aggregate(sequence(0, size(r) - 2), {zero}, (s, i) -> named_struct('a', s.a + {cross}, "
+            f"'x', s.x + (r[i][0] + r[i + 1][0]) * {cross}, 'y', s.y + (r[i][1] + r[i + 1][1]) * {cross}))")
+    signed = (f"transform(transform(p, r -> {ring}), (t, k) -> named_struct('f', CASE WHEN (t.a >= 0) = (k = 0) THEN 1D ELSE -1D END, 't', t))")
+    total = (f"aggregate(flatten(transform({g}.polys, p -> {signed})), {zero}, (s, q) -> named_struct('a', s.a + q.f * q.t.a, "
+             f"'x', s.x + q.f * q.t.x, 'y', s.y + q.f * q.t.y), s -> CASE WHEN s.a <> 0 THEN named_struct('gtype', 'POINT', 'polys', "
+             f"array(array(array(array(s.x / (s.a * 3D), s.y / (s.a * 3D)))))) END)")
+    return f"CASE WHEN {g}.gtype = 'POINT' THEN {g} ELSE {total} END"
+
+
 def _num(v: str) -> str:
     return f"CAST({v} AS STRING)"
 
@@ -131,13 +166,21 @@ def sql_functions() -> dict[str, tuple[str, str, str]]:
     return {
         "tessera_pack_cell": ("aq DOUBLE, bq DOUBLE, res INT", "BIGINT", _pack_cell_body()),
         "tessera_lattice_cell": ("u DOUBLE, v DOUBLE, res INT", "BIGINT", _lattice_cell_body()),
-        "h3_longlatash3": ("lon DOUBLE, lat DOUBLE, res INT", "BIGINT", cell_sql("lon", "lat", "res")),
         "cell_from_lonlat": ("lon DOUBLE, lat DOUBLE, res INT", "BIGINT", cell_sql("lon", "lat", "res")),
         "geo_to_cell": ("lat DOUBLE, lon DOUBLE, res INT", "BIGINT", cell_sql("lon", "lat", "res")),
         "cell_resolution": ("cell BIGINT", "INT", "CAST(shiftright(cell, 58) AS INT)"),
         "st_geomfromwkt": ("t STRING", GEOM_SQL_TYPE, _wkt_sql("t")),
         "st_astext": (f"{g} {GEOM_SQL_TYPE}", "STRING", _astext_sql(g)),
         "st_makepoint": ("x DOUBLE, y DOUBLE", GEOM_SQL_TYPE, point),
+        "cell_parent": ("cell BIGINT", "BIGINT", _parent_sql("cell")),
+        "st_geomfromgeojson": ("t STRING", GEOM_SQL_TYPE, _geojson_sql("t")),
+        "st_geometryn": (f"{g} {GEOM_SQL_TYPE}, n INT", GEOM_SQL_TYPE,
+                         f"CASE WHEN get({g}.polys, n) IS NOT NULL THEN named_struct('gtype', 'POLYGON', 'polys', array(get({g}.polys, n))) END"),
+        "st_centroid": (f"{g} {GEOM_SQL_TYPE}", GEOM_SQL_TYPE, _centroid_sql(g)),
+        "rf_geometry": ("xmin DOUBLE, ymin DOUBLE, xmax DOUBLE, ymax DOUBLE", GEOM_SQL_TYPE,
+                        "named_struct('gtype', 'POLYGON', 'polys', array(array(array(array(xmin, ymin), array(xmax, ymin), "
+                        "array(xmax, ymax), array(xmin, ymax), array(xmin, ymin)))))"),
+        "rf_crs": ("crs STRING", "STRING", "crs"),
         "st_geometrytype": (f"{g} {GEOM_SQL_TYPE}", "STRING", f"{g}.gtype"),
         "st_numgeometries": (f"{g} {GEOM_SQL_TYPE}", "INT", f"size({g}.polys)"),
         "st_npoints": (f"{g} {GEOM_SQL_TYPE}", "INT", f"size(flatten(flatten({g}.polys)))"),

@@ -2,23 +2,27 @@
 
 * array maths (scale, reshape, one-hot, rint) are higher-order column functions;
 * ``with_row_position`` gives a global 0-based row number by an order column
-  without a single-partition window: range partitioning + per-partition counts
-  (one small aggregation) + ``monotonically_increasing_id``;
-* ``train_softmax_data_parallel`` is data-parallel training in barrier mode:
-  one task per shard, gradients averaged with ``BarrierTaskContext.allGather``
-  every step, equal step counts on every task;
+  without a single-partition window: the range-partitioned, sorted rows are written
+  once with their partition and index inside it; the counts of these files give the
+  offset of each partition;
+* ``train_epoch`` is data-parallel training in barrier mode: one task per shard, rows
+  streamed in batches, gradients summed with ``BarrierTaskContext.allGather`` every
+  step, as many steps as the largest shard needs on every task;
 * scoring applies the (small) weight matrix as literal columns, so prediction
   runs as JVM expressions on the executors.
 """
 
 from __future__ import annotations
 
+import base64
 import json
+from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.operators.sizing import materialise
 from tessera.session import scratch_dir
 
 
@@ -70,23 +74,22 @@ def with_row_position(df: DataFrame, order_col: str, out_col: str = "pos",
                       partitions: int | None = None) -> DataFrame:
     """0-based global position by ``order_col`` (unique), computed distributively.
 
-    Rows are range-partitioned and sorted within partitions; per-partition row
-    counts (one row per partition) give each partition's offset; the position is
-    the offset plus the index inside the partition.
+    Range bounds are sampled anew in every run, so partitions and counts must come from
+    one run: the partitioned rows are written with their partition and their index
+    in it, counts are taken from those files, and the offsets (one row per
+    partition) are joined back.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, order_col).sortWithinPartitions(order_col)
               .withColumn("__pid", F.spark_partition_id())
-              .withColumn("__mid", F.monotonically_increasing_id()))
-    counts = {r["__pid"]: r["count"] for r in ranged.groupBy("__pid").count().collect()}
-    offsets, acc = [], 0
-    for pid in range(n):
-        offsets.append(acc)
-        acc += counts.get(pid, 0)
-    off = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__pid") + 1)
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    return ranged.withColumn(out_col, off + local).drop("__pid", "__mid")
+              .withColumn("__local", F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
+    placed = materialise(ranged, "positions", measure=False).df
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (placed.groupBy("__pid").count()
+               .select("__pid", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("__offset")))
+    return (placed.join(F.broadcast(offsets), "__pid")          # one row per partition
+            .withColumn(out_col, F.col("__offset") + F.col("__local")).drop("__pid", "__local", "__offset"))
 
 
 def rank_shard(df: DataFrame, order_col: str, rank: int, size: int) -> DataFrame:
@@ -133,75 +136,108 @@ def eval_loss_accuracy(df: DataFrame, proba_col: str, label_col: str) -> DataFra
 
 # ---- data-parallel training in barrier mode ------------------------------------------
 
-def train_softmax_data_parallel(df: DataFrame, features: str, label: str, num_classes: int,
-                                workers: int, epochs: int = 2, batch_size: int = 128,
-                                learning_rate: float = 0.1, seed: int = 0,
-                                order_col: str = "vec_id", scale_lr: bool = True,
-                                init: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Softmax regression trained by ``workers`` barrier tasks on ``x[rank::workers]``.
-
-    Every task starts from the same weights (seeded), runs the same number of
-    steps (from the smallest shard), and averages gradients through
-    ``allGather`` each step, so the result equals single-process training on
-    the union of the step batches.  The learning rate is scaled by the number of
-    workers, as in the reference.
+@dataclass
+class Shards:
+    """Labelled rows with their rank and position, written once for all epochs."""
+
+    rows: DataFrame                # x array<double>, y int, __pos long, __rank int
+    workers: int
+    dim: int
+    largest: int                   # rows of the largest shard
+
+
+def make_shards(df: DataFrame, features: str, label: str, workers: int, order_col: str) -> Shards:
+    """``x[rank::workers]`` for every rank."""
+    pos = with_row_position(df.select(F.col(order_col).alias("__key"), F.col(features).cast("array<double>").alias("x"),
+                                      F.col(label).cast("int").alias("y")), "__key", "__pos").drop("__key")
+    ranked = pos.withColumn("__rank", F.pmod(F.col("__pos"), F.lit(workers)).cast("int"))
+    rows = materialise(ranged_by_rank(ranked, workers), "shards", measure=False).df
+    total, dim = rows.agg(F.count(F.lit(1)), F.max(F.size("x"))).first()
+    return Shards(rows, workers, int(dim or 0), -(-int(total) // workers))
+
+
+def ranged_by_rank(rows: DataFrame, workers: int) -> DataFrame:
+    """Partition r holds exactly the rows of rank r, in order of position."""
+    return rows.repartitionById(workers, F.col("__rank")).sortWithinPartitions("__pos")
+
+
+def first_weights(dim: int, num_classes: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    return np.random.default_rng(seed).normal(0.0, 0.01, size=(dim, num_classes)), np.zeros(num_classes)
+
+
+def softmax_gradient(w: np.ndarray, b: np.ndarray, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Summed gradients of the cross-entropy over the rows."""
+    z = x @ w + b
+    z -= z.max(axis=1, keepdims=True)
+    p = np.exp(z)
+    p /= p.sum(axis=1, keepdims=True)
+    p[np.arange(len(y)), y] -= 1.0
+    return x.T @ p, p.sum(axis=0)
+
+
+def _batches(frames, size: int, dim: int):
+    """(x, y) of ``size`` rows each, re-cut from the frames of an iterator."""
+    x, y = np.zeros((0, dim)), np.zeros(0, dtype=np.int64)
+    for f in frames:
+        if len(f):
+            x = np.concatenate([x, np.stack(f["x"].to_numpy()).astype(np.float64)])
+            y = np.concatenate([y, f["y"].to_numpy().astype(np.int64)])
+        while len(x) >= size:
+            yield x[:size], y[:size]
+            x, y = x[size:], y[size:]
+    if len(x):
+        yield x, y
+
+
+def train_epoch(shards: Shards, w: np.ndarray, b: np.ndarray, batch_size: int = 128,
+                learning_rate: float = 0.1, scale_lr: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """One pass over all rows by one barrier task per shard; returns the new weights.
+
+    A step takes the next ``batch_size`` rows of every shard; the gradients are summed over
+    the tasks, so the weights equal those of one process whose batches are the unions.  No
+    row is left out: all tasks run the steps of the largest shard, and a task whose shard has
+    ended sends zero gradients.  A task holds one batch at a time.  The learning rate
+    grows with the number of workers, as in the reference (``scale_lr``).
     """
-    spark = df.sparkSession
-    pos = with_row_position(df.select(order_col, features, label), order_col, "__pos")
-    sharded = pos.withColumn("__rank", F.pmod(F.col("__pos"), F.lit(workers)).cast("int"))
-    sizes = {r["__rank"]: r["count"] for r in sharded.groupBy("__rank").count().collect()}
-    min_shard = min(sizes.get(r, 0) for r in range(workers))
-    steps_per_epoch = max(1, -(-min_shard // batch_size))
-    dim = len(sharded.select(features).first()[0])
-    lr = learning_rate * workers if scale_lr else learning_rate
-
-    def train(batches):
-        from pyspark import BarrierTaskContext
+    steps = -(-shards.largest // batch_size)
+    lr = learning_rate * shards.workers if scale_lr else learning_rate
+    dim, classes = w.shape
+
+    def train(frames):
         import pandas as pd
+        from pyspark import BarrierTaskContext
         ctx = BarrierTaskContext.get()
-        parts = [b for b in batches]
-        data = pd.concat(parts) if parts else pd.DataFrame(columns=[order_col, features, label, "__pos", "__rank"])
-        data = data.sort_values("__pos")
-        x = np.stack(data[features].to_numpy()).astype(np.float64) if len(data) else np.zeros((0, dim))
-        y = data[label].to_numpy().astype(np.int64)
-        x, y = x[:min_shard], y[:min_shard]          # equal data, equal steps on every task
-        if init is not None:          # same starting point on every task
-            w, b = np.array(init[0], dtype=np.float64), np.array(init[1], dtype=np.float64)
-        else:
-            rng = np.random.default_rng(seed)
-            w = rng.normal(0.0, 0.01, size=(dim, num_classes))
-            b = np.zeros(num_classes)
-        for _ in range(epochs):
-            for s in range(steps_per_epoch):
-                xb = x[s * batch_size:(s + 1) * batch_size]
-                yb = y[s * batch_size:(s + 1) * batch_size]
-                if len(xb):
-                    z = xb @ w + b
-                    z -= z.max(axis=1, keepdims=True)
-                    p = np.exp(z)
-                    p /= p.sum(axis=1, keepdims=True)
-                    p[np.arange(len(yb)), yb] -= 1.0
-                    gw, gb, n = xb.T @ p, p.sum(axis=0), len(yb)
-                else:
-                    gw, gb, n = np.zeros_like(w), np.zeros_like(b), 0
-                msgs = ctx.allGather(json.dumps({"gw": gw.tolist(), "gb": gb.tolist(), "n": n}))
-                tot_w, tot_b, tot_n = np.zeros_like(w), np.zeros_like(b), 0
-                for m in msgs:
-                    d = json.loads(m)
-                    tot_w += np.asarray(d["gw"])
-                    tot_b += np.asarray(d["gb"])
-                    tot_n += d["n"]
-                if tot_n:
-                    w -= lr * tot_w / tot_n
-                    b -= lr * tot_b / tot_n
+        mine = _batches(frames, batch_size, dim)
+        cur_w, cur_b = w.copy(), b.copy()
+        for _ in range(steps):
+            x, y = next(mine, (np.zeros((0, dim)), np.zeros(0, dtype=np.int64)))
+            gw, gb = softmax_gradient(cur_w, cur_b, x, y) if len(y) else (np.zeros_like(cur_w), np.zeros_like(cur_b))
+            sent = base64.b64encode(np.concatenate([gw.ravel(), gb, [float(len(y))]]).tobytes()).decode()
+            total = sum(np.frombuffer(base64.b64decode(m), dtype=np.float64) for m in ctx.allGather(sent))
+            if total[-1]:
+                cur_w -= lr * total[:dim * classes].reshape(dim, classes) / total[-1]
+                cur_b -= lr * total[dim * classes:-1] / total[-1]
         if ctx.partitionId() == 0:
-            yield pd.DataFrame({"w": [json.dumps(w.tolist())], "b": [json.dumps(b.tolist())]})
+            yield pd.DataFrame({"w": [cur_w.tobytes()], "b": [cur_b.tobytes()]})
+
+    out = ranged_by_rank(shards.rows, shards.workers).mapInPandas(train, "w binary, b binary", barrier=True).collect()
+    return (np.frombuffer(bytes(out[0]["w"]), dtype=np.float64).reshape(dim, classes).copy(),
+            np.frombuffer(bytes(out[0]["b"]), dtype=np.float64).copy())
 
-    out = (sharded.repartition(workers, "__rank")
-           .mapInPandas(train, "w string, b string", barrier=True)
-           .collect())
-    w = np.asarray(json.loads(out[0]["w"]))
-    b = np.asarray(json.loads(out[0]["b"]))
+
+def train_softmax_data_parallel(df: DataFrame, features: str, label: str, num_classes: int,
+                                workers: int, epochs: int = 2, batch_size: int = 128,
+                                learning_rate: float = 0.1, seed: int = 0,
+                                order_col: str = "vec_id", scale_lr: bool = True,
+                                after_epoch=None) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax regression trained on ``x[rank::workers]``; ``after_epoch(epoch, w, b)`` is called
+    after every epoch (checkpoints, validation)."""
+    shards = make_shards(df, features, label, workers, order_col)
+    w, b = first_weights(shards.dim, num_classes, seed)
+    for epoch in range(1, epochs + 1):
+        w, b = train_epoch(shards, w, b, batch_size, learning_rate, scale_lr)
+        if after_epoch:
+            after_epoch(epoch, w, b)
     return w, b
 
 

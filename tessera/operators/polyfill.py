@@ -9,8 +9,9 @@ proportional to crossings + output cells, never to polygons x candidate
 cells, and the only shuffle is the (polygon, row) grouping, which spreads one
 huge polygon over many tasks.
 
-A cell is in the fill iff its centre is inside (even-odd over all rings of all
-parts: union of parts, each with its own holes).
+A cell is in the fill iff its centre is inside some part (even-odd over the rings of the
+part, so each part has its own holes); overlapping parts are united row by row.  Open
+rings are closed.
 """
 
 from __future__ import annotations
@@ -30,21 +31,21 @@ def _keys(keys) -> list[str]:
 
 
 def geometry_edges(df: DataFrame, geom_col: str, keys, first_part_only: bool = False) -> DataFrame:
-    """One row per ring edge: keys..., x1, y1, x2, y2 (lon/lat)."""
+    """One row per ring edge: keys..., x1, y1, x2, y2 (lon/lat), part."""
     g = F.col(geom_col)
     if first_part_only:
         g = F.when(g.isNotNull(), G.geometry(g["gtype"], F.slice(g["polys"], 1, 1)))
     k = _keys(keys)
     return (df.select(*k, F.explode(G.st_edges(g)).alias("e"))
-            .select(*k, "e.x1", "e.y1", "e.x2", "e.y2"))
+            .select(*k, "e.x1", "e.y1", "e.x2", "e.y2", "e.part"))
 
 
 def row_crossings(edges: DataFrame, res: int, keys) -> DataFrame:
-    """keys..., b, uc: every crossing of a lattice row with an edge."""
+    """keys..., b, part, uc: every crossing of a lattice row with an edge."""
     k = _keys(keys)
     u1, v1 = C.lattice_uv(F.col("x1"), F.col("y1"), res)
     u2, v2 = C.lattice_uv(F.col("x2"), F.col("y2"), res)
-    e = edges.select(*k, u1.alias("u1"), v1.alias("v1"), u2.alias("u2"), v2.alias("v2")) \
+    e = edges.select(*k, "part", u1.alias("u1"), v1.alias("v1"), u2.alias("u2"), v2.alias("v2")) \
         .where(F.col("v1") != F.col("v2"))
     b_lo = F.floor(F.least("v1", "v2") / F.lit(H))
     b_hi = F.ceil(F.greatest("v1", "v2") / F.lit(H))
@@ -52,7 +53,26 @@ def row_crossings(edges: DataFrame, res: int, keys) -> DataFrame:
     vb = F.col("b").cast("double") * F.lit(H)
     crossing = (F.col("v1") > vb) != (F.col("v2") > vb)
     uc = F.col("u1") + (vb - F.col("v1")) * (F.col("u2") - F.col("u1")) / (F.col("v2") - F.col("v1"))
-    return rows.where(crossing).select(*k, "b", uc.alias("uc"))
+    return rows.where(crossing).select(*k, "b", "part", uc.alias("uc"))
+
+
+def _intervals(cs: Column) -> Column:
+    """Sorted (part, uc) crossings of a row -> its inside intervals, those of several parts
+    united.  A closed ring crosses a row an even number of times, so pairs stay in a part."""
+    pairs = F.when(F.size(cs) >= 2, F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(cs) / 2).cast("int") - 1),
+        lambda i: F.struct(cs[i * 2]["uc"].alias("c0"), cs[i * 2 + 1]["uc"].alias("c1"))))
+
+    def unite(acc, s):
+        last = F.element_at(acc, -1)
+        head = F.slice(acc, 1, F.size(acc) - 1)
+        return F.when((F.size(acc) > 0) & (F.try_element_at(acc, F.lit(-1))["c1"] >= s["c0"]),
+                      F.concat(head, F.array(F.struct(last["c0"].alias("c0"), F.greatest(last["c1"], s["c1"]).alias("c1"))))) \
+            .otherwise(F.concat(acc, F.array(s)))
+
+    several = F.element_at(cs, 1)["part"] != F.element_at(cs, -1)["part"]
+    return F.when(several, F.aggregate(F.array_sort(pairs), F.array().cast("array<struct<c0:double,c1:double>>"), unite)) \
+        .otherwise(pairs)
 
 
 def polyfill(df: DataFrame, geom_col: str, res: int, keys, first_part_only: bool = False,
@@ -64,12 +84,9 @@ def polyfill(df: DataFrame, geom_col: str, res: int, keys, first_part_only: bool
     k = _keys(keys)
     edges = geometry_edges(df, geom_col, k, first_part_only)
     xs = row_crossings(edges, res, k)
-    rows = xs.groupBy(*k, "b").agg(F.array_sort(F.collect_list("uc")).alias("cs"))
+    rows = xs.groupBy(*k, "b").agg(F.array_sort(F.collect_list(F.struct("part", "uc"))).alias("cs"))
     half = F.col("b").cast("double") * F.lit(0.5)
-    spans = rows.select(*k, "b", F.explode(F.transform(
-        F.sequence(F.lit(0), F.floor(F.size("cs") / 2).cast("int") - 1),
-        lambda i: F.struct(F.col("cs")[i * 2].alias("c0"), F.col("cs")[i * 2 + 1].alias("c1"))))
-        .alias("s"))
+    spans = rows.select(*k, "b", F.explode(_intervals(F.col("cs"))).alias("s"))
     a_lo = F.floor(F.col("s.c0") - half)
     a_hi = F.ceil(F.col("s.c1") - half)
     # split long spans into chunks of at most CHUNK centres and spread them
@@ -80,7 +97,7 @@ def polyfill(df: DataFrame, geom_col: str, res: int, keys, first_part_only: bool
     start = F.col("a_lo") + F.col("ch") * CHUNK
     stop = F.least(F.col("a_hi"), start + (CHUNK - 1))
     chunks = chunks.select(*k, "b", "c0", "c1", start.alias("a0"), stop.alias("a1")) \
-        .repartition(df.sparkSession.sparkContext.defaultParallelism)
+        .repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     cand = chunks.select(*k, "b", "c0", "c1", F.explode(F.sequence("a0", "a1")).alias("a"))
     uc = F.col("a").cast("double") + half
     inside = (F.col("c0") <= uc) & (uc < F.col("c1"))
@@ -158,73 +175,59 @@ def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cel
 
 # ---- compaction ------------------------------------------------------------
 
-def _compact_one(state: DataFrame, k: list[str], lvl: int) -> DataFrame:
-    """One level: open cells of level lvl+1 grouped by parent (<= 7 rows)."""
-    gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("c"), lvl + 1, lvl))
-    g = state.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list("c").alias("kids"))
-    merged = ~F.col("done") & (F.size("kids") == 7)
-    rows = F.when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done")))) \
-        .otherwise(F.transform("kids", lambda x: F.struct(x.alias("c"), F.lit(True).alias("done"))))
-    return g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
-
-
-def _compact_two(state: DataFrame, k: list[str], lvl: int) -> DataFrame:
-    """Two levels at once: open cells of level lvl+2 grouped by grandparent
-    (<= 49 rows); children complete at lvl+1 and the grandparent's completeness
-    are decided inside the group."""
-    p1 = C.cell_parent(F.col("c"), lvl + 2, lvl + 1)
-    s = state.withColumn("p1", F.when(F.col("done"), F.col("c")).otherwise(p1))
-    gk = F.when(F.col("done"), F.col("c")).otherwise(C.cell_parent(F.col("p1"), lvl + 1, lvl))
-    g = s.groupBy(*k, "done", gk.alias("g")).agg(F.collect_list(F.struct("c", "p1")).alias("kids"))
+def _sibling_groups(opened: DataFrame, k: list[str], lvl: int, two: bool) -> DataFrame:
+    """Open cells of level lvl + 2 (lvl + 1 unless ``two``) under their ancestor of level lvl:
+    keys..., g, up (the ancestor is complete), rest (else: what stays, with complete
+    intermediate parents in place of their children).  At most 49 (7) rows a group."""
+    if not two:
+        g = opened.groupBy(*k, C.cell_parent(F.col("c"), lvl + 1, lvl).alias("g")).agg(F.collect_list("c").alias("kids"))
+        return g.select(*k, "g", (F.size("kids") == 7).alias("up"), F.col("kids").alias("rest"))
+    s = opened.withColumn("p", C.cell_parent(F.col("c"), lvl + 2, lvl + 1))
+    g = (s.groupBy(*k, C.cell_parent(F.col("p"), lvl + 1, lvl).alias("g"))
+         .agg(F.collect_list(F.struct("c", "p")).alias("kids")))
     kids = F.col("kids")
-    full = F.filter(F.array_distinct(F.transform(kids, lambda x: x["p1"])),
-                    lambda p: F.size(F.filter(kids, lambda x: x["p1"] == p)) == 7)
-    done_row = lambda c: F.struct(c.alias("c"), F.lit(True).alias("done"))
-    merged = ~F.col("done") & (F.size(full) == 7)
-    partial = F.concat(F.transform(full, done_row),
-                       F.transform(F.filter(kids, lambda x: ~F.array_contains(full, x["p1"])),
-                                   lambda x: done_row(x["c"])))
-    rows = (F.when(F.col("done"), F.transform(kids, lambda x: done_row(x["c"])))
-            .when(merged, F.array(F.struct(F.col("g").alias("c"), F.lit(False).alias("done"))))
-            .otherwise(partial))
-    return g.select(*k, F.explode(rows).alias("r")).select(*k, "r.c", "r.done")
+    full = F.filter(F.array_distinct(F.transform(kids, lambda x: x["p"])),
+                    lambda p: F.size(F.filter(kids, lambda x: x["p"] == p)) == 7)
+    rest = F.concat(F.col("full"), F.transform(F.filter(kids, lambda x: ~F.array_contains(F.col("full"), x["p"])), lambda x: x["c"]))
+    return (g.withColumn("full", full)
+            .select(*k, "g", (F.size("full") == 7).alias("up"), rest.alias("rest")))
 
 
 def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
     """Replace every complete set of 7 siblings by their parent, repeatedly.
 
-    Input: cells of one resolution ``res`` per key.  Finest first, the still-open
-    cells are grouped by their grandparent (two levels per aggregation, <= 49
-    rows per group; one single-level step when an odd number of levels is
-    left): a parent with all 7 children stays open one level up, otherwise its
-    children are final.  Final cells pass through later steps under their own
-    id.  The open set shrinks ~49x per step over solid areas, the plan is a
-    linear chain (no reused sub-plans), and levels that cannot merge (7**depth
-    above the largest key's cell count) are skipped.
+    Input: cells of one resolution ``res`` per key.  Finest first, the open cells are grouped
+    by their grandparent (two levels per aggregation): a complete grandparent stays
+    open, everything else is final and set aside, so no cell is shuffled again once it is
+    final.  The open set shrinks 49x per step over solid areas and soon is empty.  The final
+    cells of all steps are united; a step's exchange is shared (reused) by the union's
+    branch of its final cells and the next step.
     """
     k = _keys(keys)
-    state = df.select(*k, F.col(cell_col).alias("c"), F.lit(False).alias("done")).distinct()
-    # a parent l levels up needs 7**l cells under one key: the largest key bounds
-    # how many levels can merge at all (one small aggregation job)
-    biggest = state.groupBy(*k).count().agg(F.max("count")).first()[0] or 0
-    depth = 0
-    while depth < res and 7 ** (depth + 1) <= biggest:
-        depth += 1
+    opened = df.select(*k, F.col(cell_col).alias("c")).distinct()
+    final = None
     lvl = res
-    while depth >= 2:
-        state = _compact_two(state, k, lvl - 2)
-        lvl, depth = lvl - 2, depth - 2
-    if depth == 1:
-        state = _compact_one(state, k, lvl - 1)
-    return state.select(*k, F.col("c").alias(cell_col))
+    while lvl > 0:
+        two = lvl >= 2
+        lvl -= 2 if two else 1
+        g = _sibling_groups(opened, k, lvl, two)
+        done = g.where(~F.col("up")).select(*k, F.explode("rest").alias("c"))
+        final = done if final is None else final.unionByName(done)
+        opened = g.where("up").select(*k, F.col("g").alias("c"))
+    final = opened if final is None else final.unionByName(opened)
+    return final.select(*k, F.col("c").alias(cell_col))
 
 
 def uncompact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
-    """Expand mixed-resolution cells to all their descendants at ``res`` (no shuffle)."""
+    """Expand mixed-resolution cells to all their descendants at ``res`` (no shuffle); a cell
+    finer than ``res`` is an error."""
     k = _keys(keys)
     cur = df.select(*k, F.col(cell_col).alias(cell_col))
     for lvl in range(0, res):
         c = F.col(cell_col)
         cur = cur.select(*k, F.explode(F.when(C.cell_res(c) == lvl, C.cell_children(c, lvl))
                                        .otherwise(F.array(c))).alias(cell_col))
-    return cur.where(C.cell_res(F.col(cell_col)) == res)
+    level = C.cell_res(F.col(cell_col))
+    ok = F.when(level == res, F.col(cell_col)).otherwise(F.raise_error(F.concat(
+        F.lit("uncompact: a cell of resolution "), level.cast("string"), F.lit(f" is finer than {res}"))).cast("long"))
+    return cur.select(*k, ok.alias(cell_col))

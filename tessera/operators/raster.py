@@ -8,6 +8,8 @@ aggregates are ``aggregate``, so everything stays in the JVM.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -86,19 +88,27 @@ def tile_centre_lonlat() -> Column:
     return G.st_reproject_xy(cx, cy, F.col("crs"))
 
 
-def read_raster_catalog(spark: SparkSession, catalog_csv: str, bands: list[str],
+def read_raster_catalog(spark: SparkSession, catalog: str | DataFrame, bands: list[str],
                         cols: int, rows: int) -> DataFrame:
-    """Catalog CSV (header = band names, one row per scene of pixel-table paths)
-    -> one row per tile with one array column per band.
+    """Catalog (CSV path or DataFrame: one column of pixel-table folders per band, one row per
+    scene) -> one row per tile with one array column per band.
 
-    The catalog is metadata (a handful of paths), so it is read on the driver;
-    the pixel tables themselves are read and tiled by executors.
+    The scene of a tile is its catalog row: the row's ``scene`` if the catalog has such a
+    column, else the folder of its first band.  The catalog is metadata - the folders it
+    lists are the arguments of one read per band - so it is read on the driver; the pixel
+    tables are read and tiled by executors.
     """
-    cat = spark.read.option("header", "true").csv(catalog_csv).collect()
+    if isinstance(catalog, str):
+        catalog = spark.read.option("header", "true").csv(catalog)
+    named = F.col("scene") if "scene" in catalog.columns else F.col(bands[0])
+    cat = catalog.select(named.cast("string").alias("scene"), *bands).collect()
+    folder = F.regexp_replace(F.regexp_extract("_metadata.file_path", "^(.*)/[^/]+$", 1), "^[a-z0-9]+:/+", "/")
     out = None
     for band in bands:
-        paths = [r[band] for r in cat]
-        pix = spark.read.parquet(*paths)
+        where = spark.createDataFrame([(re.sub("^[a-z0-9]+:/+", "/", r[band]).rstrip("/"), r["scene"]) for r in cat],
+                                      "__folder string, scene string")
+        pix = (spark.read.parquet(*[r[band] for r in cat]).drop("scene").withColumn("__folder", folder)
+               .join(F.broadcast(where), "__folder").drop("__folder"))     # one row per catalog row
         t = tiles_from_pixels(pix, "value", band, cols, rows)
         out = t if out is None else align_bands(out, t)
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,25 +13,34 @@ from tessera.session import scratch_dir
 DEFAULT_BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 
 
-def _width(t: T.DataType) -> int:
-    if isinstance(t, (T.LongType, T.DoubleType, T.TimestampType, T.TimestampNTZType)):
-        return 8
-    if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-        return 4
-    if isinstance(t, (T.BooleanType, T.ByteType)):
-        return 1
-    if isinstance(t, T.ShortType):
-        return 2
+def value_bytes(c: Column, t: T.DataType) -> Column:
+    """Bytes of a value in Spark's row format: 8 for each fixed value, strings and binaries
+    by their real length, structs and arrays by their real contents at any depth."""
+    if isinstance(t, (T.StringType, T.BinaryType)):
+        n = F.lit(16) + F.coalesce(F.octet_length(c), F.lit(0))
+    elif isinstance(t, T.StructType):
+        n = F.lit(24)
+        for f in t.fields:
+            n = n + value_bytes(c[f.name], f.dataType)
+    elif isinstance(t, T.ArrayType):
+        if _fixed(t.elementType):
+            n = F.lit(24) + F.coalesce(F.greatest(F.size(c), F.lit(0)), F.lit(0)) * _fixed(t.elementType)
+        else:
+            n = F.lit(24) + F.coalesce(F.aggregate(c, F.lit(0).cast("long"), lambda acc, x:
+                                                   acc + value_bytes(x, t.elementType).cast("long")), F.lit(0))
+    elif isinstance(t, T.MapType):
+        n = F.lit(48) + value_bytes(F.map_keys(c), T.ArrayType(t.keyType)) + value_bytes(F.map_values(c), T.ArrayType(t.valueType))
+    else:
+        n = F.lit(16 if isinstance(t, T.DecimalType) else 8)
+    return n
+
+
+def _fixed(t: T.DataType) -> int | None:
+    """Bytes of an array element if all values of the type have the same, else None."""
     if isinstance(t, T.StructType):
-        return sum(_width(f.dataType) for f in t.fields)
-    if isinstance(t, T.ArrayType):
-        return 16 + 8 * _width(t.elementType)   # assume a short array
-    return 24                                   # strings, binary, decimals, maps
-
-
-def row_bytes(df: DataFrame) -> int:
-    """Rough in-memory width of one row (fixed widths + a header)."""
-    return 8 + sum(_width(f.dataType) for f in df.schema.fields)
+        own = [_fixed(f.dataType) for f in t.fields]
+        return None if None in own else 24 + sum(max(8, n) for n in own)
+    return None if isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.MapType)) else 8
 
 
 def broadcast_limit(spark: SparkSession) -> int:
@@ -60,19 +69,12 @@ class Materialised:
 
 
 def _measure(df: DataFrame) -> tuple[int, int]:
-    """(rows, estimated bytes) in one aggregation: fixed widths plus the real
-    element counts of top-level array columns."""
-    arrays = [f for f in df.schema.fields if isinstance(f.dataType, T.ArrayType)]
-    aggs = [F.count(F.lit(1)).alias("__rows")]
-    for i, f in enumerate(arrays):
-        aggs.append(F.coalesce(F.sum(F.size(F.col(f.name))), F.lit(0)).alias(f"__a{i}"))
-    r = df.agg(*aggs).first()
-    rows = int(r["__rows"])
-    fixed = 8 + sum(_width(f.dataType) for f in df.schema.fields if not isinstance(f.dataType, T.ArrayType))
-    nbytes = rows * fixed
-    for i, f in enumerate(arrays):
-        nbytes += int(r[f"__a{i}"]) * _width(f.dataType.elementType) + rows * 16
-    return rows, nbytes
+    """(rows, bytes) in one aggregation over the real contents."""
+    row = F.lit(16)
+    for f in df.schema.fields:
+        row = row + value_bytes(F.col(f.name), f.dataType)
+    r = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes")).first()
+    return int(r["rows"]), int(r["bytes"])
 
 
 def materialise(df: DataFrame, name: str, partition_hint: int | None = None,

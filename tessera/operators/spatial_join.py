@@ -16,7 +16,7 @@ the planner shuffles both sides on the cell and AQE splits hot cells.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import cells as C
@@ -27,7 +27,10 @@ from tessera.operators.sizing import materialise
 
 def cell_join(points: DataFrame, point_cell: str, zone_cells: DataFrame, zone_cell: str = "cell",
               how: str = "inner") -> DataFrame:
-    """Equi-join on cell id; the zone side is size-checked before broadcasting."""
+    """Equi-join on cell id; the zone side is size-checked before broadcasting.
+
+    The join is as exact as the cells: a point of a boundary cell matches when the cell's centre
+    is inside.  ``refined_cell_join`` tests such points."""
     m = materialise(zone_cells, "zone_cells")
     z = m.for_join()
     if point_cell == zone_cell:
@@ -35,6 +38,13 @@ def cell_join(points: DataFrame, point_cell: str, zone_cells: DataFrame, zone_ce
     return points.join(z, points[point_cell] == z[zone_cell], how)
 
 
+def refined_cell_join(points: DataFrame, lon: str, lat: str, zones: DataFrame, geom_col: str, key: str, res: int,
+                      zone_cols: list[str] | None = None, lookup=None) -> DataFrame:
+    """Cell join with refinement: points in core cells match at once, those in boundary cells are
+    tested against the edges near the cell.  The result is exact at every resolution."""
+    return pip_join(points, lon, lat, zones, geom_col, key, res, zone_cols, lookup)
+
+
 def zone_cover(zones: DataFrame, geom_col: str, key: str, res: int):
     """Materialised cover (key, cell, core) and edge table (key, edges) of the zones."""
     cover = materialise(P.polycover(zones, geom_col, res, key), "zone_cover")
@@ -71,62 +81,74 @@ def _sliver_ambiguous(cx: Column, cy: Column, edges: Column) -> Column:
     return F.exists(edges, near)
 
 
-MODE_CORE, MODE_LOCAL, MODE_FULL = 0, 1, 2
+#: Size of a cell of resolution 0 in degrees, roughly; reference points are moved by small parts of it.
+CELL_DEGREES = 10.0
+REFERENCE_SHIFT = (0.0137, 0.0071)
+
+
+def _exact_references(bnd: DataFrame, parts: DataFrame, keys: list[str], res: int) -> DataFrame:
+    """Boundary cells whose centre is too close to an edge: a reference point a little off the
+    centre, with its status tested against all edges of the part.  The (rare) reference points
+    meet the edges in an equi-join on the part and only crossings are counted, so no edge
+    list is copied to a cell."""
+    size = CELL_DEGREES * 7.0 ** (-res / 2)
+    moved = bnd.withColumn("cx", F.col("cx") + size * REFERENCE_SHIFT[0]).withColumn("cy", F.col("cy") + size * REFERENCE_SHIFT[1])
+    edges = parts.select(*keys, F.explode(G.st_edges(F.col("__pgeom"))).alias("e")).select(*keys, "e.x1", "e.y1", "e.x2", "e.y2")
+    crosses = ((F.col("y1") > F.col("cy")) != (F.col("y2") > F.col("cy"))) & \
+        (F.col("cx") < F.col("x1") + (F.col("cy") - F.col("y1")) * (F.col("x2") - F.col("x1")) / (F.col("y2") - F.col("y1")))
+    status = (moved.select(*keys, "cell", "cx", "cy").join(edges, keys).groupBy(*keys, "cell")
+              .agg((F.sum(crosses.cast("int")) % 2 == 1).alias("centre_in")))
+    return moved.drop("centre_in").join(status, [*keys, "cell"])
 
 
 def zone_lookup(zones: DataFrame, geom_col: str, key: str, res: int, attr_cols: list[str],
                 order_col: str):
-    """Per cell, the zones that may contain a point of the cell, sorted by
-    ``order_col``: ``cell -> cands array<struct<order, key, attrs..., mode,
-    centre_in, cx, cy, edges>>``.
-
-    * mode 0 (core): the cell lies inside the zone, no test needed;
-    * mode 1 (local): boundary cell; ``edges`` holds only the zone edges near the
-      cell, and a point's status is the centre's status flipped by the parity of
-      edges crossed on the way to the centre;
-    * mode 2 (full): the centre lies within the bending sliver of an edge (rare);
-      ``edges`` holds all the zone's edges and the full even-odd test runs.
-
-    Built once per zone table with joins and aggregations whose groups are
-    bounded by local boundary complexity; materialised and size-checked.
+    """Per cell, the zone parts that may contain a point of the cell, sorted by ``order_col``:
+    ``cell -> cands array<struct<order, key, attrs..., core, centre_in, cx, cy, edges>>``.
+
+    A core cell lies inside the part and needs no test.  Otherwise ``edges`` holds the edges of
+    the part near the cell, and a point's status is that of the reference point (the centre,
+    or a point next to it when the centre lies in the bending sliver of an edge) flipped
+    by the parity of the edges crossed on the way there.
+
+    Built once per zone table - pass the result to the joins - with joins and aggregations
+    whose groups are bounded by the complexity of the boundary near a cell; materialised
+    and measured.
     """
+    parts = zones.select(key, F.posexplode(G.st_parts(F.col(geom_col))).alias("__part", "__pgeom"))
+    keys = [key, "__part"]
     # written once: both the core and the boundary entries derive from it
-    cover = materialise(P.polycover(zones, geom_col, res, key, with_centre=True), "zone_cover",
+    cover = materialise(P.polycover(parts, "__pgeom", res, keys, with_centre=True), "zone_cover",
                         measure=False).df
-    near = P.edges_near_cells(zones, geom_col, res, key)
-    bnd = (cover.where(~F.col("core")).select(key, "cell", "centre_in")
-           .join(near, [key, "cell"])
-           .groupBy(key, "cell", "centre_in")
+    near = P.edges_near_cells(parts, "__pgeom", res, keys)
+    bnd = (cover.where(~F.col("core")).select(*keys, "cell", "centre_in")
+           .join(near, [*keys, "cell"])
+           .groupBy(*keys, "cell", "centre_in")
            .agg(F.collect_list(F.struct("x1", "y1", "x2", "y2")).alias("edges")))
     ctr = C.cell_centre(F.col("cell"))
-    bnd = materialise(bnd.select(key, "cell", "centre_in", ctr["lon"].alias("cx"), ctr["lat"].alias("cy"),
+    cols = [*keys, "cell", "centre_in", "cx", "cy", "edges"]
+    bnd = materialise(bnd.select(*keys, "cell", "centre_in", ctr["lon"].alias("cx"), ctr["lat"].alias("cy"),
                                  "edges"), "zone_boundary", measure=False).df
-    amb = _sliver_ambiguous(F.col("cx"), F.col("cy"), F.col("edges"))
-    local = bnd.where(~amb).withColumn("mode", F.lit(MODE_LOCAL))
-    full_edges = zones.select(key, G.st_edges(F.col(geom_col)).alias("full"))
-    full = (bnd.where(amb).join(full_edges, key)
-            .select(key, "cell", "centre_in", "cx", "cy", F.col("full").alias("edges"))
-            .withColumn("mode", F.lit(MODE_FULL)))
+    close = _sliver_ambiguous(F.col("cx"), F.col("cy"), F.col("edges"))
+    local = bnd.where(~close).select(*cols).unionByName(
+        _exact_references(bnd.where(close), parts, keys, res).select(*cols)).withColumn("core", F.lit(False))
     core = cover.where(F.col("core")).select(
-        key, "cell", F.lit(True).alias("centre_in"), F.lit(None).cast("double").alias("cx"),
-        F.lit(None).cast("double").alias("cy"), F.array().cast(G.EDGE_TYPE).alias("edges"),
-        F.lit(MODE_CORE).alias("mode"))
-    cols = [key, "cell", "centre_in", "cx", "cy", "edges", "mode"]
-    entries = core.select(*cols).unionByName(local.select(*cols)).unionByName(full.select(*cols))
-    attrs = zones.select(key, F.col(order_col).alias("__order"), *attr_cols)
-    entries = entries.join(attrs, key)
-    cand = F.struct(F.col("__order").alias("order"), F.col(key).alias("key"), *[F.col(c) for c in attr_cols],
-                    "mode", "centre_in", "cx", "cy", "edges")
+        *keys, "cell", F.lit(True).alias("centre_in"), F.lit(None).cast("double").alias("cx"),
+        F.lit(None).cast("double").alias("cy"), F.array().cast(LOCAL_EDGES).alias("edges"), F.lit(True).alias("core"))
+    attrs = zones.select(key, F.col(order_col).alias("__order"), *[F.col(c).alias(f"__a_{c}") for c in attr_cols])
+    entries = core.unionByName(local).join(attrs, key)
+    cand = F.struct(F.col("__order").alias("order"), F.col(key).alias("key"), *[F.col(f"__a_{c}").alias(c) for c in attr_cols],
+                    "core", "centre_in", "cx", "cy", "edges")
     table = entries.groupBy("cell").agg(F.array_sort(F.collect_list(cand)).alias("cands"))
     return materialise(table, "zone_lookup")
 
 
+LOCAL_EDGES = "array<struct<x1:double,y1:double,x2:double,y2:double>>"
+
+
 def _hit(c: Column, px: Column, py: Column) -> Column:
-    local = (c["mode"] == MODE_LOCAL) & (
-        G.on_any_edge(px, py, c["edges"])
-        | (c["centre_in"] != G.segment_crossing_parity(px, py, c["cx"], c["cy"], c["edges"])))
-    full = (c["mode"] == MODE_FULL) & G.point_in_edges(px, py, c["edges"], inclusive=True)
-    return (c["mode"] == MODE_CORE) | local | full
+    return c["core"] | G.on_any_edge(px, py, c["edges"]) | (
+        c["centre_in"] != G.segment_crossing_parity(px, py, c["cx"], c["cy"], c["edges"]))
 
 
 def _lookup_join(points: DataFrame, lon: str, lat: str, lookup, res: int) -> DataFrame:
@@ -136,31 +158,35 @@ def _lookup_join(points: DataFrame, lon: str, lat: str, lookup, res: int) -> Dat
 
 
 def pip_join(points: DataFrame, lon: str, lat: str, zones: DataFrame, geom_col: str, key: str,
-             res: int = 9, zone_cols: list[str] | None = None) -> DataFrame:
+             res: int = 9, zone_cols: list[str] | None = None, lookup=None) -> DataFrame:
     """All (point, zone) pairs where the zone polygon intersects the point
-    (boundary inclusive).  One broadcast lookup per point, no shuffle of points:
-    output = point columns + key + zone_cols."""
+    (boundary inclusive).  One lookup per point, no shuffle of points while the lookup
+    fits the broadcast limit: output = point columns + key + zone_cols.
+
+    ``lookup`` is a zone_lookup of the same zones and resolution with these columns; it is
+    built here when none is given."""
     zone_cols = zone_cols or []
-    lookup = zone_lookup(zones, geom_col, key, res, zone_cols, key)
+    lookup = lookup or zone_lookup(zones, geom_col, key, res, zone_cols, key)
     j = _lookup_join(points, lon, lat, lookup, res)
     px, py = F.col(lon), F.col(lat)
-    hits = F.filter("cands", lambda c: _hit(c, px, py))
+    # a zone is met once however many of its parts hold the point
+    hits = F.array_distinct(F.transform(F.filter("cands", lambda c: _hit(c, px, py)),
+                                        lambda c: F.struct(c["key"].alias("key"), *[c[z].alias(z) for z in zone_cols])))
     out = j.select(*points.columns, F.explode(hits).alias("__z"))
     return out.select(*points.columns, F.col("__z.key").alias(key), *[F.col(f"__z.{c}").alias(c) for c in zone_cols])
 
 
 def pip_first_match(points: DataFrame, id_col: str, lon: str, lat: str, zones: DataFrame,
                     geom_col: str, key: str, order_col: str, value_col: str, out_col: str,
-                    res: int = 9) -> DataFrame:
+                    res: int = 9, lookup=None) -> DataFrame:
     """Points with ``out_col`` = value of the first zone by ``order_col`` that
     contains the point and has a non-null value; null when none.
 
     Candidates of a cell are pre-sorted by the order, so the answer is the first
-    candidate passing its test: a per-row expression after one broadcast
-    lookup -- no shuffle of the points, no aggregation."""
-    z = zones.where(F.col(value_col).isNotNull())
-    lookup = zone_lookup(z, geom_col, key, res, [value_col], order_col)
+    candidate passing its test: a per-row expression after one lookup -- no
+    aggregation.  ``lookup`` as for pip_join, ordered by ``order_col``, with ``value_col``."""
+    lookup = lookup or zone_lookup(zones, geom_col, key, res, [value_col], order_col)
     j = _lookup_join(points, lon, lat, lookup, res)
     px, py = F.col(lon), F.col(lat)
-    first = F.get(F.filter("cands", lambda c: _hit(c, px, py)), 0)
+    first = F.get(F.filter("cands", lambda c: c[value_col].isNotNull() & _hit(c, px, py)), 0)
     return j.select(*points.columns, first[value_col].alias(out_col))

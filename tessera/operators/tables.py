@@ -4,6 +4,7 @@ drop, database scope, temp views and small-file compaction."""
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,6 +44,25 @@ def use_database(spark: SparkSession, db: str) -> DataFrame:
     return spark.sql("SHOW TABLES")
 
 
+@contextmanager
+def database(spark: SparkSession, db: str):
+    """Work in a database of its own; afterwards it is dropped and the former one is current."""
+    former = spark.catalog.currentDatabase()
+    try:
+        use_database(spark, db)
+        yield
+    finally:
+        spark.sql(f"USE {former}")
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def sample_by_hash(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
+    """Rows whose hashed key falls into the fraction: the same rows in every run and under any
+    partitioning (``DataFrame.sample`` depends on both)."""
+    h = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string"))), 1, 8), 16, 10).cast("long")
+    return df.where(h < int(fraction * (1 << 32)))
+
+
 def compact_files(spark: SparkSession, src: str, dst: str, order_by: str | None = None,
                   target_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> DataFrame:
     """Rewrite a parquet table with few large files (the content is unchanged).

@@ -117,9 +117,17 @@ poly_edges AS (SELECT * FROM zone_edges WHERE location_id % 4 <> 0),
 {O.fill_ctes('pf', 'poly_edges', RES_ZONE_JOIN)}
 SELECT location_id, cell FROM pf"""
     q["polyfill_multipolygon"] = f"""WITH {O.zones_cte()},
+multi_edges AS (SELECT * FROM zone_edges WHERE location_id % 4 = 0),
+{O.fill_ctes('pf', 'multi_edges', RES_ZONE_JOIN)}
+SELECT location_id, cell FROM pf"""
+    q["polyfill_first_part"] = f"""WITH {O.zones_cte()},
 multi_edges AS (SELECT * FROM zone_edges WHERE location_id % 4 = 0 AND kind IN (0, 1)),
 {O.fill_ctes('pf', 'multi_edges', RES_ZONE_JOIN)}
 SELECT location_id, cell FROM pf"""
+    q["zones_cells_r12"] = f"""WITH {O.zones_cte()},
+{O.fill_ctes('zc', 'zone_edges', RES_TRIPS)}
+SELECT location_id AS locationid, count(*) AS num_cells, min(cell) AS first_cell, max(cell) AS last_cell,
+       CAST(sum(cell % 1000003) AS BIGINT) AS checksum FROM zc GROUP BY location_id"""
     q["join_cell_zone"] = f"""WITH {trips},
 {O.zones_cte()},
 {O.fill_ctes('zc', 'zone_edges', RES_ZONE_JOIN)},
@@ -134,6 +142,7 @@ FROM trips GROUP BY 1"""
 {O.zones_cte()},
 {_pip_pairs()}
 SELECT trip_id, location_id FROM pairs"""
+    q["refined_cell_join"] = q["pip_join"]
     q["pip_first_match"] = f"""WITH {trips},
 {O.zones_cte()},
 {_pip_pairs()},

@@ -24,6 +24,19 @@ RES_ZONES = 9           # all-zone fill and the exact point-in-polygon cover
 TS_FMT = "yyyy-MM-dd HH:mm:ss"
 
 
+_LOOKUPS: dict[tuple[str, str], object] = {}
+
+
+def zones_lookup(spark: SparkSession, sf: str):
+    """The zone lookup at RES_ZONES, built once per session and input and shared by the
+    point-in-polygon queries."""
+    name = (spark.sparkContext.applicationId, sf)
+    if name not in _LOOKUPS:
+        _LOOKUPS[name] = J.zone_lookup(zones_geom(spark, sf), "geom", "location_id", RES_ZONES,
+                                       ["borough"], "zone_order")
+    return _LOOKUPS[name]
+
+
 def zones_geom(spark: SparkSession, sf: str) -> DataFrame:
     return FX.zones_fx(spark, sf).withColumn("geom", G.st_geom_from_wkt("the_geom"))
 
@@ -64,11 +77,15 @@ def q_cell_from_lonlat(spark, sf):
 
 @register("airport_trips", oracle="S", flagship=True)
 def q_airport_trips(spark, sf):
-    """Trips between the two airports: count, passengers and fare text (cell joins)."""
+    """Trips between two different airports: count, passengers and fare text (cell joins)."""
+    return between_airports(spark, sf, airports_cells(spark, sf))
+
+
+def between_airports(spark: SparkSession, sf: str, airports: DataFrame) -> DataFrame:
     t = trips_cells(spark, sf, RES_TRIPS)
     # one size-checked dimension joined twice under two aliases: the planner
     # reuses a single broadcast for both sides
-    ap = materialise(airports_cells(spark, sf), "airports_h3").for_join()
+    ap = materialise(airports, "airports_h3").for_join()
     src, trg = ap.alias("src"), ap.alias("trg")
     j = (t.join(src, C.cell_key(t.pickup_cell) == F.col("src.cell"))
          .join(trg, C.cell_key(t.dropoff_cell) == F.col("trg.cell"))
@@ -150,11 +167,36 @@ def q_polyfill_polygon(spark, sf):
 
 @register("polyfill_multipolygon", oracle="S")
 def q_polyfill_multipolygon(spark, sf):
-    """MultiPolygon-only fill of the first part (the reference's part handling)."""
+    """MultiPolygon-only fill of all parts."""
+    z = zones_geom(spark, sf).where(G.st_geometry_type("geom") == "MULTIPOLYGON")
+    return P.polyfill(z, "geom", RES_ZONE_JOIN, "location_id")
+
+
+@register("polyfill_first_part", oracle="S")
+def q_polyfill_first_part(spark, sf):
+    """MultiPolygon-only fill of the first part (the part handling of the reference's first
+    notebook)."""
     z = zones_geom(spark, sf).where(G.st_geometry_type("geom") == "MULTIPOLYGON")
     return P.polyfill(z, "geom", RES_ZONE_JOIN, "location_id", first_part_only=True)
 
 
+@register("zones_cells_r12", oracle="S")
+def q_zones_cells_r12(spark, sf):
+    """The fill of every zone at the trip resolution: count and checksum of the cells."""
+    cells = P.polyfill(zones_geom(spark, sf), "geom", RES_TRIPS, "location_id")
+    return cells.groupBy(F.col("location_id").alias("locationid")).agg(
+        F.count(F.lit(1)).alias("num_cells"), F.min("cell").alias("first_cell"), F.max("cell").alias("last_cell"),
+        F.sum(F.col("cell") % 1000003).alias("checksum"))
+
+
+@register("refined_cell_join", oracle="S")
+def q_refined_cell_join(spark, sf):
+    """The resolution-7 cell join with refinement: exact, as pip_join."""
+    t = FX.trips_fx(spark, sf).select("trip_id", "pickup_longitude", "pickup_latitude")
+    return J.refined_cell_join(t, "pickup_longitude", "pickup_latitude", zones_geom(spark, sf), "geom", "location_id",
+                               RES_ZONE_JOIN).select("trip_id", "location_id")
+
+
 @register("join_cell_zone", oracle="S")
 def q_join_cell_zone(spark, sf):
     """Pickups joined to zones through resolution-7 cells (approximate join)."""
@@ -182,7 +224,8 @@ def q_cell_density(spark, sf):
 def q_pip_join(spark, sf):
     t = FX.trips_fx(spark, sf).select("trip_id", "pickup_longitude", "pickup_latitude")
     z = zones_geom(spark, sf)
-    out = J.pip_join(t, "pickup_longitude", "pickup_latitude", z, "geom", "location_id", RES_ZONES)
+    out = J.pip_join(t, "pickup_longitude", "pickup_latitude", z, "geom", "location_id", RES_ZONES,
+                     lookup=zones_lookup(spark, sf))
     return out.select("trip_id", "location_id")
 
 
@@ -194,4 +237,5 @@ def q_pip_first_match(spark, sf):
         "pickup_latitude", "pickup_longitude")
     z = zones_geom(spark, sf)
     return J.pip_first_match(t, "trip_id", "pickup_longitude", "pickup_latitude", z, "geom",
-                             "location_id", "zone_order", "borough", "pickup_borough", RES_ZONES)
+                             "location_id", "zone_order", "borough", "pickup_borough", RES_ZONES,
+                             lookup=zones_lookup(spark, sf))

@@ -49,7 +49,7 @@ def q_st_geom_from_geojson(spark, sf):
 
 def _geojson_dir(spark, sf) -> str:
     path = scratch_dir(spark, "zones_geojson")
-    RD.write_geojson(_zones(spark, sf), path, "geom", ["location_id", "borough", "zone"], files=3)
+    RD.write_geojson(_zones(spark, sf), path, "geom", ["location_id", "borough", "zone"], per_document=10)
     return path
 
 
@@ -75,16 +75,25 @@ def q_struct_project(spark, sf):
                     F.col("feature.properties.zone").alias("zone"))
 
 
-@register("geometry_to_json", oracle="R")
+@register("geometry_to_json", oracle="S")
 def q_geometry_to_json(spark, sf):
+    """Geometries printed as JSON text, compared through the fields of that text."""
     coll = RD.read_geojson(spark, _geojson_dir(spark, sf))
     f = coll.select(F.explode("features").alias("feature"))
-    return f.select(F.to_json(F.col("feature.geometry")).alias("geometry_json"))
+    js = f.select(F.col("feature.properties.location_id").cast("int").alias("location_id"),
+                  F.to_json(F.col("feature.geometry")).alias("js"))
+    return js.select("location_id", F.get_json_object("js", "$.type").alias("gtype"),
+                     F.regexp_count(F.get_json_object("js", "$.coordinates"), F.lit("\\[-?[0-9]")).cast("long").alias("num_points"))
 
 
-@register("scan_geojson", oracle="R")
+@register("scan_geojson", oracle="S")
 def q_scan_geojson(spark, sf):
-    return RD.read_geojson(spark, _geojson_dir(spark, sf))
+    """FeatureCollection files of at most ten features, as read: one row per feature."""
+    coll = RD.read_geojson(spark, _geojson_dir(spark, sf))
+    f = coll.select("type", F.explode("features").alias("f"))
+    return f.select("type", F.col("f.type").alias("feature_type"), F.col("f.properties.location_id").alias("location_id"),
+                    F.col("f.properties.borough").alias("borough"), F.col("f.properties.zone").alias("zone"),
+                    F.col("f.geometry.type").alias("gtype"))
 
 
 @register("explode_array", oracle="S")
@@ -152,7 +161,7 @@ def q_st_centroid(spark, sf):
 
 @register("sql_functions", oracle="S")
 def q_sql_functions(spark, sf):
-    """The SQL names (st_*, h3_longlatash3, ...) used from a SQL statement."""
+    """The SQL names (st_*, cell_from_lonlat, ...) used from a SQL statement."""
     from tessera.functions.sqlfuncs import register_sql_functions
     import uuid
     register_sql_functions(spark)
@@ -161,9 +170,10 @@ def q_sql_functions(spark, sf):
     FX.zones_fx(spark, sf).createOrReplaceTempView(zv)
     return spark.sql(f"""
         SELECT t.trip_id,
-               h3_longlatash3(t.pickup_longitude, t.pickup_latitude, 12) AS pickup_cell,
+               cell_from_lonlat(t.pickup_longitude, t.pickup_latitude, 12) AS pickup_cell,
                geo_to_cell(t.pickup_latitude, t.pickup_longitude, 7) AS pickup_r7,
-               cell_resolution(h3_longlatash3(t.pickup_longitude, t.pickup_latitude, 9)) AS res,
+               cell_resolution(cell_from_lonlat(t.pickup_longitude, t.pickup_latitude, 9)) AS res,
+               cell_parent(cell_from_lonlat(t.pickup_longitude, t.pickup_latitude, 12)) AS parent_r11,
                st_intersects_point(z.g, t.pickup_longitude, t.pickup_latitude) AS inside,
                z.gtype, z.npoints, z.area_e4
         FROM {tv} t
@@ -196,6 +206,10 @@ SELECT location_id, {gtype} AS gtype, CASE WHEN location_id % 4 = 0 THEN 2 ELSE
   FROM (SELECT location_id, kind, sum(x1 * y2 - x2 * y1) AS a2 FROM zone_edges GROUP BY location_id, kind) r
   GROUP BY location_id
 )"""
+    jtype = "CASE WHEN location_id % 4 = 0 THEN 'MultiPolygon' ELSE 'Polygon' END"
+    q["geometry_to_json"] = f"WITH {zc},\n{vstats}\nSELECT location_id, {jtype} AS gtype, num_points FROM vstats"
+    q["scan_geojson"] = (f"WITH {zc}\nSELECT 'FeatureCollection' AS type, 'Feature' AS feature_type, CAST(location_id AS VARCHAR) AS location_id, "
+                         f"borough, zone, {jtype} AS gtype FROM zones")
     q["geojson_features"] = f"""WITH {zc},
 {vstats},
 {area}
@@ -256,7 +270,8 @@ pip AS (
   GROUP BY t.trip_id, t.pickup_longitude, t.pickup_latitude
 )
 SELECT t.trip_id, {O.cell('t.pickup_longitude', 't.pickup_latitude', 12)} AS pickup_cell,
-       {O.cell('t.pickup_longitude', 't.pickup_latitude', 7)} AS pickup_r7, 9 AS res, p.inside,
+       {O.cell('t.pickup_longitude', 't.pickup_latitude', 7)} AS pickup_r7, 9 AS res,
+       {O.encode(11, *O.parent_ab(O.cell_a(O.cell('t.pickup_longitude', 't.pickup_latitude', 12)), O.cell_b(O.cell('t.pickup_longitude', 't.pickup_latitude', 12)), 12))} AS parent_r11, p.inside,
        {gtype.replace('location_id', 'n.location_id')} AS gtype, n.npoints, round(a.area * {O.d(1e4)}, 6) AS area_e4
 FROM trips t JOIN pip p USING (trip_id) JOIN npts n ON n.location_id = t.trip_id % 25
 JOIN areas a ON a.location_id = n.location_id"""

@@ -4,8 +4,7 @@ barrier mode, checkpoints and batch scoring."""
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.functions import array_to_vector, vector_to_array
+import numpy as np
 from pyspark.sql import functions as F
 
 from tessera.operators import learn as L
@@ -103,55 +102,59 @@ def _train_test(spark, sf):
     return s.where(F.col("part") == "train"), s.where(F.col("part") == "test")
 
 
-@register("train_classifier", oracle="R")
-def q_train_classifier(spark, sf):
-    """Single-process baseline: multinomial logistic regression (pyspark.ml)."""
-    train, test = _train_test(spark, sf)
-    lr = LogisticRegression(family="multinomial", maxIter=EPOCHS * 10, regParam=0.0,
-                            featuresCol="fv", labelCol="label")
-    model = lr.fit(train.withColumn("fv", array_to_vector("features")))
-    pred = model.transform(test.withColumn("fv", array_to_vector("features"))) \
-        .withColumn("p", vector_to_array("probability"))
+def _evaluated(test, w, b):
+    pred = test.withColumn("p", L.predict_proba("features", w, b))
     return L.eval_loss_accuracy(pred, "p", "label")
 
 
-def _train_parallel(spark, sf, epochs=EPOCHS, init=None):
+def _train(spark, sf, workers, after_epoch=None):
     train, _ = _train_test(spark, sf)
-    return L.train_softmax_data_parallel(train, "features", "label", NC, WORKERS, epochs=epochs,
-                                         batch_size=BATCH_SIZE, learning_rate=LEARNING_RATE, init=init)
+    return L.train_softmax_data_parallel(train, "features", "label", NC, workers, epochs=EPOCHS, batch_size=BATCH_SIZE,
+                                         learning_rate=LEARNING_RATE, after_epoch=after_epoch)
+
+
+@register("train_classifier", oracle="R")
+def q_train_classifier(spark, sf):
+    """One worker; loss and accuracy on the test part after every epoch."""
+    _, test = _train_test(spark, sf)
+    seen = []
+    _train(spark, sf, 1, lambda epoch, w, b: seen.append(_evaluated(test, w, b).withColumn("epoch", F.lit(epoch))))
+    out = seen[0]
+    for df in seen[1:]:
+        out = out.unionByName(df)
+    return out
 
 
 @register("train_data_parallel", oracle="R")
 def q_train_data_parallel(spark, sf):
     """Barrier-mode training on 2 shards, evaluated on the test part."""
-    w, b = _train_parallel(spark, sf)
     _, test = _train_test(spark, sf)
-    pred = test.withColumn("p", L.predict_proba("features", w, b))
-    return L.eval_loss_accuracy(pred, "p", "label")
+    return _evaluated(test, *_train(spark, sf, WORKERS))
 
 
 @register("checkpoint_latest", oracle="R")
 def q_checkpoint_latest(spark, sf):
-    """One checkpoint per epoch (written once per epoch); reload the latest."""
+    """One checkpoint per epoch (the shards are made once); reload the latest."""
     path = L.new_checkpoint_dir(spark)
-    state = None
-    for epoch in range(1, EPOCHS + 1):
-        state = _train_parallel(spark, sf, epochs=1, init=state)
-        L.save_checkpoint(spark, path, epoch, *state)
+    _train(spark, sf, WORKERS, lambda epoch, w, b: L.save_checkpoint(spark, path, epoch, w, b))
     epoch, w, b = L.load_latest_checkpoint(spark, path)
     _, test = _train_test(spark, sf)
-    pred = test.withColumn("p", L.predict_proba("features", w, b))
-    return L.eval_loss_accuracy(pred, "p", "label").withColumn("epoch", F.lit(epoch))
+    return _evaluated(test, w, b).withColumn("epoch", F.lit(epoch))
 
 
-@register("batch_predict", oracle="R")
+def fixed_weights(dim: int = FX.SAMPLE_ROWS * FX.SAMPLE_COLS):
+    """A fixed model whose predictions SQL can follow."""
+    i, j = np.arange(dim)[:, None], np.arange(NC)[None, :]
+    return ((i * 7 + j * 3) % 11 - 5) / 2.0, np.arange(NC) / 10.0
+
+
+@register("batch_predict", oracle="S")
 def q_batch_predict(spark, sf):
-    """model.predict on new rows, then rint of the probabilities."""
-    w, b = _train_parallel(spark, sf)
+    """model.predict on new rows, then rint of the probabilities (fixed weights)."""
     _, test = _train_test(spark, sf)
-    pred = test.withColumn("p", L.predict_proba("features", w, b))
-    return pred.select("vec_id", L.argmax("p").alias("predicted"),
-                       L.rint_array("p").alias("rounded"))
+    pred = test.withColumn("p", L.predict_proba("features", *fixed_weights()))
+    return pred.select("vec_id", L.argmax("p").alias("predicted"), F.round(F.array_max("p"), 6).alias("best"),
+                       F.aggregate(L.rint_array("p"), F.lit(0.0), lambda a, v: a + v).alias("ones"))
 
 
 # ---- oracle SQL ----------------------------------------------------------------------
@@ -196,5 +199,14 @@ FROM pp"""
 SELECT round(avg(-ln(p[label + 1])), 6) AS loss,
        round(avg(CASE WHEN list_position(p, list_max(p)) - 1 = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy
 FROM pp WHERE part = 'test'"""
+    dim = FX.SAMPLE_ROWS * FX.SAMPLE_COLS
+    q["batch_predict"] = f"""WITH {s},
+z AS (SELECT vec_id, list_transform(range({NC}), lambda j: list_sum(list_transform(range({dim}),
+        lambda i: CAST(embedding[i + 1] AS DOUBLE) * (CAST((i * 7 + j * 3) % 11 - 5 AS DOUBLE) / 2.0))) + CAST(j AS DOUBLE) / 10.0) AS z
+      FROM s WHERE part = 'test'),
+e AS (SELECT vec_id, list_transform(z, lambda v: exp(v - list_max(z))) AS e FROM z),
+p AS (SELECT vec_id, list_transform(e, lambda v: v / list_sum(e)) AS p FROM e)
+SELECT vec_id, CAST(list_position(p, list_max(p)) - 1 AS INTEGER) AS predicted, round(list_max(p), 6) AS best,
+       CAST(list_sum(list_transform(p, lambda v: CASE WHEN v > 0.5 THEN 1.0 ELSE 0.0 END)) AS DOUBLE) AS ones FROM p"""
     q["head_slice"] = f"WITH {s}\nSELECT vec_id, label FROM s WHERE part = 'test' ORDER BY vec_id LIMIT {HEAD_ROWS}"
     return q

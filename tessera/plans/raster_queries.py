@@ -119,16 +119,20 @@ def q_vegetated_tiles(spark, sf):
 
 @register("scan_raster_catalog", oracle="S")
 def q_scan_raster_catalog(spark, sf):
-    """Band catalog CSV (header B4,B5; one row of pixel-table paths) -> tiles."""
+    """Band catalog CSV (header scene,B4,B5; a row of pixel-table paths for each of two
+    scenes: even and odd tile rows) -> tiles under the scene names of the catalog."""
     px = FX.pixels_fx(spark, sf)
-    paths = {}
-    for band, col in (("B4", "red"), ("B5", "nir")):
-        p = scratch_dir(spark, f"band_{band}")
-        px.select(*RS.TILE_KEY, "pos", *RS.EXTENT, F.col(col).alias("value")).write.parquet(p)
-        paths[band] = p
+    rows = []
+    for scene, parity in (("even", 0), ("odd", 1)):
+        row = [scene]
+        for band, col in (("B4", "red"), ("B5", "nir")):
+            p = scratch_dir(spark, f"band_{band}")
+            (px.where(F.col("tile_row") % 2 == parity).select(*RS.TILE_KEY, "pos", *RS.EXTENT, F.col(col).alias("value"))
+             .write.parquet(p))
+            row.append(p)
+        rows.append(tuple(row))
     cat = scratch_dir(spark, "catalog")
-    spark.createDataFrame([(paths["B4"], paths["B5"])], "B4 string, B5 string") \
-        .write.option("header", "true").csv(cat)
+    spark.createDataFrame(rows, "scene string, B4 string, B5 string").write.option("header", "true").csv(cat)
     rf = RS.read_raster_catalog(spark, cat, ["B4", "B5"], FX.TILE_COLS, FX.TILE_ROWS) \
         .withColumnRenamed("B4", "red").withColumnRenamed("B5", "NIR")
     return rf.select(*RS.TILE_KEY, F.round(RS.tile_sum("red"), 6).alias("red_sum"),
@@ -140,20 +144,20 @@ def q_scan_raster_catalog(spark, sf):
 
 def _pixels_cte() -> str:
     return f"""px AS (
-  SELECT CAST(l_suppkey % {FX.TILES} AS INTEGER) AS tile,
-         CAST(l_quantity AS DOUBLE) AS red,
-         CASE WHEN l_linenumber = {FX.NODATA_LINENUMBER} THEN NULL
-              ELSE l_quantity + CAST(l_linenumber * 10 AS DOUBLE) END AS nir,
-         row_number() OVER (PARTITION BY l_suppkey % {FX.TILES}
-                            ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate,
-                                     l_quantity, l_extendedprice) - 1 AS pos
-  FROM lineitem
+  SELECT o_orderkey // {N} AS tile, CAST(o_orderkey % {N} AS INTEGER) AS pos, o_orderkey AS k,
+         CASE WHEN o_orderkey % {FX.DARK_MODULUS} = 0 THEN 0.0::DOUBLE
+              ELSE CAST({FX.RED[0]} + o_orderkey * {FX.RED[1]} % {FX.RED[2]} AS DOUBLE) END AS red
+  FROM orders
+),
+pn AS (
+  SELECT *, CASE WHEN k % {FX.NODATA_MODULUS} = 0 THEN NULL WHEN k % {FX.DARK_MODULUS} = 0 THEN 0.0::DOUBLE
+                 ELSE red + CAST(tile * {FX.NIR[0]} % {FX.NIR[1]} + ({FX.NIR[2]}) AS DOUBLE) END AS nir FROM px
 ),
 pix AS (
   SELECT '{FX.SCENE}' AS scene, CAST(tile % {FX.TILE_GRID_COLS} AS INTEGER) AS tile_col,
          CAST(tile // {FX.TILE_GRID_COLS} AS INTEGER) AS tile_row, pos, red, nir,
          CASE WHEN nir + red = 0 THEN NULL ELSE (nir - red) / (nir + red) END AS ndvi
-  FROM px WHERE pos < {N}
+  FROM pn
 ),
 tiles AS (
   SELECT scene, tile_col, tile_row,
@@ -171,7 +175,8 @@ def oracles() -> dict[str, str]:
     key = "scene, tile_col, tile_row"
     q["tiles_from_pixels"] = w + f"SELECT {key}, CAST(red_cells AS INTEGER) AS num_cells, round(red_sum, 6) AS red_sum, round(red_wsum, 6) AS red_wsum FROM tiles"
     q["band_align_join"] = w + f"SELECT {key}, round(red_sum, 6) AS red_sum, round(nir_sum, 6) AS nir_sum, CAST(nir_cells AS INTEGER) AS nir_cells FROM tiles"
-    q["scan_raster_catalog"] = q["band_align_join"]
+    q["scan_raster_catalog"] = w + ("SELECT CASE WHEN tile_row % 2 = 0 THEN 'even' ELSE 'odd' END AS scene, tile_col, tile_row, "
+                                    "round(red_sum, 6) AS red_sum, round(nir_sum, 6) AS nir_sum, CAST(nir_cells AS INTEGER) AS nir_cells FROM tiles")
     q["ndvi"] = w + f"SELECT {key}, CAST(ndvi_cells AS INTEGER) AS ndvi_cells, round(ndvi_wsum, 6) AS ndvi_wsum FROM tiles"
     q["tile_sum"] = w + f"SELECT {key}, round(ndvi_sum, 6) AS ndvi_sum FROM tiles"
     q["filter_tile_sum"] = w + f"SELECT {key} FROM tiles WHERE ndvi_sum > {O.d(NDVI_SUM_THRESHOLD)}"

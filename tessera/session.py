@@ -8,6 +8,7 @@ sets a private one only when the setting is absent (local tests).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -37,13 +38,16 @@ def local_session(cpus: str | int = "*", app: str = "tessera") -> SparkSession:
 def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh sub-folder of the cluster's shared checkpoint folder.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset (as in
-    local tests) a private folder is created and registered as the checkpoint dir.
+    Reads ``spark.checkpoint.dir`` from the session; only when it is unset on a local
+    master (as in tests) a private folder is created and registered as the checkpoint dir.
+    On a cluster an unset folder is an error: executors would not share a local one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
@@ -51,17 +55,6 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
     return base.rstrip("/") + "/" + sub
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Make sure ``DataFrame.checkpoint()`` has a (shared) folder to write to."""
-    if spark.sparkContext.getCheckpointDir():
-        return
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
-
-
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

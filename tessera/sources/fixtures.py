@@ -21,7 +21,7 @@ ZONE_DY = 8000
 ZONE_OUTER = [(0, 0), (10000, 0), (10000, 4000), (6000, 4000), (6000, 8000), (0, 8000), (0, 0)]
 ZONE_HOLE = [(1000, 1000), (2000, 1000), (2000, 2000), (1000, 2000), (1000, 1000)]   # z % 3 == 0
 ZONE_PART2 = [(7000, 5000), (9000, 5000), (9000, 7000), (7000, 7000), (7000, 5000)]  # z % 4 == 0
-AIRPORT_ZONES = (6, 18)
+AIRPORT_ZONES = (6, 18, 8)          # zone 8 has two parts
 # trip coordinates: base + ((k * mult) % modulus) / 10000
 PICKUP_LON = (-74.25, 7919, 4999)
 PICKUP_LAT = (40.5, 104729, 3989)
@@ -99,7 +99,7 @@ def zones_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airports_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The two airport zones as in the reference: OBJECTID, the_geom, zone, LocationID, borough."""
+    """The airport zones as in the reference: OBJECTID, the_geom, zone, LocationID, borough."""
     zs = zones_fx(spark, sf_dir).where(F.col("location_id").isin(*AIRPORT_ZONES))
     return zs.select(F.col("location_id").alias("OBJECTID"), "the_geom", "zone",
                      F.col("location_id").alias("LocationID"), "borough")
@@ -121,6 +121,12 @@ YELLOW_RAW_HEADER = [
     "End_Lat", "Payment_Type", "Fare_Amt", "surcharge", "mta_tax", "Tip_Amt", "Tolls_Amt",
     "Total_Amt",
 ]
+YELLOW_2015_RAW_HEADER = [
+    "VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "passenger_count", "trip_distance",
+    "pickup_longitude", "pickup_latitude", "RateCodeID", "store_and_fwd_flag", "dropoff_longitude",
+    "dropoff_latitude", "payment_type", "fare_amount", "extra", "mta_tax", "tip_amount", "tolls_amount",
+    "improvement_surcharge", "total_amount",
+]
 # -------------------------------------------------------------------------
 
 
@@ -162,14 +168,27 @@ def trips_raw_green_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.select(*[F.col(c).alias(h) for c, h in zip(cols, GREEN_RAW_HEADER)])
 
 
-def trips_raw_yellow_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = _raw_values(trips_fx(spark, sf_dir))
+def trips_raw_yellow_fx(spark: SparkSession, sf_dir: str, parity: int | None = None) -> DataFrame:
+    v = _raw_values(_half(trips_fx(spark, sf_dir), parity))
     cols = ["v_vendor", "v_pick", "v_drop", "v_pax", "v_dist", "v_plon", "v_plat", "v_rate",
             "v_flag", "v_dlon", "v_dlat", "v_pay", "v_fare", "v_extra", "v_mta", "v_tip",
             "v_tolls", "v_total"]
     return v.select(*[F.col(c).alias(h) for c, h in zip(cols, YELLOW_RAW_HEADER)])
 
 
+def _half(trips: DataFrame, parity: int | None) -> DataFrame:
+    """Trips with even or odd ids (file sets of two header vintages)."""
+    return trips if parity is None else trips.where(F.col("trip_id") % 2 == parity)
+
+
+def trips_raw_yellow_2015_fx(spark: SparkSession, sf_dir: str, parity: int | None = None) -> DataFrame:
+    v = _raw_values(_half(trips_fx(spark, sf_dir), parity)).withColumn("v_improvement", F.lit("0.3"))
+    cols = ["v_vendor", "v_pick", "v_drop", "v_pax", "v_dist", "v_plon", "v_plat", "v_rate",
+            "v_flag", "v_dlon", "v_dlat", "v_pay", "v_fare", "v_extra", "v_mta", "v_tip",
+            "v_tolls", "v_improvement", "v_total"]
+    return v.select(*[F.col(c).alias(h) for c, h in zip(cols, YELLOW_2015_RAW_HEADER)])
+
+
 # ---- buildings (shapefile-shaped attribute table) ------------------------
 
 def buildings_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -192,47 +211,45 @@ def buildings_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- raster pixels (tiles of 8 x 8 cells) ------------------------------------
 
 # ---- fixed values: tile layout of the pixel fixture ---------------------------
-TILES = 16                  # tile id = l_suppkey % 16
 TILE_COLS = 8
 TILE_ROWS = 8
 TILE_SIZE_M = 240.0         # 8 cells of 30 m
 TILE_X0 = 580000.0
 TILE_Y0 = 4500000.0
-TILE_GRID_COLS = 4          # tile_col = tile % 4, tile_row = tile / 4
+TILE_GRID_COLS = 16         # tile_col = tile % 16, tile_row = tile div 16
 TILE_CRS = "EPSG:32618"
 SCENE = "fx"
-NODATA_LINENUMBER = 7       # near-infrared cell is NoData on line number 7
+RED = (20, 37, 101)         # red = 20 + order * 37 % 101
+NIR = (29, 61, -20)         # near infrared = red + tile * 29 % 61 - 20
+NODATA_MODULUS = 53         # the near-infrared cell of every 53rd order is NoData
+DARK_MODULUS = 97           # both bands of every 97th order are 0 (NDVI is NoData)
 # -------------------------------------------------------------------------------
 
 
 def pixels_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per pixel: scene, tile key, pos (row-major), extent, red, nir.
 
-    Position = row number inside the tile by the lineitem key; only the first
-    cols*rows positions of each tile are kept.  ``row_number() <= k`` lets Spark
-    keep the per-tile top-k on the map side before the shuffle, so the window
-    never gathers a whole tile's input in one task.
+    Every order is a pixel: tile = order key div 64, position = order key mod 64, so the
+    tiles grow with the table, the last one is short, and nothing is sorted or cut.
     """
-    from pyspark.sql import Window
-    li = read(spark, sf_dir, "lineitem")
-    tile = (F.col("l_suppkey") % TILES).cast("int")
-    w = Window.partitionBy(tile).orderBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                         "l_shipdate", "l_quantity", "l_extendedprice")
-    ranked = li.select(tile.alias("tile"), F.row_number().over(w).alias("rn"), "l_quantity", "l_linenumber")
-    top = ranked.where(F.col("rn") <= TILE_COLS * TILE_ROWS)
-    tcol = (F.col("tile") % TILE_GRID_COLS).cast("int")
-    trow = F.floor(F.col("tile") / TILE_GRID_COLS).cast("int")
+    o = read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    size = TILE_COLS * TILE_ROWS
+    tile = F.expr(f"o_orderkey div {size}")
+    dark = k % DARK_MODULUS == 0
+    red = F.when(dark, F.lit(0.0)).otherwise((F.lit(RED[0]) + k * RED[1] % RED[2]).cast("double"))
+    nir = (F.when(k % NODATA_MODULUS == 0, F.lit(None).cast("double")).when(dark, F.lit(0.0))
+           .otherwise(red + (tile * NIR[0] % NIR[1] + NIR[2]).cast("double")))
+    tcol = (tile % TILE_GRID_COLS).cast("int")
+    trow = F.expr(f"o_orderkey div {size * TILE_GRID_COLS}").cast("int")
     xmin = F.lit(TILE_X0) + tcol.cast("double") * F.lit(TILE_SIZE_M)
     ymin = F.lit(TILE_Y0) + trow.cast("double") * F.lit(TILE_SIZE_M)
-    nir = F.when(F.col("l_linenumber") == NODATA_LINENUMBER, F.lit(None).cast("double")) \
-        .otherwise(F.col("l_quantity") + (F.col("l_linenumber") * 10).cast("double"))
-    return top.select(
-        F.lit(SCENE).alias("scene"), tcol.alias("tile_col"), trow.alias("tile_row"),
-        (F.col("rn") - 1).cast("int").alias("pos"),
+    return o.select(
+        F.lit(SCENE).alias("scene"), tcol.alias("tile_col"), trow.alias("tile_row"), (k % size).cast("int").alias("pos"),
         xmin.alias("xmin"), ymin.alias("ymin"),
         (xmin + F.lit(TILE_SIZE_M)).alias("xmax"), (ymin + F.lit(TILE_SIZE_M)).alias("ymax"),
         F.lit(TILE_CRS).alias("crs"), F.lit(TILE_COLS).alias("cols"), F.lit(TILE_ROWS).alias("rows"),
-        F.col("l_quantity").cast("double").alias("red"), nir.alias("nir"))
+        red.alias("red"), nir.alias("nir"))
 
 
 # ---- labelled arrays (the image data set, re-aimed at the embeddings table) ----

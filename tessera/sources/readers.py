@@ -55,14 +55,15 @@ def geojson_features(collections: DataFrame) -> DataFrame:
 
 
 def write_geojson(df: DataFrame, path: str, geom_col: str, prop_cols: list[str],
-                  files: int = 1) -> None:
-    """Write a geometry column as FeatureCollection documents, one per output
-    partition (each document holds only its own partition's features)."""
+                  per_document: int = 10_000) -> None:
+    """Write a geometry column as FeatureCollection documents of at most ``per_document``
+    features, one document per file (a multi-line JSON file is read by one task)."""
     feat = F.concat(F.lit('{"type":"Feature","properties":'),
                     F.to_json(F.struct(*[F.col(c).cast("string").alias(c) for c in prop_cols])),
                     F.lit(',"geometry":'), G.st_as_geojson(F.col(geom_col)), F.lit("}"))
-    feats = df.select(feat.alias("f")).repartition(files).withColumn("__pid", F.spark_partition_id())
-    docs = feats.groupBy("__pid").agg(F.collect_list("f").alias("fs"))
+    at = F.monotonically_increasing_id()
+    feats = df.select(feat.alias("f"), F.floor(at / per_document).alias("__doc"))
+    docs = feats.groupBy("__doc").agg(F.collect_list("f").alias("fs"))
     text = F.concat(F.lit('{"type":"FeatureCollection","features":['),
                     F.concat_ws(",", "fs"), F.lit("]}"))
     # one document per file: multi-line JSON readers parse one document per file

@@ -1,14 +1,16 @@
 """ESRI shapefile source (``spark.read.format("shapefile").load(dir)``).
 
 Files are opened with local file APIs, so on a cluster the folder must be a
-shared mount visible to every executor (as the reference's DBFS paths are).
+shared mount visible to every executor; other URIs are refused.
 
 A Python data source: the driver only lists ``*.shp`` files and reads each
 index (``.shx``) to cut the records into ranges of at most ``recordsPerPartition``;
 executors decode their own record range from ``.shp`` (polygons / points) and
 ``.dbf`` (attribute text) and emit ``geometry`` as WKT plus one string column per
 attribute, like the reference's shapefile adapter.  No record passes through the
-driver.
+driver.  Deleted records are left out; a blank attribute is null (the format knows no
+empty text); a null shape has a null geometry; other shape types, a folder without
+shapefiles, and text or names too long for the format are errors.
 
 ``write_shapefiles`` is the matching writer used to produce fixtures: one
 ``.shp/.shx/.dbf`` triple per partition, written by the executors.
@@ -18,7 +20,9 @@ from __future__ import annotations
 
 import glob
 import os
+import re
 import struct
+from itertools import islice
 
 from pyspark.sql import DataFrame
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -32,9 +36,29 @@ HEADER_BYTES = 100
 DBF_VERSION = 0x03
 DBF_HEADER_END = 0x0D
 DBF_EOF = 0x1A
+DBF_DELETED = b"*"
+DBF_NAME_BYTES = 10
 # ----------------------------------------------------------------------------------
 
 
+BATCH_ROWS = 10_000
+
+
+def local_folder(path: str) -> str:
+    """The path in the file system; URIs of other schemes are refused."""
+    m = re.match(r"^([a-zA-Z][a-zA-Z0-9+.-]*):/*", path)
+    if m and m[1] != "file":
+        raise ValueError(f"shapefiles are read through a shared mount, not from {m[1]}: {path}")
+    return "/" + path[m.end():] if m else path
+
+
+def shapefiles(path: str) -> list[str]:
+    found = sorted(glob.glob(os.path.join(path, "*.shp")))
+    if not found:
+        raise FileNotFoundError(f"no shapefile in {path}")
+    return found
+
+
 def _dbf_fields(path: str) -> tuple[list[tuple[str, int]], int, int, int]:
     """[(name, width)], record count, header length, record length."""
     with open(path, "rb") as f:
@@ -92,13 +116,20 @@ class ShapefileReader(DataSourceReader):
 
     def partitions(self):
         parts = []
-        for shp in sorted(glob.glob(os.path.join(self.path, "*.shp"))):
+        for shp in shapefiles(self.path):
             n = (os.path.getsize(shp[:-4] + ".shx") - HEADER_BYTES) // 8
             for first in range(0, n, self.per_partition):
                 parts.append(ShapefilePartition(shp, first, min(self.per_partition, n - first)))
-        return parts or [ShapefilePartition("", 0, 0)]
+        return parts or [ShapefilePartition("", 0, 0)]     # files without records
 
     def read(self, partition: ShapefilePartition):
+        import pyarrow as pa
+        schema = pa.schema([(f.name, pa.string()) for f in self.schema.fields])
+        rows = self._records(partition)
+        while batch := list(islice(rows, BATCH_ROWS)):
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*batch, strict=True)], schema=schema)
+
+    def _records(self, partition: ShapefilePartition):
         if not partition.count:
             return
         base = partition.shp[:-4]
@@ -122,12 +153,16 @@ class ShapefileReader(DataSourceReader):
                 elif stype == SHAPE_POINT:
                     x, y = struct.unpack("<dd", shp.read(16))
                     wkt = f"POINT ({_fmt(x)} {_fmt(y)})"
-                else:
+                elif stype == SHAPE_NULL:
                     wkt = None
+                else:
+                    raise ValueError(f"shape type {stype} in {partition.shp} is not supported")
                 rec = dbf.read(rlen)
+                if rec[:1] == DBF_DELETED:
+                    continue
                 values, pos = {}, 1
                 for name, width in fields:
-                    values[name] = rec[pos:pos + width].decode("utf-8", "replace").strip()
+                    values[name] = rec[pos:pos + width].decode("utf-8", "replace").strip() or None
                     pos += width
                 values["geometry"] = wkt
                 yield tuple(values.get(n) for n in names)
@@ -141,16 +176,13 @@ class ShapefileDataSource(DataSource):
         return "shapefile"
 
     def schema(self):
-        path = self.options.get("path")
-        first = sorted(glob.glob(os.path.join(path, "*.dbf")))
-        fields = [StructField("geometry", StringType())]
-        if first:
-            fields += [StructField(n, StringType()) for n, _ in _dbf_fields(first[0])[0]]
-        return StructType(fields)
+        first = shapefiles(local_folder(self.options.get("path")))[0][:-4] + ".dbf"
+        return StructType([StructField("geometry", StringType()),
+                           *[StructField(n, StringType()) for n, _ in _dbf_fields(first)[0]]])
 
     def reader(self, schema: StructType):
         per = int(self.options.get("recordsPerPartition", "100000"))
-        return ShapefileReader(self.options.get("path"), per, schema)
+        return ShapefileReader(local_folder(self.options.get("path")), per, schema)
 
 
 def register(spark) -> None:
@@ -181,20 +213,30 @@ def _header(length_words: int, bbox) -> bytes:
 
 def write_shapefiles(df: DataFrame, path: str, rings_col: str, attr_cols: list[str],
                      widths: dict[str, int]) -> None:
-    """Write one shapefile triple per partition; ``rings_col`` holds
+    """Write one shapefile triple per Arrow batch; ``rings_col`` holds
     array<array<array<double>>> (rings of one polygon, outer ring clockwise)."""
     from tessera.session import ship_package
     ship_package(df.sparkSession)
+    path = local_folder(path)
+    for c in attr_cols:
+        if len(c.encode()) > DBF_NAME_BYTES:
+            raise ValueError(f"attribute name {c!r} is longer than {DBF_NAME_BYTES} bytes")
     os.makedirs(path, exist_ok=True)
 
+    def encoded(value, width):
+        text = b"" if value is None else str(value).encode("utf-8")
+        if len(text) > width:
+            raise ValueError(f"{value!r} is longer than its column ({width} bytes)")
+        return text.ljust(width, b" ")
+
     def write_part(batches):
+        for rows in batches:
+            if len(rows):
+                yield write_triple(rows)
+
+    def write_triple(rows):
         import uuid
         import pandas as pd
-        parts = list(batches)
-        rows = pd.concat(parts) if parts else None
-        if rows is None or not len(rows):
-            yield pd.DataFrame({"file": pd.Series([], dtype="string")})
-            return
         base = os.path.join(path, f"part-{uuid.uuid4().hex[:12]}")
         recs = [_encode_polygon([[tuple(p) for p in r] for r in rings]) for rings in rows[rings_col]]
         allpts = [p for rings in rows[rings_col] for r in rings for p in r]
@@ -214,14 +256,11 @@ def write_shapefiles(df: DataFrame, path: str, rings_col: str, attr_cols: list[s
             dbf.write(struct.pack("<B3BIHH20x", DBF_VERSION, 124, 1, 1, len(rows),
                                   32 + 32 * len(attr_cols) + 1, rlen))
             for c in attr_cols:
-                dbf.write(struct.pack("<11sc4xBB14x", c.encode("ascii")[:11], b"C", widths[c], 0))
+                dbf.write(struct.pack("<11sc4xBB14x", c.encode(), b"C", widths[c], 0))
             dbf.write(bytes([DBF_HEADER_END]))
-            for _, row in rows.iterrows():
-                dbf.write(b" ")
-                for c in attr_cols:
-                    v = "" if row[c] is None else str(row[c])
-                    dbf.write(v.encode("utf-8")[:widths[c]].ljust(widths[c], b" "))
+            for values in zip(*[rows[c] for c in attr_cols], strict=True):
+                dbf.write(b" " + b"".join(encoded(v, widths[c]) for v, c in zip(values, attr_cols, strict=True)))
             dbf.write(bytes([DBF_EOF]))
-        yield pd.DataFrame({"file": [base]})
+        return pd.DataFrame({"file": [base]})
 
     df.select(rings_col, *attr_cols).mapInPandas(write_part, "file string").collect()

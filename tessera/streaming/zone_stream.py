@@ -14,7 +14,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tessera.functions import cells as C
 from tessera.operators.sizing import materialise
-from tessera.session import scratch_dir
 
 
 def tag_trips(trips: DataFrame, zone_cells: DataFrame, res: int) -> DataFrame:
@@ -32,19 +31,16 @@ def tag_trips(trips: DataFrame, zone_cells: DataFrame, res: int) -> DataFrame:
 
 
 def start_zone_tagging(spark: SparkSession, source_dir: str, schema, zone_cells: DataFrame,
-                       res: int, sink_dir: str | None = None,
-                       checkpoint_dir: str | None = None) -> tuple[StreamingQuery, str]:
+                       res: int, sink_dir: str, checkpoint_dir: str) -> StreamingQuery:
     """Tag trip files arriving in ``source_dir`` and append them as parquet.
 
     Runs with ``availableNow`` (process what is there, then stop); the
-    checkpoint lives in the shared scratch folder so a restarted driver
-    resumes exactly once.
+    sink and the checkpoint are named by the caller, in a shared folder: a restarted
+    driver that names the same ones goes on where the last one stopped.
     """
-    sink = sink_dir or scratch_dir(spark, "tagged_trips")
-    ckpt = checkpoint_dir or scratch_dir(spark, "tagged_trips_ckpt")
     stream = spark.readStream.schema(schema).parquet(source_dir)
     zc = materialise(zone_cells, "stream_zone_cells").for_join()
     q = (tag_trips(stream, zc, res).writeStream.format("parquet")
-         .option("path", sink).option("checkpointLocation", ckpt)
+         .option("path", sink_dir).option("checkpointLocation", checkpoint_dir)
          .outputMode("append").trigger(availableNow=True).start())
-    return q, sink
+    return q

@@ -41,6 +41,6 @@ def test_sql_names_equal_dataframe_functions(spark):
         (F.lit(40.4) + (F.col("id") * 104729 % 1000).cast("double") / 1900.0).alias("lat"))
     df.createOrReplaceTempView("pts_sql_check")
     for res in (0, 7, 12, 15):
-        a = spark.sql(f"SELECT lon, lat, h3_longlatash3(lon, lat, {res}) AS c FROM pts_sql_check")
+        a = spark.sql(f"SELECT lon, lat, cell_from_lonlat(lon, lat, {res}) AS c FROM pts_sql_check")
         b = df.select("lon", "lat", C.cell_from_lonlat("lon", "lat", res).alias("c"))
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, res

@@ -14,8 +14,10 @@ def test_stream_equals_batch(spark):
     src = scratch_dir(spark, "trip_files")
     trips.repartition(4).write.parquet(src)
     zc = P.polyfill(Q.zones_geom(spark, SF_SMALL), "geom", 7, "location_id")
-    q, sink = start_zone_tagging(spark, src, trips.schema, zc, 7)
-    q.awaitTermination(120)
+    sink, checkpoint = scratch_dir(spark, "tagged"), scratch_dir(spark, "tagged_ckpt")
+    start_zone_tagging(spark, src, trips.schema, zc, 7, sink, checkpoint).awaitTermination(120)
+    # a restart with the same folders finds nothing new
+    start_zone_tagging(spark, src, trips.schema, zc, 7, sink, checkpoint).awaitTermination(120)
     streamed = spark.read.parquet(sink).select("trip_id", "location_id")
     batch = tag_trips(trips, zc, 7).select("trip_id", "location_id")
     assert streamed.exceptAll(batch).count() == 0 and batch.exceptAll(streamed).count() == 0
