@@ -72,14 +72,14 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes
         lens = pc.binary_length(col).to_pylist()
         for i, n in enumerate(lens):
             if i > lo and size + n > PIECE_BYTES:
-                yield ids[lo:i], _utf8(col.slice(lo, i - lo))
+                yield ids[lo:i], utf8(col.slice(lo, i - lo))
                 lo, size = i, 0
             size += n or 0
         if lo < len(ids):
-            yield ids[lo:], _utf8(col.slice(lo))
+            yield ids[lo:], utf8(col.slice(lo))
 
 
-def _utf8(col: pa.Array) -> list[bytes]:
+def utf8(col: pa.Array) -> list[bytes]:
     return col.cast(pa.large_binary() if pa.types.is_large_string(col.type) else pa.binary()).to_pylist()
 
 
@@ -184,10 +184,10 @@ def lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.List
 
 
 def sampled(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str, keep, limit: int,
-            max_chars: int) -> list[tuple[int, bytes]]:
-    """At most ``limit`` labelled rows of each class, as (label, text): the rows of
-    smallest hash among those that ``keep`` allows and whose text has at most
-    ``max_chars`` characters.  The bound limit * 2 * max_chars makes them fit the driver."""
+            max_chars: int) -> tuple[DataFrame, dict[int, int]]:
+    """At most ``limit`` labelled rows of each class, as (y, text) in one partition, and how
+    many rows each class has: the rows of smallest hash among those that ``keep`` allows and
+    whose text has at most ``max_chars`` characters.  The bound limit * 2 * max_chars fits a task."""
     from pyspark.sql import Window
     d = keyed_texts(docs)
     lab = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y"))
@@ -200,9 +200,9 @@ def sampled(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str,
     rows = (d.where(F.length("text") <= max_chars).join(chosen, "doc_id")
             .withColumn("__o", F.xxhash64(F.col("doc_id"), F.lit("train")))
             .withColumn("__n", F.row_number().over(w)).where(F.col("__n") <= limit)
-            .orderBy("doc_id").select("y", "text").collect())
+            .select("doc_id", "y", "text").coalesce(1).sortWithinPartitions("doc_id").select("y", "text"))
     totals = {int(r[0]): int(r[1]) for r in lab.groupBy("y").count().collect()}
-    return [(int(r[0]), r[1].encode("utf-8", "surrogatepass")) for r in rows], totals
+    return rows, totals
 
 
 # ---------------------------------------------------------------- graph

@@ -21,6 +21,7 @@ there are no labels); repeated rows get equal scores; other columns are not read
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, words_of
+from tessera.llm.common import WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, utf8, words_of
 from tessera.session import ship_package
 
 WINDOW, STRIDE = 16, 8
@@ -232,13 +233,18 @@ def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, s
     text_of = np.repeat(np.arange(n), np.diff(enc.first))
     pairs = np.unique(text_of * (len(enc.wid) + 1) + enc.word)
     t, u = pairs // (len(enc.wid) + 1), pairs % (len(enc.wid) + 1)
-    odds_w = _log_odds(enc.wid[u], y[t], y, WORD_BUCKETS)
+    odds_w = _log_odds(*[np.bincount(enc.wid[u[y[t] == k]], minlength=WORD_BUCKETS) for k in (1, 0)], y)
     order = np.argsort(enc.who, kind="stable")
     gid, start = enc.gid[order], np.searchsorted(enc.who[order], np.arange(len(enc.wid) + 1))
-    count = np.diff(start)[u]
-    at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start[:-1][u], count)
-    tg = np.unique(np.repeat(t, count) * GRAM_BUCKETS + gid[at])
-    odds_g = _log_odds(tg % GRAM_BUCKETS, y[tg // GRAM_BUCKETS], y, GRAM_BUCKETS)
+    held = np.zeros((2, GRAM_BUCKETS))                  # texts of each label that hold an n-gram
+    ends = np.searchsorted(t, np.arange(0, n + 200, 200))
+    for lo, hi in zip(ends, ends[1:], strict=False):    # 200 texts at a time
+        count = np.diff(start)[u[lo:hi]]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start[:-1][u[lo:hi]], count)
+        tg = np.unique(np.repeat(t[lo:hi], count) * GRAM_BUCKETS + gid[at])
+        for k in (0, 1):
+            held[k] += np.bincount(tg[y[tg // GRAM_BUCKETS] == k] % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    odds_g = _log_odds(held[1], held[0], y)
     net.words[:WORD_BUCKETS, 0] = odds_w
     net.grams[:, 0] = odds_g * 2
     x = net.inputs(enc.wid, enc.who, enc.gid, len(enc.wid))
@@ -269,11 +275,10 @@ def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, s
     return net
 
 
-def _log_odds(ids, label, y, buckets):
-    a = np.bincount(ids, weights=label, minlength=buckets)
-    b = np.bincount(ids, weights=1 - label, minlength=buckets)
-    return np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / ((1 - y).sum() + 1)) * (a + b > 0) \
-        - (a + b == 0) * np.log(0.5 / (y.sum() + 1))
+def _log_odds(a, b, y):
+    """Smoothed log-odds of buckets met in a texts of label 1 and b of label 0 (0 if never met)."""
+    odds = np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / ((1 - y).sum() + 1))
+    return np.where(a + b > 0, odds, 0.0)
 
 
 def _step(net, enc, win, goal, weight, rate, state):
@@ -336,8 +341,16 @@ def score_texts(net: Net, texts: list[bytes]) -> np.ndarray:
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, seed: int = 7) -> Net:
+    """Train in one task on the bounded sample; only the parameters reach the driver."""
+    ship_package(spark)
     rows, totals = sampled(spark, docs, labels, "toxic", keep, TRAIN_DOCS, TRAIN_CHARS)
-    return train(rows, totals, seed)
+
+    def run(batches):
+        own = [(y, t) for b in batches for y, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True)]
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(own, totals, seed))], pa.binary())], names=["net"])
+
+    found = rows.mapInArrow(run, "net binary").first()     # none without partitions
+    return pickle.loads(bytes(found[0])) if found else train([], totals, seed)
 
 
 def scorer(spark: SparkSession, net: Net):
