@@ -254,6 +254,8 @@ def repeated_spans(rows: list[tuple[int, int, bytes]], length: int) -> list[tupl
     rows, which are in corpus order."""
     index = RunIndex([r[2] for r in rows], length)
     at = index.repeats()
+    if not len(at):
+        return []
     first = np.append(0, index.ends[:-1] + 1)
     part = np.searchsorted(index.ends, at)
     cut = np.ones(len(at), dtype=bool)
