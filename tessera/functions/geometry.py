@@ -360,6 +360,15 @@ def _utm_inverse(x: Column, y: Column, zone: Column, south: Column) -> tuple[Col
     return lon, F.degrees(lat)
 
 
+def crs_supported(crs) -> Column:
+    """Whether st_reproject knows the CRS (null for a null one): count the rows of which it is
+    false beside a reprojection, since those get null coordinates."""
+    code = F.regexp_extract(F.upper(F.trim(_c(crs))), r"^EPSG:(\d+)$", 1)
+    num = F.when(code != "", code.try_cast("int"))
+    known = num.isin(4326, 3857) | num.between(32601, 32660) | num.between(32701, 32760)
+    return F.when(_c(crs).isNotNull(), F.coalesce(known, F.lit(False)))
+
+
 def st_reproject_xy(x, y, src_crs, dst_crs: str = "EPSG:4326") -> Column:
     """Reproject a coordinate pair to lon/lat (EPSG:4326).
 

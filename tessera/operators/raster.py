@@ -88,6 +88,11 @@ def tile_centre_lonlat() -> Column:
     return G.st_reproject_xy(cx, cy, F.col("crs"))
 
 
+def unknown_crs(tiles: DataFrame) -> DataFrame:
+    """crs, num_tiles of the tiles that cannot be reprojected (their centres are null)."""
+    return (tiles.where(~G.crs_supported("crs")).groupBy("crs").agg(F.count(F.lit(1)).alias("num_tiles")))
+
+
 def read_raster_catalog(spark: SparkSession, catalog: str | DataFrame, bands: list[str],
                         cols: int, rows: int) -> DataFrame:
     """Catalog (CSV path or DataFrame: one column of pixel-table folders per band, one row per

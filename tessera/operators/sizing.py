@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.session import scratch_dir
+from tessera.session import remove_scratch, scratch_dir
 
 # default ceiling for a broadcast side; overridable per session with
 # spark.conf.set("tessera.broadcast.maxBytes", ...)
@@ -59,6 +59,10 @@ class Materialised:
     def bytes(self) -> int:
         return self.nbytes
 
+    def delete(self) -> None:
+        """Remove the files; nothing may read the table any more."""
+        remove_scratch(self.df.sparkSession, self.path)
+
     def for_join(self) -> DataFrame:
         """Broadcast-hinted when the measured size fits, plain otherwise (then the
         planner uses a shuffle join and AQE splits skewed keys)."""

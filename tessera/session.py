@@ -52,7 +52,23 @@ def scratch_dir(spark: SparkSession, name: str | None = None) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
         spark.sparkContext.setCheckpointDir(base)
     sub = f"{name or 'tbl'}-{uuid.uuid4().hex[:12]}"
-    return base.rstrip("/") + "/" + sub
+    path = base.rstrip("/") + "/" + sub
+    _MADE.add(path)
+    return path
+
+
+#: Scratch folders that this process named and has not removed.
+_MADE: set[str] = set()
+
+
+def remove_scratch(spark: SparkSession, *paths: str) -> None:
+    """Delete scratch folders (all that are left without ``paths``).  Only folders that
+    scratch_dir named are touched; DataFrames that still read them must be done with."""
+    for path in paths or sorted(_MADE):
+        if path in _MADE:
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+            _MADE.discard(path)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -24,4 +24,6 @@ def spark(tmp_path_factory):
     s.sparkContext.setLogLevel("ERROR")
     s.sparkContext.setCheckpointDir(ckpt)
     yield s
+    from tessera.session import remove_scratch
+    remove_scratch(s)
     s.stop()

@@ -123,3 +123,44 @@ def test_sample_by_hash_is_the_same_under_any_partitioning(spark):
     a = sorted(r[0] for r in TB.sample_by_hash(t.repartition(7), "trip_id", 0.1).collect())
     b = sorted(r[0] for r in TB.sample_by_hash(t.coalesce(1), "trip_id", 0.1).collect())
     assert a == b and 0.05 < len(a) / t.count() < 0.15
+
+
+def test_tiles_of_an_unknown_crs_are_counted(spark):
+    px = FX.pixels_fx(spark, SF_SMALL).withColumn("crs", F.when(F.col("tile_col") == 3, F.lit("EPSG:9999"))
+                                                  .when(F.col("tile_col") == 4, F.lit("no crs")).otherwise(F.col("crs")))
+    tiles = RS.tiles_from_pixels(px, "red", "red", FX.TILE_COLS, FX.TILE_ROWS)
+    null = tiles.where(RS.tile_centre_lonlat().isNull()).count()
+    counted = {r["crs"]: r["num_tiles"] for r in RS.unknown_crs(tiles).collect()}
+    assert set(counted) == {"EPSG:9999", "no crs"} and sum(counted.values()) == null > 0
+
+
+def test_scratch_folders_are_removed_and_others_left_alone(spark, tmp_path):
+    from tessera.operators.sizing import materialise
+    from tessera.session import remove_scratch
+    made = materialise(spark.range(5), "gone", measure=False)
+    assert os.path.isdir(made.path)
+    made.delete()
+    assert not os.path.exists(made.path)
+    remove_scratch(spark, str(tmp_path))
+    assert tmp_path.exists()
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
+    from tessera import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            @staticmethod
+            def get(key, default=None):
+                return default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.scratch_dir(Session())
