@@ -43,9 +43,9 @@ def _unique(prefix: str) -> str:
 
 @register("scan_csv_raw", oracle="S")
 def q_scan_csv_raw(spark, sf):
-    """Every column as text, as written (an empty field is null)."""
+    """Every column as text, as written (an empty field is null; the writer trims headers)."""
     raw = RD.read_csv_raw(spark, _write_raw(spark, sf, "green"))
-    return raw.select("VendorID", "lpep_pickup_datetime", "Passenger_count", "Ehail_fee", F.col("Trip_type ").alias("trip_type"),
+    return raw.select("VendorID", "lpep_pickup_datetime", "Passenger_count", "Ehail_fee", F.col("Trip_type").alias("trip_type"),
                       F.lit(",".join(dict(raw.dtypes).values())).alias("types"))
 
 
@@ -404,7 +404,7 @@ SELECT vendor_id AS VendorID,
        CASE WHEN trip_id % 97 = 0 THEN 'x' WHEN trip_id % 101 = 0 THEN NULL ELSE CAST(passenger_count AS VARCHAR) END AS Passenger_count,
        CASE WHEN trip_id % 2 = 0 THEN NULL ELSE '1.25' END AS Ehail_fee, CAST(1 + trip_id % 2 AS VARCHAR) AS trip_type,
        '{",".join(["string"] * 20)}' AS types FROM trips"""
-    q["peek_text"] = "SELECT '" + ",".join(FX.GREEN_RAW_HEADER).rstrip() + " ' AS value"
+    q["peek_text"] = "SELECT '" + ",".join(h.strip() for h in FX.GREEN_RAW_HEADER) + "' AS value"
     q["list_files"] = f"WITH {O.trips_cte()}\nSELECT vendor_id, true AS has_bytes, CAST(1 AS BIGINT) AS num_files FROM trips GROUP BY vendor_id"
     q["drop_if_exists"] = f"WITH {O.zones_cte()}\nSELECT count(*) AS num_rows, CAST(1 AS INTEGER) AS before_drop, CAST(0 AS INTEGER) AS after_drop FROM zones"
     q["database_scope"] = f"WITH {O.zones_cte()}\nSELECT 'zones' AS table_name, count(*) AS num_rows FROM zones"
