@@ -26,7 +26,7 @@ No list is ever cut short, and equal texts never multiply into pairs.
 Defined results: a null or empty text or one without words has an empty set, links with
 nothing and is its own component; fewer words than GRAM make one shingle of all of them; a
 null doc_id is returned with a null component and links with nothing; rows that repeat a
-doc_id are each returned, with the component of their own text; other columns are not read.
+doc_id are each returned and share its component; other columns are not read.
 """
 
 from __future__ import annotations
@@ -46,8 +46,11 @@ GRAM, PERCENT = 4, 85
 K = 2
 #: Documents of a group that meet in one task (two blocks of them).
 BLOCK = 512
-#: Hash cells of the overlap bound.
-CELLS = 256
+#: Hash cells of the overlap bound; a count that means "this many or more".
+CELLS, FULL_CELL = 256, 65535
+#: Measured bytes up to which the tasks of the candidate documents are broadcast to the texts;
+#: beyond, both sides are shuffled by doc_id.
+BROADCAST_BYTES = 32 << 20
 #: The frequent shingles put last in the order: at most so many, one in FREQUENT of all
 #: shingle occurrences or more, counted over all documents (a Misra-Gries summary).
 FREQUENT = 50_000
@@ -132,7 +135,8 @@ def summaries(docs: DataFrame, frequent: np.ndarray, gram: int, percent: int) ->
         late = np.isin(v, shared.value) if len(shared.value) else np.zeros(len(v), bool)
         text = np.repeat(np.arange(len(texts)), np.diff(off))
         cell = (v >> np.uint64(8)).astype(np.int64) % CELLS
-        counts = np.bincount(text * CELLS + cell, minlength=len(texts) * CELLS).reshape(-1, CELLS).astype(np.uint32)
+        counts = np.bincount(text * CELLS + cell, minlength=len(texts) * CELLS).reshape(-1, CELLS)
+        counts = np.minimum(counts, FULL_CELL).astype(np.uint16)
         sigs, head, ends = [], [], [0]
         for i in range(len(texts)):
             own = v[off[i]:off[i + 1]]
@@ -254,7 +258,8 @@ def narrowed(groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             if t.num_rows < 2:
                 continue
             ids, n = t.column("doc_id").to_numpy(), t.column("n").to_numpy()
-            cells = np.frombuffer(b"".join(t.column("cells").to_pylist()), dtype=np.uint32).reshape(len(ids), CELLS)
+            cells = np.frombuffer(b"".join(t.column("cells").to_pylist()), dtype=np.uint16).reshape(len(ids), CELLS)
+            full = (cells == FULL_CELL).any(axis=1)            # counts not known: no bound
             block = across(t)
             root = np.arange(len(ids))
             for a in range(len(ids) - 1):
@@ -262,8 +267,8 @@ def narrowed(groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
                 may = np.arange(a + 1, end)
                 if block is not None:
                     may = may[block[may] != block[a]]
-                both = np.minimum(cells[may], cells[a]).sum(axis=1)
-                may = may[both * (100 + percent) >= percent * (n[may] + n[a])]
+                both = np.minimum(cells[may], cells[a]).sum(axis=1, dtype=np.int64)
+                may = may[(both * (100 + percent) >= percent * (n[may] + n[a])) | full[may] | full[a]]
                 for r in np.unique(root[may]):
                     if r != root[a]:
                         root[root == r] = root[a]
@@ -280,7 +285,9 @@ def verified_links(groups: DataFrame, docs: DataFrame, gram: int, percent: int)
     """(a, b): enough links between the documents of each group to connect what is linked."""
     wanted = (block_tasks(groups).groupBy("doc_id")
               .agg(F.collect_list(F.struct("leader", "i", "j", "block")).alias("tasks")))
-    sent = (docs.join(wanted, "doc_id").select("doc_id", "text", F.explode("tasks").alias("t"))
+    tasks = materialise(wanted, "jaccard-tasks")
+    side = F.broadcast(tasks.df) if tasks.bytes() <= BROADCAST_BYTES else tasks.df
+    sent = (docs.join(side, "doc_id").select("doc_id", "text", F.explode("tasks").alias("t"))
             .select("t.*", "doc_id", "text").repartition(*TASK).sortWithinPartitions(*TASK, "doc_id"))
 
     def run(batches):
