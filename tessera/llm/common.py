@@ -216,9 +216,10 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
     a, b = edges.columns[:2]
     e = (edges.where(F.col(a) != F.col(b))
          .select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
-    e = materialise(e, f"{name}-edges", measure=False).df
+    table = materialise(e, f"{name}-edges", measure=False)
     seen = None
     while True:
+        e = table.df
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         big = both.join(low, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -226,7 +227,9 @@ def connected_components(edges: DataFrame, name: str = "cc") -> DataFrame:
         up = big.join(low, "a")
         e = (up.where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
              .unionByName(low.select("a", F.col("m").alias("b"))).distinct())
-        e = materialise(e, f"{name}-round", measure=False).df
+        last, table = table, materialise(e, f"{name}-round", measure=False)
+        last.delete()
+        e = table.df
         now = e.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == seen:
             break
