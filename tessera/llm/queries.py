@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm import (bwt_dedup, decontaminate, jaccard_join, mixing, nn_descent, pii, quality, secrets, toxicity,
                          url_rules)
 from tessera.llm.common import read_table
+from tessera.llm.oracles import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -56,5 +57,3 @@ def op10_toxicity_bigru(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_secret_scan, op2_pii_weak_supervision, op3_pu_quality, op4_spaced_seed_decontamination,
     op5_url_association_rules, op6_rlbwt_dedup, op7_ngram_jaccard_join, op8_nn_descent, op9_source_mixing, op10_toxicity_bigru)}
-
-ORACLES: dict[str, str] = {"op9_source_mixing": mixing.mix_sql()}
