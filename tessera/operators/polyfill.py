@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import cells as C
 from tessera.functions import geometry as G
+from tessera.operators.sizing import materialise
 
 H = C.HALF_SQRT3
 CHUNK = 4096            # most cell centres exploded from one row span by one task
@@ -197,25 +198,27 @@ def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
     """Replace every complete set of 7 siblings by their parent, repeatedly.
 
     Input: cells of one resolution ``res`` per key.  Finest first, the open cells are grouped
-    by their grandparent (two levels per aggregation): a complete grandparent stays
-    open, everything else is final and set aside, so no cell is shuffled again once it is
-    final.  The open set shrinks 49x per step over solid areas and soon is empty.  The final
-    cells of all steps are united; a step's exchange is shared (reused) by the union's
-    branch of its final cells and the next step.
+    by their grandparent (two levels per aggregation) and the groups are written once: a
+    complete grandparent stays open for the next step, everything else is final and only
+    read again by the union at the end, so no cell is shuffled after it is final.  The open
+    set shrinks 49x per step over solid areas; the steps end when it is empty.
     """
     k = _keys(keys)
     opened = df.select(*k, F.col(cell_col).alias("c")).distinct()
-    final = None
+    final = []
     lvl = res
     while lvl > 0:
         two = lvl >= 2
         lvl -= 2 if two else 1
-        g = _sibling_groups(opened, k, lvl, two)
-        done = g.where(~F.col("up")).select(*k, F.explode("rest").alias("c"))
-        final = done if final is None else final.unionByName(done)
+        g = materialise(_sibling_groups(opened, k, lvl, two), "compaction", measure=False).df
+        final.append(g.where(~F.col("up")).select(*k, F.explode("rest").alias("c")))
         opened = g.where("up").select(*k, F.col("g").alias("c"))
-    final = opened if final is None else final.unionByName(opened)
-    return final.select(*k, F.col("c").alias(cell_col))
+        if opened.isEmpty():
+            break
+    out = opened
+    for done in final:
+        out = out.unionByName(done)
+    return out.select(*k, F.col("c").alias(cell_col))
 
 
 def uncompact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
