@@ -6,6 +6,8 @@ import pytest
 
 from tessera.llm import bwt_dedup as B
 
+from awkward_tables import awkward, documents, no_documents  # noqa: F401
+
 
 def brute(rows, length):
     """doc -> (bytes, removed, runs, hash) by a set of all earlier strings."""
@@ -46,6 +48,23 @@ def test_index_marks_what_starts_earlier(seed):
     assert index.repeats().tolist() == expected
 
 
+def test_pairing_leaves_out_only_what_shares_no_window():
+    rng = random.Random(7)
+    anchor = b"ANCHOR"
+    rows = set()
+    for d in range(60):
+        side = [bytes(rng.choice(b"ab") for _ in range(rng.randint(0, 9))) for _ in range(2)]
+        rows.add((d, 0, side[0] + anchor + side[1], len(side[0])))
+    kept = {r[0] for r in B.paired(rows, 12, 6)}
+    windows = {}
+    for d, _, p, off in rows:
+        for i in range(len(p) - 11):
+            if i <= off and off + 6 <= i + 12:
+                windows.setdefault(p[i:i + 12], set()).add(d)
+    shared = set().union(*[w for w in windows.values() if len(w) > 1])
+    assert shared and shared <= kept and kept != {r[0] for r in rows}
+
+
 def test_index_is_run_compressed_on_repetitive_texts():
     rng = random.Random(1)
     one = bytes(rng.choice(b"abcdefgh") for _ in range(150))
@@ -57,7 +76,7 @@ def test_equal_windows_have_equal_anchors():
     rng = random.Random(2)
     shared = bytes(rng.choice(b"abcdefgh ") for _ in range(400))
     texts = [bytes(rng.choice(b"abcdefgh ") for _ in range(rng.randint(0, 300))) + shared for _ in range(5)]
-    h, g, text, start, size = B.segments(texts, np.zeros(0, np.uint64))
+    h, g, text, start, size, _ = B.segments(texts, np.zeros(0, np.uint64))
     keys = {}
     for a, t, s, n in zip(h.tolist(), text.tolist(), start.tolist(), size.tolist(), strict=True):
         for k in range(n - 99):
@@ -96,10 +115,21 @@ def test_slices_of_long_texts_give_the_same(spark, monkeypatch):
     import tessera.llm.common as C
     monkeypatch.setattr(C, "PIECE_BYTES", 700)
     parts = [t.encode() for _, t in rows]
-    h, g, text, start, size = B.segments(parts, np.zeros(0, np.uint64))
+    h, g, text, start, size, _ = B.segments(parts, np.zeros(0, np.uint64))
     assert int((size - 99).sum()) == sum(len(p) - 99 for p in parts)
 
 
+def test_a_repeated_row_is_one_document(spark):
+    rng = random.Random(9)
+    base = "".join(rng.choice("abcdefgh ") for _ in range(500))
+    rows = [(1, base), (2, base[:300]), (3, "z" + base)]
+    df = spark.createDataFrame([*rows, rows[0], rows[1], rows[0]], "doc_id long, text string")
+    expected = brute(rows, 100)
+    for parts in (1, 4):
+        assert result(B.remove_repeats(df.repartition(parts))) == expected
+    assert B.remove_repeats(df).count() == 6
+
+
 def test_awkward_rows(spark, awkward, no_documents):
     rows = B.remove_repeats(awkward).collect()
     assert len(rows) == awkward.count()

@@ -5,6 +5,8 @@ import pytest
 
 from tessera.llm import decontaminate as D
 
+from awkward_tables import awkward, no_documents  # noqa: F401
+
 WORDS = [f"w{i}" for i in range(400)]
 
 

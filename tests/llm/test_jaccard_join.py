@@ -6,6 +6,8 @@ import pytest
 
 from tessera.llm import jaccard_join as J
 
+from awkward_tables import awkward, documents, no_documents  # noqa: F401
+
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 

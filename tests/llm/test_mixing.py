@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 
 from tessera.llm import mixing as M
 
+from awkward_tables import awkward, documents, no_documents  # noqa: F401
+
 
 def targets(sizes):
     """Reshare the excess over three times a source's size until none is above."""
@@ -54,7 +56,7 @@ def test_mix_hits_its_targets_and_reruns_agree(spark):
 
 def test_copies_differ_by_one_at_most_within_a_source(spark):
     docs = spark.createDataFrame([(i, "w " * 10, "a" if i % 3 else "b") for i in range(2000)], "doc_id long, text string, source string")
-    rows = M.systematic_copies(docs).select("source", "copies").collect()
+    rows = M.mix(docs).select("source", "copies").collect()
     for s in "ab":
         copies = [r["copies"] for r in rows if r["source"] == s]
         assert max(copies) - min(copies) <= 1
@@ -66,7 +68,7 @@ def test_plan_has_no_python(spark, documents):
 
 
 def test_awkward_rows(spark, awkward, no_documents):
-    mixed = M.systematic_copies(awkward)
+    mixed = M.mix(awkward)
     rows = mixed.collect()
     assert len(rows) == awkward.count() and set(awkward.columns) | {"copies"} <= set(mixed.columns)
     assert all(r["size"] == 0 for r in rows if r["doc_id"] in (2, 3, 4))
@@ -74,11 +76,13 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert out.count() == sum(r["copies"] for r in rows)
     assert sorted({r["copy"] for r in out.collect()})[0] == 0
     assert M.mix_query(awkward).count() == awkward.count()
-    assert M.mix_query(no_documents).count() == 0 and M.emit_copies(M.systematic_copies(no_documents)).count() == 0
+    narrow = M.mix_query(awkward).select("doc_id", "size", "taken").collect()
+    assert sorted((r["doc_id"] or 0, r["size"], r["size"] * r["copies"]) for r in rows) == sorted((r["doc_id"] or 0, r["size"], r["taken"]) for r in narrow)
+    assert M.mix_query(no_documents).count() == 0 and M.emit_copies(M.mix(no_documents)).count() == 0
 
 
 def test_a_source_without_words_is_left_out(spark):
     docs = spark.createDataFrame([(1, "", "a"), (2, None, "a"), (3, "x y z", "b")], "doc_id long, text string, source string")
     rows = {r["doc_id"]: r for r in M.mix_query(docs).collect()}
     assert rows[1]["target"] == 0 and rows[1]["taken"] == 0 and rows[3]["target"] == 3.0 and rows[3]["taken"] == 3
-    assert M.systematic_copies(docs).where(F.col("copies") < 0).count() == 0
+    assert M.mix(docs).where(F.col("copies") < 0).count() == 0

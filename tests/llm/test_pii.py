@@ -6,6 +6,8 @@ import pytest
 
 from tessera.llm import pii as P
 
+from awkward_tables import awkward, documents, no_documents  # noqa: F401
+
 # the contract's patterns, as they stand
 PATTERNS = {"email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
             "ip": re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

@@ -5,6 +5,8 @@ import pytest
 
 from tessera.llm import quality as Q
 
+from awkward_tables import awkward, no_documents, no_labels  # noqa: F401
+
 SF = "/root/testdata/sf0.01"
 
 

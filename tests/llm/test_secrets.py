@@ -5,6 +5,8 @@ import pytest
 
 from tessera.llm import secrets as S
 
+from awkward_tables import awkward, documents, no_documents  # noqa: F401
+
 # the contract's patterns, as they stand
 KINDS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)),
          ("access", re.compile(r"AKIA[A-Z0-9]+")), ("hex", re.compile(r"[0-9a-f]+"))]
