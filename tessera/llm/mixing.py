@@ -9,6 +9,9 @@ The order runs by size, so the taken words follow the target closely: neighbours
 order have nearly the same size, and a skipped document is made up by the next one.  Of
 ``DRAWS`` random offsets a source uses the one whose taken words come nearest its target.
 
+Positions are worked out on narrow rows (keys and sizes); the texts are counted once and
+shuffled once, to meet the copies of their rows.
+
 No source is ever sorted in one task.  Its documents fall into size bins, a bin of c
 documents into ceil(sqrt(c)) hash buckets, and positions are the sum of three small
 prefix counts: bins within the source, buckets within the bin, rows within the bucket.
@@ -81,15 +84,30 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, max_repeat: int = MAX_REPE
             .select("source", "source_size", "weight", "target"))
 
 
+def mix(docs: DataFrame, seed: int = 17, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
+        key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """``docs`` with size, source_size, target and copies (how often the mix emits the row).
+
+    Rows meet their copies by key, source and a hash of the text; rows that agree in all of them
+    are told apart by a number."""
+    row = F.concat_ws("|", F.coalesce(F.col(key).cast("string"), F.lit("null")), F.xxhash64(text).cast("string"),
+                      F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit("null")))
+    base = docs.drop(*[c for c in OUT if c in docs.columns]).withColumn("__rowkey", row)
+    narrow = base.select("__rowkey", F.col(key).alias("doc_id"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"))
+    copies = (systematic_copies(narrow, seed, weights, max_repeat).groupBy("__rowkey")
+              .agg(F.sort_array(F.collect_list(F.struct("copies", *OUT[:3]))).alias("__mixed")))
+    number = F.row_number().over(Window.partitionBy("__rowkey").orderBy("__rowkey"))
+    met = base.join(copies, "__rowkey").withColumn("__mixed", F.col("__mixed")[number - 1])
+    return met.select(*[c for c in docs.columns if c not in OUT], *[F.col("__mixed")[c].alias(c) for c in OUT])
+
+
 def systematic_copies(docs: DataFrame, seed: int = 17, weights=WEIGHTS, max_repeat: int = MAX_REPEAT,
-                      key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """``docs`` with size, source_size, target and copies (how often the mix emits the row)."""
-    base = docs.drop(*[c for c in OUT if c in docs.columns])
-    if text in base.columns:
-        base = base.withColumn("size", word_count(F.col(text)))
-    else:                                      # sizes were computed before the texts were left out
-        base = docs.drop(*[c for c in OUT[1:] if c in docs.columns])
+                      key: str = "doc_id", source: str = "source") -> DataFrame:
+    """Rows with a ``size`` (and any other columns, which are carried along) with source_size,
+    target and copies.  They pass several shuffles: leave texts out, or use mix()."""
+    base = docs.drop(*[c for c in OUT[1:] if c in docs.columns])
     base = materialise(base, "mix-sizes", measure=False).df        # the texts are counted once
+    carried = [c for c in base.columns if c != "size"]
     base = (base.withColumn("__source", F.col(source).cast("string"))
             .withColumn("__bin", size_bin(F.col("size")))
             .withColumn("__h", unit_hash(F.lit(str(seed)), F.coalesce(F.col(key).cast("string"), F.lit("")))))
@@ -132,8 +150,7 @@ def systematic_copies(docs: DataFrame, seed: int = 17, weights=WEIGHTS, max_repe
                                            offset(k).alias("offset")) for k in range(DRAWS)]))
     best = taken.select(F.col("__s").alias("__s3"), drawn["offset"].alias("__offset"))
     ordered = ordered.join(best, F.col("__s").eqNullSafe(F.col("__s3")))
-    own = [c for c in base.columns if not c.startswith("__") and c != "size"]
-    return ordered.select(*own, "size", F.col("__size_of").alias("source_size"),
+    return ordered.select(*carried, "size", F.col("__size_of").alias("source_size"),
                           F.col("__target").alias("target"), crossed(F.col("__offset")).cast("long").alias("copies"))
 
 
