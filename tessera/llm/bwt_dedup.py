@@ -8,10 +8,12 @@ corpus (smaller doc_id, or the same document and an earlier start).  Steps:
    documents) come last in that order, so common lines do not become anchors.  Consecutive
    windows with one anchor form a segment (on average K + 77 bytes).  Equal windows have equal
    anchors, so only segments with equal anchors can hold repeats;
-2. anchors met once are dropped.  Equal segments collapse into their first occurrence, and the
-   others are repeats as a whole;
-3. the distinct segments of an anchor that has several are brought together.  Many anchors
-   at a time, their segments are concatenated in corpus order and indexed: suffix order,
+2. anchors met once are dropped.  Equal segments collapse into their first occurrence (first
+   within a task, so hot passages are small before the shuffle), the others are repeats as
+   a whole;
+3. the distinct segments of an anchor that has several are brought together, and those that
+   agree with no other one next to the anchor are left out.  Many anchors at a time, their
+   segments are concatenated in corpus order and indexed: suffix order,
    Burrows-Wheeler transform, its runs, and text positions sampled at the run ends.  Only runs and
    samples are kept; the segments are then streamed backwards through the index, all
    at once, which gives for every position its row and with it its matching statistic, cut at
@@ -30,13 +32,15 @@ of both); other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm.common import BASES, PIECE_BYTES, groups_of, keyed_texts, pieces, range_hashes, read_table, text_map
+from tessera.llm.common import BASES, PIECE_BYTES, groups_of, keyed_texts, mix, pieces, range_hashes, read_table
+from tessera.operators.sizing import materialise
 from tessera.session import ship_package
 
 LENGTH, K = 100, 24
@@ -44,9 +48,13 @@ LENGTH, K = 100, 24
 FREQUENT = 50_000
 #: Only strings whose hash is in the lowest part of the range are counted: nearly every
 #: window has several of them, so the others are hardly ever anchors.
-LOW = np.uint64(1 << 61)
+LOW = np.uint64(1 << 60)
 #: Distinct segments of an anchor that one index holds; bytes of an index.
 HOT, INDEX_BYTES = 4096, 1 << 19
+#: Segments among which a task looks for equal ones before the shuffle.
+CHUNK_SEGMENTS = 400_000
+#: Bits of a segment's size and of its anchor's offset.
+BITS = 10
 _POS = np.uint64((1 << 20) - 1)
 
 
@@ -76,8 +84,8 @@ def _strings(batch, k):
 
 
 def segments(texts: list[bytes], frequent: np.ndarray, length: int = LENGTH, k: int = K):
-    """(anchor hash, segment hash, text, start, bytes) of all segments."""
-    out = [[] for _ in range(5)]
+    """(anchor hash, segment hash, text, start, bytes, anchor's offset in it) of all segments."""
+    out = [[] for _ in range(6)]
     w = length - k + 1
     for batch in slices(texts, length):
         buf, begin, h = _strings(batch, k)
@@ -107,6 +115,7 @@ def segments(texts: list[bytes], frequent: np.ndarray, length: int = LENGTH, k:
         out[2].append(np.array([b[0] for b in batch])[who])
         out[3].append(s - begin[who] + np.array([b[1] for b in batch])[who])
         out[4].append(e - s)
+        out[5].append(anchor[s] - s)
     return [np.concatenate(o) if o else np.zeros(0, np.int64) for o in out]
 
 
@@ -159,7 +168,7 @@ class RunIndex:
         n = len(text)
         owner = np.repeat(np.arange(len(parts)), self.sizes + 1)
         left = self.ends[owner] - np.arange(n)                      # bytes before the terminator
-        rank, depth = self._start(text, owner, left), 7
+        rank, depth = self._start(text, owner, left), 6
         agree = None
         while depth < length:
             if 2 * depth >= length and agree is None:
@@ -167,7 +176,7 @@ class RunIndex:
             rank = self._double(rank, depth)
             depth *= 2
         r, d = agree if agree else (rank, depth)
-        while len(np.unique(rank)) < n:
+        while rank.max() < n - 1:
             rank = self._double(rank, depth)
             depth *= 2
         suffixes = np.empty(n, dtype=np.int64)
@@ -193,20 +202,26 @@ class RunIndex:
 
     @staticmethod
     def _start(text, owner, left):
-        """Ranks by the first seven bytes; what runs into a terminator is told apart by it."""
+        """Ranks by the first six bytes; what runs into a terminator is told apart by it."""
         n = len(text)
         key = np.zeros(n, dtype=np.int64)
-        for j in range(7):
+        for j in range(6):
             c = np.zeros(n, dtype=np.int64)
             c[:n - j] = text[j:]
             key = key * 257 + np.where(left >= j, c, 0)
-        tail = np.where(left < 7, owner + 1, 0)
-        order = np.lexsort((tail, key))
-        new = np.ones(n, dtype=np.int64)
-        new[1:] = (key[order[1:]] != key[order[:-1]]) | (tail[order[1:]] != tail[order[:-1]])
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(new) - 1
-        return rank
+        if owner[-1] + 2 < (1 << 63) // 257 ** 6:
+            return RunIndex._dense(key * (owner[-1] + 2) + np.where(left < 6, owner + 1, 0))
+        return RunIndex._dense(RunIndex._dense(key) * (owner[-1] + 2) + np.where(left < 6, owner + 1, 0))
+
+    @staticmethod
+    def _dense(key):
+        """Dense ranks of the keys."""
+        order = np.argsort(key)
+        new = np.ones(len(key), dtype=np.int64)
+        new[1:] = key[order[1:]] != key[order[:-1]]
+        out = np.empty(len(key), dtype=np.int64)
+        out[order] = np.cumsum(new) - 1
+        return out
 
     @staticmethod
     def _double(rank, depth):
@@ -214,13 +229,7 @@ class RunIndex:
         second = np.zeros(n, dtype=np.int64)
         if depth < n:
             second[:n - depth] = rank[depth:]
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        new = np.ones(n, dtype=np.int64)
-        new[1:] = key[order[1:]] != key[order[:-1]]
-        out = np.empty(n, dtype=np.int64)
-        out[order] = np.cumsum(new) - 1
-        return out
+        return RunIndex._dense(rank * (n + 1) + second)
 
     def step(self, row: np.ndarray) -> np.ndarray:
         """Rows of the positions one to the left."""
@@ -266,46 +275,142 @@ def repeated_spans(rows: list[tuple[int, int, bytes]], length: int) -> list[tupl
             for p, s, e in zip(part[lo].tolist(), at[lo].tolist(), at[hi].tolist(), strict=True)]
 
 
+def paired(rows: set[tuple[int, int, bytes, int]], length: int, k: int) -> list[tuple[int, int, bytes]]:
+    """(doc_id, start, bytes) of the distinct segments of an anchor that may share a window with
+    another one: a window holds the anchor and at least half of its other bytes on one side,
+    so two segments that share one agree on that many bytes left or right of the anchor."""
+    half = -(-(length - k) // 2)
+    sides = [(p[off - half:off] if off >= half else None, p[off + k:off + k + half] if len(p) >= off + k + half else None)
+             for _, _, p, off in rows]
+    left, right = Counter(s[0] for s in sides), Counter(s[1] for s in sides)
+    return [(doc, start, p) for (doc, start, p, _), (a, b) in zip(rows, sides, strict=True)
+            if (a is not None and left[a] > 1) or (b is not None and right[b] > 1)]
+
+
 # ---------------------------------------------------------------- Spark
 
+def cut_segments(texts: DataFrame, frequent, length: int, k: int) -> DataFrame:
+    """(h, g, doc_id, at): the segments of all texts.
+
+    ``at`` holds start, offset of the anchor and bytes in one number (a segment is shorter than
+    2 * length, which BITS bits hold).  Equal
+    segments within one chunk of a task keep their first occurrence only; the others are repeats
+    for sure and pass with a negative ``at`` under a key of their own, so a passage copied a
+    million times sends one row per chunk to its anchor."""
+
+    def run(batches):
+        waiting, size = [], 0
+
+        def flush():
+            h, g, doc, at = (np.concatenate([w[j] for w in waiting]) for j in range(4))
+            order = np.argsort(h)
+            twin = h[order][1:] == h[order][:-1]
+            tied = np.append(twin, False) | np.append(False, twin)
+            alone, tied = order[~tied], order[tied]
+            tied = tied[np.lexsort((at[tied], doc[tied], g[tied], h[tied]))]
+            h, g, doc, at = (np.concatenate([x[tied], x[alone]]) for x in (h, g, doc, at))
+            once = np.ones(len(h), dtype=bool)               # a repeated row is the same document
+            once[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1]) | (doc[1:] != doc[:-1]) | (at[1:] != at[:-1])
+            h, g, doc, at = h[once], g[once], doc[once], at[once]
+            again = np.zeros(len(h), dtype=bool)
+            again[1:] = (h[1:] == h[:-1]) & (g[1:] == g[:-1])
+            h[again] = mix(doc[again].view(np.uint64) + at[again].view(np.uint64))
+            g[again] = 0
+            at[again] *= -1
+            for lo in range(0, len(h), 1 << 16):
+                part = slice(lo, lo + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(h[part].view(np.int64)), pa.array(g[part].view(np.int64)),
+                                                  pa.array(doc[part]), pa.array(at[part])], names=["h", "g", "doc_id", "at"])
+
+        for ids, part in pieces(batches):
+            h, g, text, start, n, off = segments(part, frequent.value, length, k)
+            if len(h):
+                waiting.append((h, g, np.array(ids, dtype=np.int64)[text], (start.astype(np.int64) << 2 * BITS) | (off << BITS) | n))
+                size += len(h)
+            if size > CHUNK_SEGMENTS:
+                yield from flush()
+                waiting, size = [], 0
+        if waiting:
+            yield from flush()
+
+    return texts.mapInArrow(run, "h long, g long, doc_id long, at long")
+
+
+def sort_out(cut: DataFrame) -> DataFrame:
+    """(h, doc_id, at): a null h marks a whole segment that repeats an earlier one; the others
+    are the first occurrences of the distinct segments of anchors that have several.  Anchors met
+    once are gone.  The sorted rows are streamed; a task remembers two rows."""
+
+    def run(batches):
+        last, open_row = None, None             # the last row; the first occurrence not decided yet
+        for b in batches:
+            h, g, doc, at = (b.column(j).to_numpy() for j in range(4))
+            whole = at < 0
+            marks = [(doc[whole], -at[whole])]
+            h, g, doc, at = h[~whole], g[~whole], doc[~whole], at[~whole]
+            if len(h):
+                same = np.append(last is not None and last[:2] == (h[0], g[0]), (h[1:] == h[:-1]) & (g[1:] == g[:-1]))
+                here = np.append(last is not None and last[2:] == (doc[0], at[0]), (doc[1:] == doc[:-1]) & (at[1:] == at[:-1]))
+                last = (h[-1], g[-1], doc[-1], at[-1])
+                marks.append((doc[same & ~here], at[same & ~here]))
+                h, doc, at = h[~same], doc[~same], at[~same]
+                if open_row is not None:
+                    h, doc, at = (np.append(x, y) for x, y in zip(open_row[:3], (h, doc, at), strict=True))
+                    known = open_row[3]
+                else:
+                    known = False
+                if len(h):
+                    twin = h[1:] == h[:-1]
+                    several = np.append(twin, False) | np.append(known, twin)
+                    open_row = (h[-1:], doc[-1:], at[-1:], bool(several[-1]))
+                    yield _found(h[:-1][several[:-1]], doc[:-1][several[:-1]], at[:-1][several[:-1]])
+            doc, at = (np.concatenate([m[j] for m in marks]) for j in range(2))
+            yield _found(None, doc, at)
+        if open_row is not None and open_row[3]:
+            yield _found(*open_row[:3])
+
+    return (cut.repartition("h").sortWithinPartitions("h", "g", "doc_id", "at")
+            .mapInArrow(run, "h long, doc_id long, at long"))
+
+
+def _found(h, doc, at) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.nulls(len(doc), pa.int64()) if h is None else pa.array(h), pa.array(doc), pa.array(at)],
+                                      names=["h", "doc_id", "at"])
+
+
 def marks(texts: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) -> DataFrame:
     """(doc_id, start, stop): byte ranges to remove; they may overlap."""
     spark = texts.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_strings(texts, k, length))    # at most FREQUENT numbers
-
-    def cut(ids, part):
-        h, g, text, start, size = segments(part, frequent.value, length, k)
-        ids = np.array(ids, dtype=np.int64)
-        return {"h": h.view(np.int64) if len(h) else [], "g": g.view(np.int64) if len(g) else [],
-                "doc_id": ids[text] if len(text) else [], "at": (start.astype(np.int64) << 20) | size}
-
-    # start and bytes of a segment share one number: a segment is shorter than 2 * length
-    all_ = text_map(texts, cut, "h long, g long, doc_id long, at long")
-    met = all_.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1).select("h")
-    again = all_.join(met, "h")
-    firsts = again.groupBy("h", "g").agg(F.min(F.struct("doc_id", "at")).alias("first"))
-    start, stop = F.shiftright("at", 20), F.shiftright("at", 20) + F.col("at").bitwiseAND((1 << 20) - 1)
-    whole = (again.join(firsts, ["h", "g"]).where(F.struct("doc_id", "at") != F.col("first"))
-             .select("doc_id", start.alias("start"), stop.alias("stop")))
-    several = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).where(F.col("kinds") > 1)
-    wanted = (firsts.join(several, "h").select("first.doc_id", F.struct("h", "g", F.col("first.at").alias("at"), "kinds").alias("w"))
+    found = materialise(sort_out(cut_segments(texts, frequent, length, k)), "segments", measure=False).df
+    start, stop = F.shiftright("at", 2 * BITS), F.shiftright("at", 2 * BITS) + F.col("at").bitwiseAND((1 << BITS) - 1)
+    whole = found.where(F.col("h").isNull()).select("doc_id", start.alias("start"), stop.alias("stop"))
+    firsts = found.where(F.col("h").isNotNull())
+    kinds = firsts.groupBy("h").agg(F.count(F.lit(1)).alias("kinds"))
+    wanted = (firsts.join(kinds, "h").select("doc_id", F.struct("h", "at", "kinds").alias("w"))
               .groupBy("doc_id").agg(F.collect_list("w").alias("wanted")))
 
     def fetch(batches):
         for b in batches:
-            out = {"h": [], "doc_id": [], "start": [], "part": [], "kinds": []}
+            out = {"h": [], "doc_id": [], "start": [], "off": [], "part": [], "kinds": []}
+            low = (1 << BITS) - 1
             for r in b.to_pylist():
                 data = r["text"].encode("utf-8", "surrogatepass")
                 for w in r["wanted"]:
-                    s, n = w["at"] >> 20, w["at"] & ((1 << 20) - 1)
+                    s, off, n = w["at"] >> 2 * BITS, (w["at"] >> BITS) & low, w["at"] & low
                     part = data[s:s + n]
                     if len(part) == n:
-                        for name, v in (("h", w["h"]), ("doc_id", r["doc_id"]), ("start", s), ("part", part), ("kinds", w["kinds"])):
+                        for name, v in (("h", w["h"]), ("doc_id", r["doc_id"]), ("start", s), ("off", off), ("part", part), ("kinds", w["kinds"])):
                             out[name].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=pa.schema(
-                [("h", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("part", pa.binary()), ("kinds", pa.int64())]))
+                [("h", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int64()), ("off", pa.int32()), ("part", pa.binary()),
+                 ("kinds", pa.int64())]))
 
-    parts = texts.join(wanted, "doc_id").mapInArrow(fetch, "h long, doc_id long, start long, part binary, kinds long")
+    parts = texts.join(wanted, "doc_id").mapInArrow(
+        fetch, "h long, doc_id long, start long, off int, part binary, kinds long")
+    any_hot = not kinds.where(F.col("kinds") > hot).isEmpty()
+    if any_hot:                                     # then the bytes are read twice
+        parts = materialise(parts, "segment-bytes", measure=False).df
 
     def index(batches):
         waiting, size = [], 0
@@ -316,7 +421,7 @@ def marks(texts: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) ->
                                               names=["doc_id", "start", "stop"])
 
         for t in groups_of(batches, ["h"]):
-            own = list(zip(*[t.column(c).to_pylist() for c in ("doc_id", "start", "part")], strict=True))
+            own = paired(set(zip(*[t.column(c).to_pylist() for c in ("doc_id", "start", "part", "off")], strict=True)), length, k)
             if waiting and size + sum(len(r[2]) for r in own) > INDEX_BYTES:
                 yield solve()
                 waiting, size = [], 0
@@ -326,9 +431,12 @@ def marks(texts: DataFrame, length: int = LENGTH, k: int = K, hot: int = HOT) ->
             yield solve()
 
     span = "doc_id long, start long, stop long"
-    by_index = (parts.where(F.col("kinds") <= hot).select("h", "doc_id", "start", "part")
+    by_index = (parts.where(F.col("kinds") <= hot).select("h", "doc_id", "start", "off", "part")
                 .repartition("h").sortWithinPartitions("h").mapInArrow(index, span))
 
+    if not any_hot:
+        return whole.unionByName(by_index)
+
     def windows(batches):
         for b in batches:
             data = b.column("part").to_pylist()
