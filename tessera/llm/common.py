@@ -21,7 +21,7 @@ from tessera.session import ship_package, table_path
 
 #: Texts are handed to numpy in pieces of about so many bytes (one longer text is a
 #: piece of its own).
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 
 _M64 = (1 << 64) - 1
 

@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, utf8, words_of
+from tessera.llm.common import PIECE_BYTES, WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, utf8, words_of
 from tessera.session import ship_package
 
 WINDOW, STRIDE = 16, 8
 WORD_BUCKETS, GRAM_BUCKETS = 1 << 15, 1 << 15
 DIM, HIDDEN = 6, 6
 #: Bounds of the training sample: rows of each class, characters of a text.
-TRAIN_DOCS, TRAIN_CHARS = 2500, 12_000
+TRAIN_DOCS, TRAIN_CHARS = 4000, 12_000
 THRESHOLD = 0.3
 #: Byte lengths of the hashed character n-grams: prefixes, suffixes, inner.
 PREFIXES, SUFFIXES, INNER = (4, 6, 8), (4,), (5,)
@@ -72,7 +72,7 @@ def gram_ids(buf, s, e):
         kind.append(np.full(len(i), k, dtype=np.uint64))
     who, lo, hi, kind = map(np.concatenate, (who, lo, hi, kind))
     g = mix(range_hashes(buf, lo, hi) + kind * np.uint64(0x9E3779B97F4A7C15))
-    return who, (g % np.uint64(GRAM_BUCKETS)).astype(np.int64)
+    return who.astype(np.int32), (g % np.uint64(GRAM_BUCKETS)).astype(np.int32)
 
 
 def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -83,9 +83,12 @@ def windows(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     text = np.repeat(np.arange(len(n)), per)
     before = np.zeros(len(n) + 1, dtype=np.int64)
     np.cumsum(per, out=before[1:])
-    start = (np.arange(len(text)) - before[text]) * STRIDE
-    step = start[:, None] + np.arange(WINDOW)
-    return np.where(step < n[text][:, None], first[text][:, None] + step, -1), text, before
+    start = ((np.arange(len(text)) - before[text]) * STRIDE).astype(np.int32)
+    step = start[:, None] + np.arange(WINDOW, dtype=np.int32)
+    inside = step < n[text][:, None]
+    step += first[text][:, None].astype(np.int32)
+    step[~inside] = -1
+    return step, text, before
 
 
 def sigmoid(x):
@@ -191,17 +194,47 @@ class Net:
         return g, dx
 
 
+def _parts(texts: list[bytes]):
+    """Texts in lists of about PIECE_BYTES."""
+    part, size = [], 0
+    for t in texts:
+        if part and size + len(t) > PIECE_BYTES:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    if part:
+        yield part
+
+
 class Encoded:
     """Texts as distinct words, their n-grams and windows."""
 
     def __init__(self, texts: list[bytes]):
-        buf, s, e, h, first = words_of(texts, WORDLIKE)
-        us, ue, uh, self.word = unique_words(buf, s, e, h)
+        hashes, words, grams, first, known = [], [], [], [np.zeros(1, np.int64)], 0
+        for part in _parts(texts):
+            buf, s, e, h, own = words_of(part, WORDLIKE)
+            us, ue, uh, word = unique_words(buf, s, e, h)
+            who, gid = gram_ids(buf, us, ue)
+            words.append((word + known).astype(np.int32))
+            grams.append((who + np.int32(known), gid))
+            hashes.append(uh)
+            first.append(own[1:] + first[-1][-1])
+            known += len(uh)
+        uh, at, number = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
         self.wid = (uh % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        self.who, self.gid = gram_ids(buf, us, ue)
-        self.first = first
-        step, self.text, self.before = windows(first)
-        self.idx = np.where(step >= 0, self.word[np.maximum(step, 0)] if len(self.word) else 0, len(us)).astype(np.int32)
+        self.word = number[np.concatenate(words)].astype(np.int32) if words else np.zeros(0, np.int32)
+        kept = np.zeros(known, dtype=bool)                     # one set of n-grams for each distinct word
+        kept[at] = True
+        grams = [(number[w[kept[w]]].astype(np.int32), g[kept[w]]) for w, g in grams]
+        self.who = np.concatenate([g[0] for g in grams]) if grams else np.zeros(0, np.int32)
+        self.gid = np.concatenate([g[1] for g in grams]) if grams else np.zeros(0, np.int32)
+        self.first = np.concatenate(first)
+        self.idx, self.text, self.before = windows(self.first)
+        empty = self.idx < 0
+        if len(self.word):
+            self.idx = self.word[np.maximum(self.idx, 0)]
+        self.idx[empty] = len(uh)
 
     def logits(self, net: Net, block: int = 4096) -> np.ndarray:
         x = net.inputs(self.wid, self.who, self.gid, len(self.wid))
@@ -217,7 +250,7 @@ def best_windows(logit: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.stack([top, second], axis=1)
 
 
-def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, seed: int = 7, rounds: int = 4,
+def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, seed: int = 7, rounds: int = 3,
           epochs: int = 3, batch: int = 256, rate: float = 0.01) -> Net:
     """Fit the network to (label, text) rows; see the module text.  ``totals`` holds how many
     rows each label has in all, so that the scores are calibrated to the true shares."""
