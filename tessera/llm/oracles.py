@@ -7,7 +7,7 @@ brute force and held-out rows in tests/llm.
 
 from __future__ import annotations
 
-from tessera.llm import bwt_dedup, jaccard_join, nn_descent
+from tessera.llm import bwt_dedup, hard_negatives, jaccard_join, nn_descent
 from tessera.llm.mixing import mix_sql
 
 # components by reachability from every node; edges hold both directions
@@ -77,5 +77,28 @@ SELECT e.vec_id, coalesce(g.n, 0) AS n_links, p.component_id, e.vec_id = p.compo
 FROM embeddings e JOIN parts p ON p.node = e.vec_id LEFT JOIN degree g ON g.a = e.vec_id"""
 
 
+def hard_negatives_sql(scale: int = hard_negatives.SCALE, positives: int = hard_negatives.POSITIVES,
+                       negatives: int = hard_negatives.NEGATIVES, low: int = hard_negatives.LOW_PERCENT) -> str:
+    return f"""WITH v AS (
+  SELECT row_number() OVER () AS rn, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+s AS (
+  SELECT a.rn AS anchor, a.vec_id AS anchor_id, b.vec_id AS other_id, b.rn AS other, a.label = b.label AS same,
+         CAST(coalesce(list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * b.q[i])), 0) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.rn <> b.rn AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0
+),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, other_id) <= {positives})
+SELECT p.anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank,
+       n.other_id AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor = p.anchor AND NOT n.same AND {low} * p.score <= 100 * n.score AND n.score <= p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor, p.other ORDER BY n.score DESC, n.other_id) <= {negatives}"""
+
+
 ORACLES: dict[str, str] = {"op6_rlbwt_dedup": repeats_sql(), "op7_ngram_jaccard_join": jaccard_sql(),
-                           "op8_nn_descent": embeddings_sql(), "op9_source_mixing": mix_sql()}
+                           "op8_nn_descent": embeddings_sql(), "op9_source_mixing": mix_sql(),
+                           "op11_hard_negatives": hard_negatives_sql()}
