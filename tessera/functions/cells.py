@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # ---- fixed values of the grid -------------------------------------------
@@ -238,6 +238,104 @@ def cell_parent(cell, child_res: int, parent_res: int) -> Column:
     return encode(parent_res, ab["a"], ab["b"])
 
 
+# ---- hierarchical order --------------------------------------------------
+# A cell's path number has one base-7 digit per level below its ancestor of resolution 0, so the
+# descendants of a cell are consecutive numbers.  The digit of a child is 3 * du + dv + 3 for
+# its lattice step (du, dv) from the centre child.
+PATH_ROOTS = 1 << 10                          # resolution-0 coordinates are below half of this
+DIGIT_DU = (-1, -1, 0, 0, 0, 1, 1)
+DIGIT_DV = (0, 1, -1, 0, 1, -1, 0)
+
+
+def _two_levels() -> dict[tuple[int, int], tuple[int, int, int]]:
+    """Two levels from even to even are a factor of 7: 49 steps (dx, dy) from 7 times the
+    ancestor's coordinates, told apart by their remainders.  (dx % 7, dy % 7) -> (dx, dy, both digits)."""
+    out = {}
+    for d1 in range(7):
+        for d2 in range(7):
+            u, v = DIGIT_DU[d1], DIGIT_DV[d1]           # the odd level, then times conj(theta) = 3 - w
+            dx, dy = u * 3 + v + DIGIT_DU[d2], v * 2 - u + DIGIT_DV[d2]
+            out[dx % 7, dy % 7] = (dx, dy, 7 * d1 + d2)
+    return out
+
+
+# These expressions are long; as SQL text each is one call to the planner.
+
+def _sql_a(cell: str) -> str:
+    return f"((shiftright({cell}, 29) & {SHIFT_A - 1}) - {OFFSET})"
+
+
+def _sql_b(cell: str) -> str:
+    return f"(({cell} & {SHIFT_A - 1}) - {OFFSET})"
+
+
+def _sql_encode(res, a: str, b: str) -> str:
+    return f"(cast({res} as bigint) * {SHIFT_RES} + ({a} + {OFFSET}) * {SHIFT_A} + ({b} + {OFFSET}))"
+
+
+def _sql_step(cell: str, part: int) -> str:
+    """dx, dy or digits (part 0, 1, 2) of a cell of an even level below its ancestor two levels up."""
+    table = _two_levels()
+    values = ", ".join(f"{table[i, j][part]}L" for i in range(7) for j in range(7))
+    return f"get(array({values}), cast(pmod({_sql_a(cell)}, 7) * 7 + pmod({_sql_b(cell)}, 7) as int))"
+
+
+def with_even_ancestors(df: DataFrame, cell: str, res: int, down_to: int) -> DataFrame:
+    """``__c{l}``: the ancestors' ids at the even levels l from ``res`` to ``down_to``.
+
+    One column and one projection for two levels; each uses the column before, so the projections
+    stay apart in the plan and run in one generated stage.  Keep filters off the results: a filter
+    pushed below the projections writes each level into the next."""
+    _check_res(res)
+    top = res - res % 2
+    out = df.withColumn(f"__c{top}", cell_parent(cell, res, top))
+    for lvl in range(top, down_to + 1, -2):
+        c = f"__c{lvl}"
+        up = [f"(({x} - {_sql_step(c, part)}) div 7)" for part, x in enumerate((_sql_a(c), _sql_b(c)))]
+        out = out.withColumn(f"__c{lvl - 2}", F.expr(_sql_encode(lvl - 2, *up)))
+    return out
+
+
+def with_ancestors(df: DataFrame, cell: str, res: int, levels: list[int], out: str) -> DataFrame:
+    """``out``: array of the ancestors' ids at ``levels`` (each at most ``res``; ``res`` is the cell)."""
+    own = [F.col(f"`{c}`") for c in df.columns]
+    wide = with_even_ancestors(df, cell, res, min(levels))
+
+    def at(lvl: int) -> Column:
+        if lvl == res:
+            return F.col(cell)
+        return F.col(f"__c{lvl}") if lvl % 2 == 0 else cell_parent(cell if lvl + 1 == res else f"__c{lvl + 1}", lvl + 1, lvl)
+
+    return wide.select(*own, F.array(*map(at, levels)).alias(out))
+
+
+def with_path(df: DataFrame, cell: str, res: int, out: str) -> DataFrame:
+    """``out``: path number of a cell of resolution ``res``; ``out div 7**k`` is that of its ancestor
+    k levels up."""
+    own = [F.col(f"`{c}`") for c in df.columns]
+    wide = with_even_ancestors(df, cell, res, 0)
+    path = f"({_sql_a('__c0')} + {PATH_ROOTS // 2}) * {PATH_ROOTS}L + {_sql_b('__c0')} + {PATH_ROOTS // 2}"
+    for lvl in range(2, res + 1, 2):
+        path = f"({path}) * 49 + {_sql_step(f'__c{lvl}', 2)}"
+    if res % 2:
+        up = F.col(f"__c{res - 1}")
+        ca, cb = child_ab(cell_a(up), cell_b(up), res - 1, 0)
+        return wide.select(*own, (F.expr(path) * 7 + (cell_a(cell) - ca) * 3 + (cell_b(cell) - cb) + 3).alias(out))
+    return wide.select(*own, F.expr(path).alias(out))
+
+
+def cell_from_path(path: str, res: str) -> Column:
+    """Cell id of the path number ``path`` of resolution ``res`` (SQL text of columns)."""
+    du, dv = (f"array({', '.join(map(str, d))})" for d in (DIGIT_DU, DIGIT_DV))
+    # digits from the coarsest level on; then down from the ancestor of resolution 0
+    split = (f"aggregate(sequence(1, {MAX_RES}), named_struct('rest', {path}, 'digits', cast(array() as array<bigint>)), (acc, lvl) -> "
+             f"CASE WHEN lvl <= {res} THEN named_struct('rest', acc.rest div 7, 'digits', concat(array(acc.rest % 7), acc.digits)) ELSE acc END)")
+    down = (f"aggregate(s.digits, named_struct('a', shiftright(s.rest, 10) - {PATH_ROOTS // 2}L, 'b', s.rest % {PATH_ROOTS} - {PATH_ROOTS // 2}L, 'lvl', 0), "
+            f"(acc, d) -> named_struct('a', IF(acc.lvl % 2 = 0, acc.a * 2 - acc.b, acc.a * 3 + acc.b) + get({du}, cast(d as int)), "
+            f"'b', IF(acc.lvl % 2 = 0, acc.a + acc.b * 3, acc.b * 2 - acc.a) + get({dv}, cast(d as int)), 'lvl', acc.lvl + 1))")
+    return F.expr(f"transform(transform(array({split}), s -> {down}), z -> {_sql_encode(f'({res})', 'z.a', 'z.b')})[0]")
+
+
 # the seven residues mod theta: centre plus the six units of the lattice
 UNITS = [(0, 0), (1, 0), (-1, 0), (0, 1), (0, -1), (-1, 1), (1, -1)]
 

@@ -16,7 +16,7 @@ rings are closed.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import cells as C
@@ -107,7 +107,7 @@ def polyfill(df: DataFrame, geom_col: str, res: int, keys, first_part_only: bool
 
 def polyfill_wkt(df: DataFrame, wkt_col: str, res: int, keys, first_part_only: bool = False,
                  cell_col: str = "cell") -> DataFrame:
-    """Polyfill straight from WKT text (``h3_polyfillash3(wkt, res)`` call shape)."""
+    """Polyfill straight from WKT text."""
     g = df.select(*_keys(keys), G.st_geom_from_wkt(F.col(wkt_col)).alias("__g"))
     return polyfill(g, "__g", res, keys, first_part_only, cell_col)
 
@@ -176,49 +176,64 @@ def polycover(df: DataFrame, geom_col: str, res: int, keys, cell_col: str = "cel
 
 # ---- compaction ------------------------------------------------------------
 
-def _sibling_groups(opened: DataFrame, k: list[str], lvl: int, two: bool) -> DataFrame:
-    """Open cells of level lvl + 2 (lvl + 1 unless ``two``) under their ancestor of level lvl:
-    keys..., g, up (the ancestor is complete), rest (else: what stays, with complete
-    intermediate parents in place of their children).  At most 49 (7) rows a group."""
-    if not two:
-        g = opened.groupBy(*k, C.cell_parent(F.col("c"), lvl + 1, lvl).alias("g")).agg(F.collect_list("c").alias("kids"))
-        return g.select(*k, "g", (F.size("kids") == 7).alias("up"), F.col("kids").alias("rest"))
-    s = opened.withColumn("p", C.cell_parent(F.col("c"), lvl + 2, lvl + 1))
-    g = (s.groupBy(*k, C.cell_parent(F.col("p"), lvl + 1, lvl).alias("g"))
-         .agg(F.collect_list(F.struct("c", "p")).alias("kids")))
-    kids = F.col("kids")
-    full = F.filter(F.array_distinct(F.transform(kids, lambda x: x["p"])),
-                    lambda p: F.size(F.filter(kids, lambda x: x["p"] == p)) == 7)
-    rest = F.concat(F.col("full"), F.transform(F.filter(kids, lambda x: ~F.array_contains(F.col("full"), x["p"])), lambda x: x["c"]))
-    return (g.withColumn("full", full)
-            .select(*k, "g", (F.size("full") == 7).alias("up"), rest.alias("rest")))
+#: Levels that one step of the compaction looks at: first over all cells (groups of at most
+#: 7**4 cells, which spread well), then over the complete ancestors, 2401 times fewer at most.
+FIRST_LEVELS, NEXT_LEVELS = 4, 8
+
+
+def _aligned_blocks(lo: str, hi: str, levels: int) -> Column:
+    """The run of numbers [lo, hi) as the fewest blocks of 7**k aligned numbers, k <= levels:
+    array<struct<up, at>>, ``at`` numbered in blocks of 7**up."""
+    first = [f"(({lo} + {7 ** k - 1}) div {7 ** k})" for k in range(levels + 1)]
+    last = [f"({hi} div {7 ** k})" for k in range(levels + 1)]
+
+    def named(k: int, start: str, stop: str) -> str:
+        return (f"transform(IF({start} < {stop}, sequence({start}, {stop} - 1), cast(array() as array<bigint>)), "
+                f"x -> named_struct('up', {k}, 'at', x))")
+
+    out = [named(levels, first[levels], last[levels])]
+    for k in range(levels):
+        above = f"{first[k + 1]} < {last[k + 1]}"          # some block of the next level covers the middle
+        out.append(named(k, first[k], f"IF({above}, {first[k + 1]} * 7, {last[k]})"))
+        out.append(named(k, f"IF({above}, {last[k + 1]} * 7, {last[k]})", last[k]))
+    return F.expr(f"concat({', '.join(out)})")
 
 
 def compact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:
     """Replace every complete set of 7 siblings by their parent, repeatedly.
 
-    Input: cells of one resolution ``res`` per key.  Finest first, the open cells are grouped
-    by their grandparent (two levels per aggregation) and the groups are written once: a
-    complete grandparent stays open for the next step, everything else is final and only
-    read again by the union at the end, so no cell is shuffled after it is final.  The open
-    set shrinks 49x per step over solid areas; the steps end when it is empty.
+    Input: cells of one resolution ``res`` per key; repeated ones count once.  Cells are numbered
+    along the hierarchy (``with_path``), so that the descendants of a cell are consecutive.
+    The cells under one ancestor ``FIRST_LEVELS`` up meet in one shuffle and are sorted; their runs of
+    consecutive numbers are cut into aligned blocks of 7**k numbers, which are the compacted
+    cells.  Only ancestors that are complete go on to the next step, at most one row for 2401
+    cells; everything else is final and not shuffled again.
     """
     k = _keys(keys)
-    opened = df.select(*k, F.col(cell_col).alias("c")).distinct()
-    final = []
-    lvl = res
-    while lvl > 0:
-        two = lvl >= 2
-        lvl -= 2 if two else 1
-        g = materialise(_sibling_groups(opened, k, lvl, two), "compaction", measure=False).df
-        final.append(g.where(~F.col("up")).select(*k, F.explode("rest").alias("c")))
-        opened = g.where("up").select(*k, F.col("g").alias("c"))
+    opened = C.with_path(df.select(*k, F.col(cell_col).alias("__c")), "__c", res, "u").drop("__c")
+    final, lvl, levels = [], res, FIRST_LEVELS
+    while True:
+        up = min(levels, lvl)
+        placed = opened.select(*k, "u", F.expr(f"u div {7 ** up}").alias("g"))
+        # consecutive numbers keep their distance from their rank
+        rank = F.dense_rank().over(Window.partitionBy(*k, "g").orderBy("u"))
+        runs = (placed.withColumn("r", F.col("u") - rank).groupBy(*k, "g", "r")
+                .agg(F.min("u").alias("lo"), (F.max("u") + 1).alias("hi")))
+        blocks = runs.select(*k, F.explode(_aligned_blocks("lo", "hi", up)).alias("b")).select(*k, "b.up", "b.at")
+        if lvl - up == 0:
+            final.append((blocks, lvl))
+            break
+        done = materialise(blocks, "compaction", measure=False).df
+        final.append((done.where(F.col("up") < up), lvl))
+        opened = done.where(F.col("up") == up).select(*k, F.col("at").alias("u"))
         if opened.isEmpty():
             break
-    out = opened
-    for done in final:
-        out = out.unionByName(done)
-    return out.select(*k, F.col("c").alias(cell_col))
+        lvl, levels = lvl - up, NEXT_LEVELS
+    out = None
+    for blocks, lvl in final:
+        part = blocks.select(*k, C.cell_from_path("at", f"{lvl} - up").alias(cell_col))
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def uncompact(df: DataFrame, res: int, keys, cell_col: str = "cell") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tessera.functions import cells as C
 from tessera.functions import geometry as G
 from tessera.operators import polyfill as P
-from tessera.operators.sizing import materialise
+from tessera.operators.sizing import Materialised, materialise
 
 
 def cell_join(points: DataFrame, point_cell: str, zone_cells: DataFrame, zone_cell: str = "cell",
@@ -38,6 +38,27 @@ def cell_join(points: DataFrame, point_cell: str, zone_cells: DataFrame, zone_ce
     return points.join(z, points[point_cell] == z[zone_cell], how)
 
 
+def ancestor_join(points: DataFrame, point_cell: str, point_res: int, cells: DataFrame, cell_col: str = "cell") -> DataFrame:
+    """Points of one resolution joined to cells of mixed resolutions (a compacted fill): a point meets
+    the cells that hold its own cell, itself included.
+
+    ``cells`` may be a DataFrame or what ``materialise`` returned for it.  A point gets the ids of its ancestors
+    at the levels that occur in ``cells`` (at most 16) as one array, and the exploded ids meet
+    the cells in one equi-join, so a compacted fill is never expanded.  Cells finer than the points
+    meet none; points without a cell meet none."""
+    m = cells if isinstance(cells, Materialised) else materialise(cells, "mixed_cells")
+    found = m.df.select(C.cell_res(F.col(cell_col)).alias("r")).distinct().where(F.col("r") <= point_res)
+    levels = sorted(r["r"] for r in found.collect())
+    own = [F.col(f"`{c}`") for c in points.columns]
+    if not levels:
+        return points.where(F.lit(False)).join(m.for_join(), F.lit(True))
+    # the array is never empty; of a plain explode the optimizer infers a filter on it, pushes that
+    # below the projections of the levels and writes each level into the next
+    keyed = C.with_ancestors(points, point_cell, point_res, levels, "__up").select(*own, F.explode_outer("__up").alias("__key"))
+    z = m.for_join()
+    return keyed.withColumn("__key", C.cell_key("__key")).join(z, F.col("__key") == z[cell_col]).drop("__key")
+
+
 def refined_cell_join(points: DataFrame, lon: str, lat: str, zones: DataFrame, geom_col: str, key: str, res: int,
                       zone_cols: list[str] | None = None, lookup=None) -> DataFrame:
     """Cell join with refinement: points in core cells match at once, those in boundary cells are

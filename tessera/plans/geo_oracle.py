@@ -86,6 +86,11 @@ SELECT count(*) AS num_trips,
        ('$' || CAST(sum(fare_amount) AS VARCHAR)) AS earnings
 FROM picked p JOIN ap_m trg ON p.dropoff_cell = trg.cell
 WHERE p.src_loc <> trg.locationid"""
+    q["airport_trips_compacted"] = q["airport_trips"]
+    q["join_compacted_cells"] = f"""WITH {trips},
+pts AS (SELECT trip_id, {O.cell('pickup_longitude', 'pickup_latitude', RES_TRIPS)} AS pickup_cell FROM trips),
+{_airports_fill()}
+SELECT trip_id, pickup_cell, locationid FROM pts JOIN ap ON pts.pickup_cell = ap.cell"""
     q["trip_totals"] = f"""WITH {trips},
 {_trips_cells_cte(RES_TRIPS)}
 SELECT count(*) AS num_trips, CAST(sum(passenger_count) AS BIGINT) AS num_passengers,

@@ -133,6 +133,31 @@ def q_cells_per_zone_compacted(spark, sf):
     return c.groupBy("locationid").agg(F.count(F.lit(1)).alias("num_cells")).orderBy("locationid")
 
 
+def compacted_airports(spark: SparkSession, sf: str):
+    """airports_h3_c: the airports' fill as cells of mixed resolutions, written and measured."""
+    return materialise(P.compact(airports_cells(spark, sf), RES_TRIPS, "locationid"), "airports_h3_c")
+
+
+@register("join_compacted_cells", oracle="S")
+def q_join_compacted_cells(spark, sf):
+    """Pickups joined to the compacted airport cells: the rows of the join to the whole fill."""
+    t = FX.trips_fx(spark, sf)
+    pts = t.select("trip_id", C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"), RES_TRIPS).alias("pickup_cell"))
+    j = J.ancestor_join(pts, "pickup_cell", RES_TRIPS, compacted_airports(spark, sf))
+    return j.select("trip_id", "pickup_cell", "locationid")
+
+
+@register("airport_trips_compacted", oracle="S")
+def q_airport_trips_compacted(spark, sf):
+    """airport_trips over the compacted cells: ancestors of both trip ends, nothing expanded."""
+    ap = compacted_airports(spark, sf)
+    t = trips_cells(spark, sf, RES_TRIPS)
+    src = J.ancestor_join(t, "pickup_cell", RES_TRIPS, ap).withColumnRenamed("locationid", "src_location").drop("cell")
+    j = J.ancestor_join(src, "dropoff_cell", RES_TRIPS, ap).where(F.col("src_location") != F.col("locationid"))
+    return j.agg(F.count(F.lit(1)).alias("num_trips"), F.sum("passenger_count").cast("long").alias("num_passengers"),
+                 F.concat(F.lit("$"), F.sum("fare_amount").cast("string")).alias("earnings"))
+
+
 @register("cell_uncompact", oracle="S")
 def q_cell_uncompact(spark, sf):
     """uncompact(compact(fill)) must give the fill back."""

@@ -1,5 +1,7 @@
 import math
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from tessera.functions import cells as C
@@ -97,3 +99,52 @@ def test_compact_uncompact_identity_on_fill(spark):
 
 def test_spacing_and_projection_constants():
     assert abs(C.KX - 6371.007 * math.cos(math.radians(40)) * math.pi / 180) < 1e-9
+
+
+@pytest.mark.parametrize("res", [0, 1, 4, 11, 12, 15])
+def test_path_numbers_follow_the_hierarchy(spark, tmp_path, res):
+    pts = spark.range(400).select((F.rand(1) * 340 - 170).alias("x"), (F.rand(2) * 160 - 80).alias("y"))
+    pts.select(C.cell_from_lonlat("x", "y", res).alias("c")).write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    C.with_path(cells, "c", res, "u").write.parquet(str(tmp_path / "paths"))
+    rows = spark.read.parquet(str(tmp_path / "paths")).select("c", "u", C.cell_from_path("u", str(res)).alias("back")).collect()
+    assert all(r["c"] == r["back"] for r in rows)
+    if res:
+        up = C.with_path(cells.select(C.cell_parent("c", res, res - 1).alias("p")), "p", res - 1, "u").collect()
+        assert {r["u"] // 7 for r in rows} == {r["u"] for r in up}
+
+
+def test_ancestors_equal_parents(spark, tmp_path):
+    pts = spark.range(200).select((F.rand(1) * 340 - 170).alias("x"), (F.rand(2) * 160 - 80).alias("y"))
+    pts.select(C.cell_from_lonlat("x", "y", 9).alias("c")).write.parquet(str(tmp_path / "cells"))
+    cells = spark.read.parquet(str(tmp_path / "cells"))
+    levels = [0, 3, 6, 8, 9]
+    for r in C.with_ancestors(cells, "c", 9, levels, "up").select("up", F.array(*[C.cell_parent("c", 9, lvl) for lvl in levels]).alias("want")).collect():
+        assert r["up"] == r["want"]
+
+
+@pytest.mark.parametrize("res", [3, 5, 6])
+def test_compaction_equals_brute_force(spark, res):
+    import random
+    rng = random.Random(res)
+    roots = [r["c"] for r in spark.range(3).select(C.cell_from_lonlat(F.col("id") * 40.0 - 60, F.lit(20.0), 1).alias("c")).collect()]
+    cells = spark.createDataFrame([(c,) for c in roots], "cell long").withColumn("k", F.lit(1))
+    full = [r["cell"] for r in P.uncompact(cells, res, "k").collect()]
+    gone = set(rng.sample(full, 4 if res > 3 else 2))
+    kept = {(k, c) for k in ("a", "b") for c in full if c not in gone or k == "b"} | {("c", c) for c in full[::5]}
+    df = spark.createDataFrame([(k, c) for k, c in kept for _ in range(2 if c % 11 == 0 else 1)], "k string, cell long")
+    parents = {r["cell"]: r["p"] for lvl in range(1, res + 1) for r in P.uncompact(cells, lvl, "k").select("cell", C.cell_parent("cell", lvl, lvl - 1).alias("p")).collect()}
+    want, lvl = set(kept), res
+    while lvl > 1:
+        groups = {}
+        for k, c in want:
+            if c >> 58 == lvl:
+                groups.setdefault((k, parents[c]), set()).add(c)
+        for (k, p), kids in groups.items():
+            if len(kids) == 7:
+                want -= {(k, c) for c in kids}
+                want.add((k, p))
+        lvl -= 1
+    got = [(r["k"], r["cell"]) for r in P.compact(df, res, "k").collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    assert {("b", c) for c in roots} <= want

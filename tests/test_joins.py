@@ -200,3 +200,30 @@ def test_uncompact_refuses_cells_finer_than_its_target(spark):
         "k", C.cell_from_lonlat("x", "y", 9).alias("cell"))
     with pytest.raises(Exception, match="finer than 7"):
         P.uncompact(df, 7, "k").collect()
+
+
+def test_points_meet_compacted_cells_as_the_whole_fill(spark, tmp_path):
+    whole = Q.airports_cells(spark, SF_SMALL)
+    pts = Q.trips_cells(spark, SF_SMALL, 12).select("pickup_cell").where("pickup_cell is not null")
+    want = sorted((r["pickup_cell"], r["locationid"]) for r in pts.join(whole, F.col("pickup_cell") == F.col("cell")).collect())
+    df = Q.q_join_compacted_cells(spark, SF_SMALL)
+    assert sorted((r["pickup_cell"], r["locationid"]) for r in df.collect()) == want and want
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    # two scans: the trips and the compacted cells; nothing expands these
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 2 and plan.count("Generate") == 1
+
+
+def test_ancestor_join_without_cells_or_with_finer_ones(spark):
+    pts = spark.createDataFrame([(1, None), (2, 5 << 58)], "id int, c long")
+    none = spark.createDataFrame([], "cell long, zone string")
+    out = J.ancestor_join(pts, "c", 5, none)
+    assert out.columns == ["id", "c", "cell", "zone"] and out.count() == 0
+    finer = spark.createDataFrame([(9 << 58, "a")], "cell long, zone string")
+    assert J.ancestor_join(pts, "c", 5, finer).count() == 0
+    own = C.cell_from_lonlat(F.lit(1.0), F.lit(2.0), 5)
+    pts = spark.range(1).select(own.alias("c")).unionByName(spark.createDataFrame([(None,)], "c long"))
+    zones = spark.range(1).select(C.cell_from_lonlat(F.lit(1.0), F.lit(2.0), 5).alias("cell")).unionByName(
+        pts.where("c is not null").select(C.cell_parent("c", 5, 2).alias("cell")))
+    assert J.ancestor_join(pts, "c", 5, zones).count() == 2
