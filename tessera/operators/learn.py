@@ -5,25 +5,30 @@
   without a single-partition window: the range-partitioned, sorted rows are written
   once with their partition and index inside it; the counts of these files give the
   offset of each partition;
-* ``train_epoch`` is data-parallel training in barrier mode: one task per shard, rows
+* ``train_softmax`` is data-parallel training by gradient sums: every partition adds up its
+  rows, Spark adds the partitions, and the driver holds the weights only;
+* ``train_epoch`` is minibatch training in barrier mode: one task per shard, rows
   streamed in batches, gradients summed with ``BarrierTaskContext.allGather`` every
   step, as many steps as the largest shard needs on every task;
 * scoring applies the (small) weight matrix as literal columns, so prediction
-  runs as JVM expressions on the executors.
+  runs as JVM expressions on the executors; ``SoftmaxModel`` is the stage that is saved and loaded.
 """
 
 from __future__ import annotations
 
 import base64
-import json
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+from pyspark.ml import Model
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.operators.sizing import materialise
-from tessera.session import scratch_dir
+from tessera.session import scratch_dir, ship_package
 
 
 # ---- array columns -----------------------------------------------------------
@@ -116,7 +121,7 @@ def logits_column(features, weights: np.ndarray, bias: np.ndarray) -> Column:
     d, k = weights.shape
     outs = []
     for j in range(k):
-        wj = F.array(*[F.lit(float(w)) for w in weights[:, j]])
+        wj = F.expr("array(" + ", ".join(f"{float(w)!r}D" for w in weights[:, j]) + ")")
         dot = F.aggregate(F.zip_with(x, wj, lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
         outs.append(dot + F.lit(float(bias[j])))
     return F.array(*outs)
@@ -241,17 +246,122 @@ def train_softmax_data_parallel(df: DataFrame, features: str, label: str, num_cl
     return w, b
 
 
-def save_checkpoint(spark, path: str, epoch: int, w: np.ndarray, b: np.ndarray) -> None:
-    """Write the weights of one epoch as a small parquet table under ``path/epoch=n``."""
-    rows = [(epoch, json.dumps(w.tolist()), json.dumps(b.tolist()))]
-    spark.createDataFrame(rows, "epoch int, w string, b string").write.mode("overwrite") \
-        .parquet(f"{path}/epoch={epoch}")
+# ---- data-parallel training by gradient sums ---------------------------------------
 
+def gradient_sums(rows: DataFrame, w: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Summed gradients of all rows (x array<double>, y int) and their number.
 
-def load_latest_checkpoint(spark, path: str) -> tuple[int, np.ndarray, np.ndarray]:
-    """Weights of the highest epoch found under ``path``."""
-    r = spark.read.parquet(path).orderBy(F.col("epoch").desc()).first()
-    return r["epoch"], np.asarray(json.loads(r["w"])), np.asarray(json.loads(r["b"]))
+    Every task adds up its partition batch by batch and returns one row; Spark adds those
+    entry by entry, so only one number for each weight comes to the driver, whatever the input."""
+    dim, classes = w.shape
+    ship_package(rows.sparkSession)
+
+    def run(batches):
+        gw, gb, n = np.zeros_like(w), np.zeros_like(b), 0
+        for t in batches:
+            if t.num_rows:
+                x = t.column("x").flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, dim)
+                more = softmax_gradient(w, b, x, t.column("y").to_numpy())
+                gw, gb, n = gw + more[0], gb + more[1], n + t.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([np.concatenate([gw.ravel(), gb, [float(n)]])], pa.list_(pa.float64()))], names=["sums"])
+
+    parts = rows.select("x", "y").mapInArrow(run, "sums array<double>")
+    total = np.zeros(dim * classes + classes + 1)
+    for r in parts.select(F.posexplode("sums").alias("at", "v")).groupBy("at").agg(F.sum("v").alias("v")).collect():
+        total[r["at"]] = r["v"]
+    return total[:dim * classes].reshape(dim, classes), total[dim * classes:-1], int(total[-1])
+
+
+def train_softmax(df: DataFrame, features: str, label: str, num_classes: int, epochs: int = 2, learning_rate: float = 0.1,
+                  seed: int = 0, after_epoch=None) -> tuple[np.ndarray, np.ndarray]:
+    """Softmax regression by full-batch gradient steps, one for each epoch, over any number of
+    partitions: the weights do not depend on how the rows are spread, but for rounding.  Rows without
+    features or with a label outside 0 ... num_classes - 1 are left out; without rows the first weights stay."""
+    rows = df.select(F.col(features).cast("array<double>").alias("x"), F.col(label).cast("int").alias("y")) \
+        .where(F.col("x").isNotNull() & F.col("y").between(0, num_classes - 1))
+    rows = materialise(rows, "training-rows", measure=False).df          # read once for each epoch
+    dim = rows.agg(F.max(F.size("x"))).first()[0] or 0
+    w, b = first_weights(dim, num_classes, seed)
+    for epoch in range(1, epochs + 1):
+        gw, gb, n = gradient_sums(rows, w, b)
+        if n:
+            w, b = w - learning_rate * gw / n, b - learning_rate * gb / n
+        if after_epoch:
+            after_epoch(epoch, w, b)
+    return w, b
+
+
+# ---- model artefact ---------------------------------------------------------------
+
+class SoftmaxModel(Model, MLWritable, MLReadable):
+    """Scores rows with fixed weights; saved and loaded as a ``pyspark.ml`` stage."""
+
+    featuresCol = Param(Params._dummy(), "featuresCol", "array<double> column that is scored", TypeConverters.toString)
+    probabilityCol = Param(Params._dummy(), "probabilityCol", "array<double> of class probabilities", TypeConverters.toString)
+    predictionCol = Param(Params._dummy(), "predictionCol", "most likely class", TypeConverters.toString)
+
+    def __init__(self, weights: np.ndarray | None = None, bias: np.ndarray | None = None, features: str = "features",
+                 probability: str = "probability", prediction: str = "prediction"):
+        super().__init__()
+        self.weights, self.bias = weights, bias
+        self._set(featuresCol=features, probabilityCol=probability, predictionCol=prediction)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        p = predict_proba(self.getOrDefault("featuresCol"), self.weights, self.bias)
+        name = self.getOrDefault("probabilityCol")
+        return dataset.withColumn(name, p).withColumn(self.getOrDefault("predictionCol"), argmax(name))
+
+    def write(self) -> MLWriter:
+        return _SoftmaxWriter(self)
+
+    @classmethod
+    def read(cls) -> MLReader:
+        return _SoftmaxReader()
+
+
+class _SoftmaxWriter(MLWriter):
+    """Weights as a Parquet table (a row for each class), the metadata after them: a model whose
+    metadata is complete is complete."""
+
+    def __init__(self, model: SoftmaxModel):
+        super().__init__()
+        self.model = model
+
+    def saveImpl(self, path: str) -> None:
+        spark, m = self.sparkSession, self.model
+        rows = [(j, [float(v) for v in m.weights[:, j]], float(m.bias[j])) for j in range(m.weights.shape[1])]
+        spark.createDataFrame(rows, "class int, weights array<double>, bias double").coalesce(1).write.mode("overwrite").parquet(f"{path}/weights")
+        DefaultParamsWriter.saveMetadata(m, path, spark)
+
+
+class _SoftmaxReader(MLReader):
+    def load(self, path: str) -> SoftmaxModel:
+        spark = self.sparkSession
+        meta = DefaultParamsReader.loadMetadata(path, spark)
+        rows = spark.read.parquet(f"{path}/weights").orderBy("class").collect()
+        model = SoftmaxModel(np.array([r["weights"] for r in rows]).T, np.array([r["bias"] for r in rows]))
+        model._resetUid(meta["uid"])
+        DefaultParamsReader.getAndSetParams(model, meta)
+        return model
+
+
+def save_epoch(path: str, epoch: int, model: SoftmaxModel) -> None:
+    model.write().overwrite().save(f"{path}/epoch={epoch}")
+
+
+def load_latest_epoch(spark, path: str) -> tuple[int, SoftmaxModel]:
+    """Epoch and model of the highest epoch under ``path`` that was written to its end."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    done = []
+    for entry in fs.listStatus(where):
+        name = entry.getPath().getName()
+        marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "metadata/_SUCCESS")
+        if name.startswith("epoch=") and name[6:].isdigit() and fs.exists(marker):
+            done.append(int(name[6:]))
+    if not done:
+        raise FileNotFoundError(f"no complete epoch under {path}")
+    return max(done), SoftmaxModel.load(f"{path}/epoch={max(done)}")
 
 
 def new_checkpoint_dir(spark) -> str:

@@ -1,6 +1,6 @@
 """Registered queries of the training notebook re-aimed at the embeddings table:
-shards, reshaping, scaling, one-hot, fixed-prediction evaluation, training in
-barrier mode, checkpoints and batch scoring."""
+shards, reshaping, scaling, one-hot, fixed-prediction evaluation, training by
+gradient sums, saved models and batch scoring."""
 
 from __future__ import annotations
 
@@ -14,7 +14,6 @@ from tessera.sources import fixtures as FX
 
 # ---- fixed values: training parameters of the reference --------------------------
 EPOCHS = 2
-BATCH_SIZE = 128
 LEARNING_RATE = 0.1
 WORKERS = 2
 SCALE_DIVISOR = 255.0
@@ -108,38 +107,42 @@ def _evaluated(test, w, b):
 
 
 def _train(spark, sf, workers, after_epoch=None):
+    """Gradient sums over all partitions; the learning rate grows with the stated workers."""
     train, _ = _train_test(spark, sf)
-    return L.train_softmax_data_parallel(train, "features", "label", NC, workers, epochs=EPOCHS, batch_size=BATCH_SIZE,
-                                         learning_rate=LEARNING_RATE, after_epoch=after_epoch)
+    return L.train_softmax(train, "features", "label", NC, epochs=EPOCHS, learning_rate=LEARNING_RATE * workers, after_epoch=after_epoch)
 
 
-@register("train_classifier", oracle="R")
+def _rounded(df, *more):
+    return df.select(F.round("loss", 6).alias("loss"), F.round("accuracy", 6).alias("accuracy"), *more)
+
+
+@register("train_classifier", oracle="S")
 def q_train_classifier(spark, sf):
-    """One worker; loss and accuracy on the test part after every epoch."""
+    """One worker's learning rate; loss and accuracy on the test part after every epoch."""
     _, test = _train_test(spark, sf)
     seen = []
     _train(spark, sf, 1, lambda epoch, w, b: seen.append(_evaluated(test, w, b).withColumn("epoch", F.lit(epoch))))
     out = seen[0]
     for df in seen[1:]:
         out = out.unionByName(df)
-    return out
+    return _rounded(out, "epoch")
 
 
-@register("train_data_parallel", oracle="R")
+@register("train_data_parallel", oracle="S")
 def q_train_data_parallel(spark, sf):
-    """Barrier-mode training on 2 shards, evaluated on the test part."""
+    """Two workers' learning rate, evaluated on the test part."""
     _, test = _train_test(spark, sf)
-    return _evaluated(test, *_train(spark, sf, WORKERS))
+    return _rounded(_evaluated(test, *_train(spark, sf, WORKERS)))
 
 
-@register("checkpoint_latest", oracle="R")
+@register("checkpoint_latest", oracle="S")
 def q_checkpoint_latest(spark, sf):
-    """One checkpoint per epoch (the shards are made once); reload the latest."""
+    """One saved model per epoch; the latest complete one is loaded and evaluated."""
     path = L.new_checkpoint_dir(spark)
-    _train(spark, sf, WORKERS, lambda epoch, w, b: L.save_checkpoint(spark, path, epoch, w, b))
-    epoch, w, b = L.load_latest_checkpoint(spark, path)
+    _train(spark, sf, WORKERS, lambda epoch, w, b: L.save_epoch(path, epoch, L.SoftmaxModel(w, b)))
+    epoch, model = L.load_latest_epoch(spark, path)
     _, test = _train_test(spark, sf)
-    return _evaluated(test, w, b).withColumn("epoch", F.lit(epoch))
+    return _rounded(L.eval_loss_accuracy(model.transform(test), "probability", "label").withColumn("epoch", F.lit(epoch)), "epoch")
 
 
 def fixed_weights(dim: int = FX.SAMPLE_ROWS * FX.SAMPLE_COLS):
@@ -150,15 +153,47 @@ def fixed_weights(dim: int = FX.SAMPLE_ROWS * FX.SAMPLE_COLS):
 
 @register("batch_predict", oracle="S")
 def q_batch_predict(spark, sf):
-    """model.predict on new rows, then rint of the probabilities (fixed weights)."""
+    """A saved model (fixed weights) loaded and applied to new rows, then rint of the probabilities."""
     _, test = _train_test(spark, sf)
-    pred = test.withColumn("p", L.predict_proba("features", *fixed_weights()))
-    return pred.select("vec_id", L.argmax("p").alias("predicted"), F.round(F.array_max("p"), 6).alias("best"),
+    path = f"{L.new_checkpoint_dir(spark)}/fixed"
+    L.SoftmaxModel(*fixed_weights(), probability="p", prediction="predicted").save(path)
+    pred = L.SoftmaxModel.load(path).transform(test)
+    return pred.select("vec_id", "predicted", F.round(F.array_max("p"), 6).alias("best"),
                        F.aggregate(L.rint_array("p"), F.lit(0.0), lambda a, v: a + v).alias("ones"))
 
 
 # ---- oracle SQL ----------------------------------------------------------------------
 
+def training_ctes(learning_rate: float) -> str:
+    """The gradient steps in SQL: w0 ... w{EPOCHS}(i, j, v) and b0 ... (j, v), and the test part's
+    probabilities t0 ... (vec_id, label, j, p) under them."""
+    dim = FX.SAMPLE_ROWS * FX.SAMPLE_COLS
+    w, b = L.first_weights(dim, NC)
+    cells = ", ".join(f"({i + 1}, {j}, {O.d(float(w[i, j]))})" for i in range(dim) for j in range(NC))
+    out = [f"xs AS MATERIALIZED (SELECT vec_id, part, label, i, CAST(embedding[i] AS DOUBLE) AS x FROM s, (SELECT unnest(range(1, {dim + 1})) AS i))",
+           f"w0 AS MATERIALIZED (SELECT * FROM (VALUES {cells}) AS t(i, j, v))",
+           "b0 AS MATERIALIZED (SELECT * FROM (VALUES " + ", ".join(f"({j}, {O.d(float(b[j]))})" for j in range(NC)) + ") AS t(j, v))"]
+    for e in range(EPOCHS + 1):
+        out.append(f"""z{e} AS (SELECT vec_id, part, label, w.j, sum(x * w.v) + any_value(b.v) AS z
+  FROM xs JOIN w{e} w USING (i) JOIN b{e} b ON b.j = w.j GROUP BY vec_id, part, label, w.j),
+e{e} AS (SELECT *, exp(z - max(z) OVER (PARTITION BY vec_id)) AS ez FROM z{e}),
+p{e} AS MATERIALIZED (SELECT vec_id, part, label, j, ez / sum(ez) OVER (PARTITION BY vec_id) AS p FROM e{e}),
+t{e} AS (SELECT vec_id, label, j, p FROM p{e} WHERE part = 'test')""")
+        if e < EPOCHS:
+            out.append(f"""d{e} AS MATERIALIZED (SELECT vec_id, j, p - CASE WHEN j = label THEN 1.0 ELSE 0.0 END AS d FROM p{e} WHERE part = 'train'),
+n{e} AS (SELECT CAST(count(DISTINCT vec_id) AS DOUBLE) AS n FROM d{e}),
+w{e + 1} AS MATERIALIZED (SELECT w.i, w.j, w.v - {O.d(learning_rate)} * g.g / n.n AS v FROM w{e} w
+  JOIN (SELECT i, j, sum(x * d) AS g FROM xs JOIN d{e} USING (vec_id) GROUP BY i, j) g ON g.i = w.i AND g.j = w.j CROSS JOIN n{e} n),
+b{e + 1} AS MATERIALIZED (SELECT b.j, b.v - {O.d(learning_rate)} * g.g / n.n AS v FROM b{e} b
+  JOIN (SELECT j, sum(d) AS g FROM d{e} GROUP BY j) g ON g.j = b.j CROSS JOIN n{e} n)""")
+    return ",\n".join(out)
+
+
+def _evaluated_sql(epoch: int, extra: str = "") -> str:
+    return f"""SELECT round(avg(-ln(py)), 6) AS loss, round(avg(CASE WHEN top = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy{extra}
+FROM (SELECT vec_id, label, max(p) FILTER (j = label) AS py, arg_max(j, p) AS top FROM t{epoch} GROUP BY vec_id, label) u"""
+
+
 def oracles() -> dict[str, str]:
     q: dict[str, str] = {}
     s = f"""s AS (
@@ -208,5 +243,10 @@ e AS (SELECT vec_id, list_transform(z, lambda v: exp(v - list_max(z))) AS e FROM
 p AS (SELECT vec_id, list_transform(e, lambda v: v / list_sum(e)) AS p FROM e)
 SELECT vec_id, CAST(list_position(p, list_max(p)) - 1 AS INTEGER) AS predicted, round(list_max(p), 6) AS best,
        CAST(list_sum(list_transform(p, lambda v: CASE WHEN v > 0.5 THEN 1.0 ELSE 0.0 END)) AS DOUBLE) AS ones FROM p"""
+    epochs = [_evaluated_sql(e, f", {e} AS epoch") for e in range(1, EPOCHS + 1)]
+    q["train_classifier"] = f"WITH {s},\n{training_ctes(LEARNING_RATE)}\n" + "\nUNION ALL\n".join(epochs)
+    several = f"WITH {s},\n{training_ctes(LEARNING_RATE * WORKERS)}\n"
+    q["train_data_parallel"] = several + _evaluated_sql(EPOCHS)
+    q["checkpoint_latest"] = several + epochs[-1]
     q["head_slice"] = f"WITH {s}\nSELECT vec_id, label FROM s WHERE part = 'test' ORDER BY vec_id LIMIT {HEAD_ROWS}"
     return q

@@ -71,14 +71,14 @@ def test_training_lowers_the_loss_and_checkpoints_reload(spark, samples):
     path, losses = L.new_checkpoint_dir(spark), []
 
     def after(epoch, w, b):
-        L.save_checkpoint(spark, path, epoch, w, b)
+        L.save_epoch(path, epoch, L.SoftmaxModel(w, b))
         pred = df.withColumn("p", L.predict_proba("features", w, b))
         losses.append(L.eval_loss_accuracy(pred, "p", "label").first()["loss"])
 
     w, b = L.train_softmax_data_parallel(df, "features", "label", 3, 2, epochs=3, batch_size=16, after_epoch=after)
     assert losses[0] > losses[1] > losses[2]
-    epoch, w2, b2 = L.load_latest_checkpoint(spark, path)
-    assert epoch == 3 and np.array_equal(w, w2) and np.array_equal(b, b2)
+    epoch, model = L.load_latest_epoch(spark, path)
+    assert epoch == 3 and np.array_equal(w, model.weights) and np.array_equal(b, model.bias)
 
 
 def test_shards_partition_the_rows(spark, samples):
@@ -113,3 +113,52 @@ def test_barrier_training_learns_and_is_deterministic(spark):
     assert (w1 == w2).all() and (b1 == b2).all()
     seen = L.eval_loss_accuracy(train.withColumn("p", L.predict_proba("features", w1, b1)), "p", "label").first()
     assert seen.loss < 2.295         # the labels are drawn at random: only the training rows can be learnt (ln 10 = 2.303)
+
+
+def full_batch(x, y, classes, epochs, lr):
+    w, b = L.first_weights(x.shape[1], classes)
+    for _ in range(epochs):
+        z = x @ w + b
+        p = np.exp(z - z.max(axis=1, keepdims=True))
+        p /= p.sum(axis=1, keepdims=True)
+        p[np.arange(len(y)), y] -= 1
+        w, b = w - lr * x.T @ p / len(y), b - lr * p.mean(axis=0)
+    return w, b
+
+
+@pytest.mark.parametrize("parts", [1, 3, 7])
+def test_gradient_sums_equal_numpy_at_any_number_of_partitions(spark, samples, parts):
+    x, y, df = samples
+    w, b = L.train_softmax(df.repartition(parts), "features", "label", 3, epochs=4, learning_rate=0.5)
+    want = full_batch(x, y, 3, 4, 0.5)
+    assert np.abs(w - want[0]).max() < 1e-9 and np.abs(b - want[1]).max() < 1e-9
+
+
+def test_rows_that_cannot_train_are_left_out(spark):
+    rows = [([1.0, 2.0], 0), ([0.5, -1.0], 1), (None, 1), ([3.0, 3.0], None), ([3.0, 3.0], 9), ([3.0, 3.0], -1)]
+    df = spark.createDataFrame(rows, "features array<double>, label int")
+    w, _ = L.train_softmax(df, "features", "label", 2, epochs=2)
+    assert np.allclose(w, full_batch(np.array([[1.0, 2.0], [0.5, -1.0]]), np.array([0, 1]), 2, 2, 0.1)[0], atol=1e-12)
+    w, b = L.train_softmax(df.limit(0), "features", "label", 2)
+    assert w.shape == (0, 2) and b.shape == (2,)
+
+
+def test_saved_model_predicts_the_same_in_a_new_session(spark, samples, tmp_path):
+    x, y, df = samples
+    model = L.SoftmaxModel(*full_batch(x, y, 3, 5, 0.5), probability="p", prediction="best")
+    model.save(str(tmp_path / "m"))
+    before = {r["vec_id"]: (r["p"], r["best"]) for r in model.transform(df).collect()}
+    other = spark.newSession()
+    loaded = L.SoftmaxModel.read().session(other).load(str(tmp_path / "m"))
+    assert loaded.uid == model.uid and loaded.getOrDefault("probabilityCol") == "p"
+    assert {r["vec_id"]: (r["p"], r["best"]) for r in loaded.transform(df).collect()} == before
+
+
+def test_a_half_written_epoch_is_ignored(spark, tmp_path):
+    path = str(tmp_path / "model")
+    for epoch in (1, 2, 10):
+        L.save_epoch(path, epoch, L.SoftmaxModel(np.full((2, 2), float(epoch)), np.zeros(2)))
+    (tmp_path / "model" / "epoch=11" / "weights").mkdir(parents=True)       # stopped before its end
+    (tmp_path / "model" / "epoch=10" / "metadata" / "_SUCCESS").unlink()
+    epoch, model = L.load_latest_epoch(spark, path)
+    assert epoch == 2 and model.weights[0, 0] == 2.0
