@@ -10,6 +10,7 @@ from tessera.plans import oracle_parts as O
 from tessera.plans.registry import register
 from tessera.session import scratch_dir
 from tessera.sources import fixtures as FX
+from tessera.sources import geojson as GJ
 from tessera.sources import readers as RD
 
 
@@ -53,10 +54,21 @@ def _geojson_dir(spark, sf) -> str:
     return path
 
 
+@register("scan_geojson_split", oracle="S")
+def q_scan_geojson_split(spark, sf):
+    """All zones in one FeatureCollection file, read by byte ranges."""
+    path = scratch_dir(spark, "zones_geojson")
+    RD.write_geojson(_zones(spark, sf).coalesce(1), path, "geom", ["location_id", "borough", "zone"])
+    return _feature_stats(GJ.read_geojson_features(spark, path))
+
+
 @register("geojson_features", oracle="S")
 def q_geojson_features(spark, sf):
     """FeatureCollection files -> one row per feature with properties and WKT."""
-    feats = RD.geojson_features(RD.read_geojson(spark, _geojson_dir(spark, sf)))
+    return _feature_stats(RD.geojson_features(RD.read_geojson(spark, _geojson_dir(spark, sf))))
+
+
+def _feature_stats(feats):
     g = G.st_geom_from_wkt(F.col("geometry"))
     return feats.select(F.col("properties.location_id").try_cast("int").alias("locationid"),
                         F.col("properties.borough").alias("borough"),
@@ -216,6 +228,7 @@ SELECT location_id, {gtype} AS gtype, CASE WHEN location_id % 4 = 0 THEN 2 ELSE
 SELECT z.location_id AS locationid, z.borough, z.zone, v.num_points, v.sum_x, v.sum_y,
        round(a.area * {O.d(1e4)}, 6) AS area_e4
 FROM zones z JOIN vstats v USING (location_id) JOIN areas a USING (location_id)"""
+    q["scan_geojson_split"] = q["geojson_features"]
     q["struct_project"] = f"WITH {zc}\nSELECT location_id AS locationid, borough, zone FROM zones"
     q["explode_array"] = f"""WITH {zc}
 SELECT location_id, 0 AS part_no, CASE WHEN location_id % 3 = 0 THEN 2 ELSE 1 END AS num_rings

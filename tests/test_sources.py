@@ -164,3 +164,53 @@ def test_a_cluster_without_a_shared_folder_is_an_error(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         session.scratch_dir(Session())
+
+
+def _awkward_collections(tmp_path):
+    """Two files: braces, brackets, escaped quotes and backslashes in strings, nested members, members
+    before and after the features, and line breaks."""
+    import json
+    import random
+    rng = random.Random(1)
+    texts = ['a}b', '{"type":"Feature"}', 'q\\"uo\\te', '],[{', '\\\\', 'end\\', '"}', '', 'é日本"}{', '"features":[', 'x' * 300]
+    want = []
+    for name, indent in (("a.json", None), ("b.json", 2)):
+        feats = []
+        for i in range(150):
+            x = rng.randint(0, 50)
+            props = {"location_id": str(i), "borough": rng.choice(texts), "zone": rng.choice(texts)}
+            extra = {"nested": {"deep": [{"a": rng.choice(texts)}, {"b": {}}]}, "list": [[1, {"c": "}"}]]}
+            geom = {"type": "Polygon", "coordinates": [[[x, 0], [x + 1, 0], [x + 1, 1], [x, 0]]]}
+            feats.append({"type": "Feature", "properties": {**props, **extra} if i % 3 else props, "geometry": geom})
+            want.append((name, props["location_id"], props["borough"], props["zone"], x))
+        doc = {"type": "FeatureCollection", "crs": {"properties": {"name": "}{["}}, "bbox": [0, 1], "features": feats, "meta": {"x": [{"y": 1}]}}
+        (tmp_path / name).write_text(json.dumps(doc, indent=indent, ensure_ascii=bool(indent)), encoding="utf-8")
+    return want
+
+
+@pytest.mark.parametrize("size", [700, 5000, 1 << 27])
+def test_geojson_split_into_ranges_reads_the_same_features(spark, tmp_path, size):
+    from tessera.sources import geojson as GJ
+    want = _awkward_collections(tmp_path)
+    former = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 1)
+        pieces = GJ._pieces(spark, str(tmp_path))
+        assert size > 5000 or pieces.select("file", "block").distinct().count() > 10        # one file, many tasks
+        rows = GJ.read_geojson_features(spark, str(tmp_path)).orderBy("file", "at").collect()
+    finally:
+        for k, v in former.items():
+            spark.conf.set(k, v)
+    got = [(r["file"].rsplit("/", 1)[1], r["properties"]["location_id"], r["properties"]["borough"], r["properties"]["zone"],
+            int(float(r["geometry"].split("((")[1].split()[0]))) for r in rows]
+    assert got == want and {r["type"] for r in rows} == {"Feature"}
+
+
+def test_geojson_without_features_or_cut_off(spark, tmp_path):
+    from tessera.sources import geojson as GJ
+    (tmp_path / "empty.json").write_text('{"type":"FeatureCollection","features":[]}\n')
+    (tmp_path / "cut.json").write_text('{"type":"FeatureCollection","features":[{"type":"Feature","properties":{"zone":"z"},"geometry":null},'
+                                       '{"type":"Feature","properties":{"zone":"lost"')
+    rows = GJ.read_geojson_features(spark, str(tmp_path)).collect()
+    assert [r["properties"]["zone"] for r in rows] == ["z"] and rows[0]["geometry"] is None
