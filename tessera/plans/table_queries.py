@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import geometry as G
 from tessera.operators import tables as TB
 from tessera.operators import trips as TR
+from tessera.operators.versioned import VersionedTable
 from tessera.operators.sizing import materialise
 from tessera.plans import oracle_parts as O
 from tessera.plans.registry import register
@@ -199,6 +200,15 @@ def q_compact_table(spark, sf):
     return TB.compact_files(spark, src, scratch_dir(spark, "compacted"), order_by="trip_id")
 
 
+@register("compact_table_versions", oracle="S")
+def q_compact_table_versions(spark, sf):
+    """Many small files rewritten along the Hilbert curve of the pickups as the table's next version."""
+    table = VersionedTable(spark, scratch_dir(spark, "versions"))
+    table.write(FX.trips_fx(spark, sf).select("trip_id", "pickup_longitude", "pickup_latitude", "fare_amount").repartition(16))
+    table.compact("pickup_longitude", "pickup_latitude")
+    return table.read()
+
+
 @register("table_columns", oracle="S")
 def q_table_columns(spark, sf):
     """``df.columns`` of the cleaned green table, as (position, name, non-null values) rows."""
@@ -372,6 +382,7 @@ SELECT c.location_id, c.code, z.zone, z.borough FROM codes c JOIN zones z USING
     q["ctas_if_absent"] = f"WITH {O.trips_cte()},\n{_trips_cells_cte(RES_TRIPS)}\nSELECT * FROM t"
     q["temp_view"] = (f"WITH {O.trips_cte()}\nSELECT vendor_id, count(*) AS num_trips, "
                       f"CAST(sum(passenger_count) AS BIGINT) AS num_passengers FROM trips GROUP BY vendor_id")
+    q["compact_table_versions"] = f"WITH {O.trips_cte()}\nSELECT trip_id, pickup_longitude, pickup_latitude, fare_amount FROM trips"
     q["compact_table"] = f"WITH {O.trips_cte()}\nSELECT trip_id, vendor_id, fare_amount FROM trips"
     bld = f"""buildings AS (
   SELECT p_partkey AS building_id,
