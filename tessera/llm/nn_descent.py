@@ -1,9 +1,8 @@
 """Embedding near-duplicates by NN-descent.
 
 Vectors are compared within their label by cosine in double precision.  Equal vectors are
-one class with a multiplicity.  Labels of at most ``EXACT`` classes are compared in full, block
-against block; so are larger ones whose leaves (step 1) would cost as much.  In the others each
-class keeps a list of its ``K`` nearest known classes:
+one class with a multiplicity and a number of its own.  Each class keeps a list of its ``K`` nearest
+known classes, in labels of every size:
 
 1. the lists start from a random-projection forest: in each tree the signs of a few fixed
    random directions name a leaf, and all classes of a leaf are compared with each other, large
@@ -17,23 +16,27 @@ class keeps a list of its ``K`` nearest known classes:
    links.  The threshold edges found so far name connected components, and the lists are
    enlarged to all links inside the component, counted block against block;
 4. recall is audited: the links of one class in ``AUDIT_SHARE`` of each label, and of at least
-   about ``AUDIT`` classes, are counted by brute force against all vectors of the label.  While the
-   found share, averaged over the linked classes of a label, is below ``MIN_RECALL``, K doubles,
-   other trees are added and the rounds go on; after ``RETRIES`` of them all labels are compared
-   in full.  A label without a link in its sample rests on ``MEET`` alone.
+   about ``AUDIT`` classes (all of a smaller label), are counted by brute force against all vectors
+   of the label.  While the found share, averaged over the linked classes of a label, is below
+   ``MIN_RECALL``, K doubles, other trees are added to what is known and the rounds go on, ``RETRIES``
+   times at most; a recall that is still lower then is told in a warning.  A label without a link in
+   its sample rests on ``MEET`` alone.
 
 Leaves, neighbourhoods and blocks are bounded, and so is what a task holds.  No pair is
-written out in step 3 and by the full comparison, only counts and at most one edge a row and task.
+written out in step 3, only counts and at most one edge a row and task.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components,
 and rows without label or vec_id link with nothing and are their own component (null without
 a vec_id, kept then false); vectors of different lengths do not link; repeated rows are
-vectors of their own; other columns are not read.
+vectors of their own, also several vectors under one vec_id; equal similarities are ordered by class;
+vectors of any length fit, as blocks count rows; an empty table gives an empty result; other columns are
+not read.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 
 import numpy as np
 import pyarrow as pa
@@ -51,9 +54,7 @@ K, TREES, LEAF, ROUNDS, MEET = 8, 4, 48, 3, 0.999
 CONVERGED = 0.01
 #: Classes of a component that a task compares with as many others.
 BLOCK = 512
-#: Classes of a label up to which all its pairs are compared, and of a block then.
-EXACT, EXACT_BLOCK = 1 << 16, 4096
-AUDIT, AUDIT_SHARE, MIN_RECALL, GROW, RETRIES = 10_000, 100, 0.99, 2, 2
+AUDIT, AUDIT_SHARE, AUDIT_BLOCK, MIN_RECALL, GROW, RETRIES = 1000, 100, 4096, 0.99, 2, 5
 
 
 def unit(raw: np.ndarray) -> np.ndarray:
@@ -161,14 +162,6 @@ def forest(classes: DataFrame, k: int, leaves: DataFrame) -> DataFrame:
     return compare(tasks.join(classes.select("id", "vec"), "id").withColumn("worst", F.lit(-2.0)), [*name, "i", "j"], k)
 
 
-def costly(classes: DataFrame, leaves: DataFrame) -> DataFrame:
-    """(label, dim) whose leaves hold as many pairs to compare as the whole label."""
-    pairs = (leaves.groupBy("label", "dim", "tree", "leaf").agg(F.count(F.lit(1)).cast("double").alias("n"))
-             .groupBy("label", "dim").agg(F.sum(F.col("n") * F.col("n")).alias("pairs")))
-    sizes = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).cast("double").alias("n"))
-    return pairs.join(sizes, ["label", "dim"]).where(F.col("pairs") >= F.col("n") * F.col("n")).select("label", "dim")
-
-
 def keep_best(found: DataFrame, k: int) -> DataFrame:
     """(a, list): the k best entries of each class."""
     pairs = found.groupBy("a", "b").agg(F.max("sim").alias("sim"))
@@ -238,13 +231,6 @@ def pair_counts(member: DataFrame, group: list[str], block: int, threshold: floa
     return tasks.mapInArrow(run, "id long, links long, root long")
 
 
-def compared_in_full(classes: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(a, b) edges that connect what is linked, and (id, links), of all pairs of each label."""
-    pairs = materialise(pair_counts(classes, ["label", "dim"], EXACT_BLOCK, threshold), "vector-pairs", measure=False).df
-    return (pairs.where(F.col("id") != F.col("root")).select(F.col("id").alias("a"), F.col("root").alias("b")),
-            pairs.groupBy("id").agg(F.sum("links").alias("links")))
-
-
 def links_inside(classes: DataFrame, components: DataFrame, threshold: float) -> DataFrame:
     """(id, links): rows linked to each class inside its component, block against block."""
     member = classes.join(components.select(F.col("node").alias("id"), "component"), "id")
@@ -258,8 +244,8 @@ def audit(classes: DataFrame, links: DataFrame, threshold: float) -> float:
     share = F.greatest(F.lit(1), F.least(F.lit(AUDIT_SHARE), F.floor(F.col("n") / AUDIT)))
     rows = classes.join(sizes.withColumn("share", share), name)
     some = rows.where(F.pmod(F.xxhash64("id", F.lit("audit")), F.col("share")) == 0)
-    i = F.ceil(F.col("n") / F.col("share") / EXACT_BLOCK).cast("int")      # blocks of the sample and of all
-    j = F.ceil(F.col("n") / EXACT_BLOCK).cast("int")
+    i = F.ceil(F.col("n") / F.col("share") / AUDIT_BLOCK).cast("int")      # blocks of the sample and of all
+    j = F.ceil(F.col("n") / AUDIT_BLOCK).cast("int")
     own = lambda n: F.pmod(F.xxhash64("id", F.lit("block")), n).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
     keys = [*name, "i", "j"]
@@ -291,50 +277,35 @@ def near_duplicates(vectors: DataFrame, threshold: float = THRESHOLD, k: int = K
     """vec_id, n_links, component_id, kept of every vector."""
     ship_package(vectors.sparkSession)
     rows = materialise(packed(vectors, key, vec, label), "vectors", measure=False).df
-    able = rows.where(F.col("vec").isNotNull() & F.col("vec_id").isNotNull())
-    classes = materialise(able.groupBy("label", "dim", "vec").agg(F.min("vec_id").alias("id"), F.count(F.lit(1)).alias("copies"))
-                          .groupBy("label", "dim", "vec").agg(F.min("id").alias("id"), F.sum("copies").alias("copies")),
-                          "vector-classes", measure=False).df
-    # a vec_id that stands for several different vectors names only the first of them
-    one = classes.withColumn("r", F.row_number().over(Window.partitionBy("id").orderBy("label", "dim", "vec")))
-    classes = materialise(one.where(F.col("r") == 1).drop("r"), "vector-classes", measure=False).df
-    large = classes.groupBy("label", "dim").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > EXACT).select("label", "dim")
-    some = large.limit(1).count() > 0
-    rest = materialise(classes.join(large, ["label", "dim"], "left_semi"), "vector-rest", measure=False).df
-    if some:
-        leaves = forest_leaves(rest, threshold)
-        rest = materialise(rest.join(costly(rest, leaves), ["label", "dim"], "left_anti"), "vector-rest", measure=False).df
-    whole = classes.join(rest.select("label", "dim").distinct(), ["label", "dim"], "left_anti")
-    sure, exact_links = compared_in_full(whole, threshold)
+    able = F.col("vec").isNotNull() & F.col("vec_id").isNotNull()
+    classes = rows.where(able).groupBy("label", "dim", "vec").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialise(classes.withColumn("id", F.monotonically_increasing_id()), "vector-classes", measure=False).df
     lists, tried = None, 0
     while True:
-        edges = sure
-        if some:
-            met = forest(rest, k, leaves if not tried else forest_leaves(rest, threshold, seed=5 + tried))
-            if lists is not None:
-                met = met.unionByName(lists.select("a", F.explode("list").alias("e")).select("a", F.col("e.b").alias("b"), F.col("e.sim").alias("sim")))
-            lists = descend(keep_best(met, k), rest, k)
-            near = lists.select("a", F.explode("list").alias("e")).where(F.col("e.sim") >= threshold)
-            edges = sure.unionByName(near.select("a", F.col("e.b").alias("b")))
-        components = materialise(connected_components(edges, "nn"), "nn-components", measure=False).df
-        links = exact_links
-        if some:
-            links = links.unionByName(links_inside(rest, components, threshold))
-        links = materialise(links, "nn-links", measure=False).df
-        if audit(rest, links, threshold) >= MIN_RECALL:
+        met = forest(classes, k, forest_leaves(classes, threshold, seed=5 + tried))
+        if lists is not None:
+            met = met.unionByName(lists.select("a", F.explode("list").alias("e")).select("a", F.col("e.b").alias("b"), F.col("e.sim").alias("sim")))
+        lists = descend(keep_best(met, k), classes, k)
+        near = lists.select("a", F.explode("list").alias("e")).where(F.col("e.sim") >= threshold)
+        components = materialise(connected_components(near.select("a", F.col("e.b").alias("b")), "nn"), "nn-components", measure=False).df
+        links = materialise(links_inside(classes, components, threshold), "nn-links", measure=False).df
+        recall = audit(classes, links, threshold)
+        if recall >= MIN_RECALL:
             break
         if tried == RETRIES:
-            edges, links = compared_in_full(classes, threshold)
-            components = materialise(connected_components(edges, "nn"), "nn-components", measure=False).df
+            warnings.warn(f"near_duplicates: recall {recall:.4f} in the audit after {tried + 1} forests", stacklevel=2)
             break
         k, tried = k * GROW, tried + 1
-    info = (classes.join(components.select(F.col("node").alias("id"), "component"), "id", "left").join(links, "id", "left")
-            .select("label", "dim", "vec", F.col("copies") - 1 + F.coalesce("links", F.lit(0)), F.coalesce("component", "id"))
-            .toDF("label", "dim", "vec", "n_links", "component"))
-    out = rows.withColumn("vec", F.when(F.col("vec_id").isNotNull(), F.col("vec"))).join(info, ["label", "dim", "vec"], "left")
-    component = F.when(F.col("vec_id").isNotNull(), F.coalesce("component", "vec_id"))
-    return (out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"))
-            .select("vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")))
+    member = components.select(F.col("node").alias("id"), "component").join(classes.select("id", "rep"), "id")
+    first = member.groupBy("component").agg(F.min("rep").alias("first"))
+    named = member.join(first, "component").select("id", "first")
+    info = (classes.join(named, "id", "left").join(links, "id", "left")
+            .select("label", "dim", "vec", (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"),
+                    F.coalesce("first", "rep").alias("component_id")))
+    linked = rows.where(able).join(info, ["label", "dim", "vec"]).select("vec_id", "n_links", "component_id")
+    alone = rows.where(~able).select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
+    return linked.unionByName(alone).select("vec_id", "n_links", "component_id",
+                                            F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
 
 
 def embedding_query(spark: SparkSession, sf_dir: str) -> DataFrame:
