@@ -14,7 +14,9 @@ Spans are code points, end exclusive, of the whole match (base) or of the litera
 its quotes.  All scans take time in proportion to the text.
 
 Defined results: a null text is empty; an empty text has no spans (``base_sha256`` is
-the hash of the empty string); repeated rows each give a row; other columns are not read.
+the hash of the empty string); very long texts are scanned whole, in time proportional to their
+length; spans that tie in their start come in the order of the kinds; repeated rows each give a
+row; an empty table gives an empty result; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -58,6 +60,7 @@ PLACEHOLDER = re.compile(r"^(?:x+|\*+|\.+|-+|changeme|change_me|example|sample|d
 _SIGN = re.compile(r"[:=]")
 _NAME_BEFORE = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 _VALUE = re.compile(r"""(?P<q>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`[^`\n]*`)|(?P<w>[^\s"'`,;(){}\[\]<>|+]+)""")
+_NESTED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*[:=]+[^:=]")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.(?=[ \t]*[\"'`]))[ \t]*")
 _PART = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 _IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(?:\.[A-Za-z_][A-Za-z0-9_]*)*\Z", re.ASCII)
@@ -125,8 +128,8 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]
             while p < len(text) and text[p] in " \t":
                 p += 1
             v = _VALUE.match(text, p)
-            if not v:
-                break
+            if not v or operands and v.group("w") and _NESTED.match(v.group("w")):
+                break                                 # what follows is an assignment of its own
             if v.group("q"):
                 operands.append((v.group("q")[1:-1], v.start() + 1, v.end() - 1, True))
             else:
@@ -138,7 +141,7 @@ def assignments(text: str) -> list[tuple[str, list[tuple[str, int, int, bool]]]]
             p = more.end()
         if operands:
             out.append((name, operands))
-            done = max(done, min(o[2] for o in operands) if not operands[0][3] else operands[-1][2])
+            done = operands[-1][2]                    # no part of an expression is read twice
     return out
 
 

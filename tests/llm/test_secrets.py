@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 import pytest
 
@@ -57,6 +58,26 @@ def test_constants_are_propagated_along_chains_and_joins():
     assert lit('a = "Xk29fLq7Zt"\na = "plainvalue1"\ndb_pwd = a') == ["plainvalue1"]
 
 
+def test_time_is_linear_for_units_of_syntax_characters():
+    """Units of two and three signs, repeated: a quadratic scan takes minutes at this length."""
+    signs = ["a", "b1", "=", ":", "+", "'", '"', "`", " ", "\\", ".", "\n", "/", "(", "-", "token"]
+    units = [x + y for x in signs for y in signs] + [f"a{x}b{y}" for x in signs for y in signs]
+    units += [f"a={x}{y}" for x in signs for y in signs] + ["a=b+", "a=b+c:d+", "a:b.'c'+", 'a="b"+c=']
+    for unit in units:
+        start = time.time()
+        S.scan(unit * (20_000 // len(unit)))
+        assert time.time() - start < 2, unit
+    for unit in ("a=b+", "a=", "token:", 'a="', "a+'b'=", "a :=b . 'c' + "):
+        start = time.time()
+        S.scan(unit * (1_000_000 // len(unit)))
+        assert time.time() - start < 20, unit
+
+
+def test_assignments_behind_a_join_are_read_on_their_own():
+    assert lit("x=y+db_pwd=Xk29fLq7Zt") == ["Xk29fLq7Zt"]
+    assert lit("db_pwd=Xk29fLq7Zt+Yz77pPq1Rr==") == ["Xk29fLq7Zt", "Yz77pPq1Rr=="]
+
+
 @pytest.mark.parametrize("text", ['="' * 50_000, "a=" * 50_000, "token" * 20_000, 'pwd="' * 20_000, "a+" * 50_000])
 def test_long_repeats_take_linear_time(text):
     S.scan(text)
