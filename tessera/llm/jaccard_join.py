@@ -326,9 +326,28 @@ def jaccard_query(docs: DataFrame) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """Pipeline stage (five words, similarity 0.8): of every group of linked documents the
-    one with the smallest doc_id stays; a row without doc_id stays."""
-    found = jaccard_components(docs, gram=5, percent=80)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return kept.select(*docs.columns)
+    """Pipeline stage (five words, similarity 0.8): of every group of linked rows one stays, the
+    one with the smallest doc_id.  Rows are told apart by doc_id and text, so two texts under one doc_id
+    are judged each by itself, and of rows equal in both one stays.  Rows without doc_id and texts without
+    words stay; an empty table stays empty; all columns are kept, whatever their names."""
+    row = F.when(F.col("doc_id").isNotNull(), F.xxhash64(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    named = docs.select(row.alias("__row"), F.col("doc_id").cast("long").alias("__id"), F.col("text"))
+    found = materialise(jaccard_components(named.select(F.col("__row").alias("doc_id"), "text"), gram=5, percent=80), "near-rows", measure=False).df
+    linked = (found.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
+              .select(F.col("doc_id").alias("__row"), F.col("component_id").alias("__group")))
+    times = linked.groupBy("__row").agg(F.first("__group").alias("__group"), F.count(F.lit(1)).alias("__n"))
+    ids = named.where(F.col("__row").isNotNull()).select("__row", "__id").distinct()
+    # only rows that are not alone take part: a group of several, or one row several times
+    size = times.groupBy("__group").agg(F.sum("__n").alias("__m"))
+    several = materialise(times.join(size.where(F.col("__m") > 1).select("__group"), "__group").join(ids, "__row"), "near-several", measure=False).df
+    stays = several.groupBy("__group").agg(F.min(F.struct("__id", "__row")).alias("s")).select(F.col("s.__row").alias("__row"))
+    gone = materialise(several.join(stays, "__row", "left_anti").select(F.col("__row").alias("__gone")).distinct(), "near-gone")
+    again = materialise(several.join(stays, "__row").where(F.col("__n") > 1).select(F.col("__row").alias("__again")).distinct(), "near-again")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    # both are broadcast below the measured limit only
+    kept = docs.withColumn("__row", row).join(gone.for_join(), F.col("__row") == F.col("__gone"), "left_anti")
+    if not again.rows:
+        return kept.select(*own)
+    once = kept.join(again.for_join(), F.col("__row") == F.col("__again"), "left_semi").dropDuplicates(["__row"])
+    return (kept.join(again.for_join(), F.col("__row") == F.col("__again"), "left_anti").select(*own)
+            .unionByName(once.select(*own)))

@@ -119,4 +119,13 @@ def test_awkward_rows(spark, awkward, no_documents):
     assert J.jaccard_components(no_documents).count() == 0
     kept = J.keep_one_of_each(awkward)
     assert kept.columns == awkward.columns
-    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 7, 9]
+    assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 3, 4, 5, 6, 7, 9]
+    assert J.keep_one_of_each(no_documents).count() == 0
+
+
+def test_the_stage_judges_rows_not_numbers(spark):
+    a, b, c = (" ".join(f"{w}{i}" for i in range(30)) for w in "abc")
+    rows = [(1, a), (2, b), (2, a), (3, b + " more"), (4, c), (4, c), (5, c), (None, a), (6, ""), (6, "")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["text"]) for r in J.keep_one_of_each(df).collect())
+    assert got == [(0, a), (1, a), (2, b), (4, c), (6, ""), (6, "")]
