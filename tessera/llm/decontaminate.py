@@ -13,9 +13,17 @@ The benchmark is the stated query set: it is split by hash into blocks of about
 ``BLOCK_BYTES`` of text, each block is broadcast once and joined with all texts in one
 narrow pass, without any shuffle of the texts.
 
-Defined results: null or empty texts and items match nothing; items with fewer than
-``SHORTEST`` words (the span of the contiguous mask) are never matched; repeated items
-are each reported; repeated rows are each reported; other columns are not read.
+Items shorter than the masks are hashed whole: those of 1 to 6 words as they stand (only a verbatim
+occurrence counts), those of 7 to 9 words also with each single word left out.
+
+Hits are taken in slices of at most ``HITS`` from the end of the texts on, and the runs of a slice are
+verified ``CELLS`` words at a time, so memory does not depend on how often a word is repeated.  Where a
+text holds an item whole, what lies before that place is not verified again.
+
+Defined results: null or empty texts and items match nothing; very long texts are searched whole; of runs
+that tie the last one in the text is reported; repeated items are each reported; repeated rows are each
+reported; empty tables give an empty result, and an empty benchmark drops nothing; other columns are
+kept by the stage and not read.
 """
 
 from __future__ import annotations
@@ -34,7 +42,10 @@ from tessera.session import ship_package
 #: The masks (1: the word counts, 0: it is ignored).
 MASKS = ("1111111", "1110110101", "11001010111", "1101100111")
 MIN_MATCH, MIN_SHARE, MIN_IDENTITY = 13, 0.8, 0.75
-SHORTEST = 7
+#: Items of fewer words match verbatim only; below the second number each word may be left out.
+SHORTEST, SHORT = 7, 10
+#: Hits held at once, and words compared at once.
+HITS, CELLS = 1 << 19, 1 << 20
 #: Text of the benchmark that one block holds, in bytes (about 7 times that in memory).
 BLOCK_BYTES = 8 << 20
 _TABLE_BITS = 20
@@ -44,13 +55,19 @@ def seeds(h: np.ndarray, end: np.ndarray, mask: str) -> tuple[np.ndarray, np.nda
     """(positions, hashes) of a mask over word hashes; ``end`` is the first word behind the
     text of each word."""
     at = np.flatnonzero(np.arange(len(h)) + len(mask) <= end)
-    acc = np.full(len(at), len(mask), dtype=np.uint64)
+    acc = np.full(len(at), int(mask, 2), dtype=np.uint64)      # each mask has hashes of its own
     for j, on in enumerate(mask):
         if on == "1":
             acc = acc * np.uint64(0x9E3779B97F4A7C15) + h[at + j]
     return at, mix(acc)
 
 
+def whole_masks(words: int) -> list[str]:
+    """Masks that span a whole item of so few words."""
+    full = "1" * words
+    return [full] if words < SHORTEST else [full[:j] + "0" + full[j + 1:] for j in range(words)]
+
+
 class Index:
     """Seeds of one block of items, sorted by hash."""
 
@@ -58,13 +75,27 @@ class Index:
         _, _, _, self.h, first = words_of([t for _, t in items], WORDLIKE)
         self.ids = [i for i, _ in items]
         self.first = first
-        item = np.repeat(np.arange(len(items)), np.diff(first))
-        pos, key = zip(*[seeds(self.h, first[1:][item], m) for m in MASKS], strict=True)
-        pos, key = np.concatenate(pos), np.concatenate(key)
+        length = np.diff(first)
+        item = np.repeat(np.arange(len(items)), length)
+        found = [(m, *seeds(self.h, first[1:][item], m)) for m in MASKS]
+        for n in range(1, SHORT):
+            if (length == n).any():
+                own = length[item] == n
+                for m in whole_masks(n):
+                    at, key = seeds(self.h, np.where(own, first[1:][item], 0), m)
+                    found.append((m, at, key))
+        self.masks = [m for m, at, _ in found if len(at)]
+        pos, key = (np.concatenate([f[k] for f in found]) for k in (1, 2))
         order = np.lexsort((pos, key))
-        self.pos, self.item = pos[order], item[pos[order]]
-        self.key, self.start = np.unique(key[order], return_index=True)
+        key, self.pos = key[order], pos[order]
+        self.item = item[self.pos]
+        self.key, self.start = np.unique(key, return_index=True)
         self.start = np.append(self.start, len(pos))
+        # positions that do not follow one of the same hash in their item
+        follows = np.zeros(len(pos), dtype=bool)
+        follows[1:] = (key[1:] == key[:-1]) & (self.pos[1:] == self.pos[:-1] + 1) & (self.item[1:] == self.item[:-1])
+        self.head = np.flatnonzero(~follows)
+        self.head_start = np.searchsorted(self.head, self.start)
         self.table = np.zeros(1 << _TABLE_BITS, dtype=bool)
         self.table[(self.key >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)] = True
 
@@ -75,38 +106,77 @@ class Index:
             return []
         _, _, _, h, first = words_of(texts, WORDLIKE)
         text = np.repeat(np.arange(len(texts)), np.diff(first))
-        end = first[1:][text]
+        best: dict[tuple[int, int], tuple] = {}
         found = []
-        for m in MASKS:
-            at, key = seeds(h, end, m)
+        for m in self.masks:
+            at, key = seeds(h, first[1:][text], m)
+            # the second of two equal hashes in a row meets only the first ones of the item: the
+            # other pairs lie on the diagonals of the hash before
+            again = np.zeros(len(at), dtype=bool)
+            again[1:] = (key[1:] == key[:-1]) & (at[1:] == at[:-1] + 1) & (text[at[1:]] == text[at[:-1]])
             on = self.table[(key >> np.uint64(64 - _TABLE_BITS)).astype(np.int64)]
-            at, key = at[on], key[on]
+            at, key, again = at[on], key[on], again[on]
             i = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
             on = self.key[i] == key
-            at, i = at[on], i[on]
-            count = self.start[i + 1] - self.start[i]
-            src = np.repeat(self.start[i] - (np.cumsum(count) - count), count) + np.arange(count.sum())
-            at, item = np.repeat(at, count), self.item[src]
-            found.append(np.stack([text[at], item, at - (self.pos[src] - self.first[item])], axis=1))
-        best: dict[tuple[int, int], tuple] = {}
-        for t, item, begin in np.unique(np.concatenate(found), axis=0).tolist():
-            run = self._run(h, int(first[t]), int(first[t + 1]), item, begin)
-            if run and run > best.get((t, item), (0,)):
-                best[t, item] = run
+            found.append((at[on], i[on], again[on]))
+        at, i, again = (np.concatenate([f[k] for f in found]) for k in range(3))
+        order = np.argsort(-at, kind="stable")          # from the end on
+        at, i, again = at[order], i[order], again[order]
+        lo, hi = (np.where(again, self.head_start[i + e], self.start[i + e]) for e in (0, 1))
+        total = np.concatenate([[0], np.cumsum(hi - lo)])
+        for s in range(0, int(total[-1]), HITS):
+            hit = np.arange(s, min(s + HITS, int(total[-1])))
+            k = np.searchsorted(total, hit, side="right") - 1
+            src = lo[k] + hit - total[k]
+            few = again[k]
+            src[few] = self.head[src[few]]
+            self._verify(h, text, first, at[k], src, best)
         return [(t, item, eq, n, at - int(first[t])) for (t, item), (eq, n, at) in sorted(best.items())]
 
-    def _run(self, h, lo, hi, item, begin):
-        """Best run on the diagonal on which the item's first word lies at ``begin``."""
-        a, b = int(self.first[item]), int(self.first[item + 1])
-        s, e = max(begin, lo), min(begin + b - a, hi)
-        equal = h[s:e] == self.h[a + s - begin:a + e - begin]
-        total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-        gain = total - np.minimum.accumulate(total)
-        stop = int(np.argmax(gain))
-        start = int(np.argmin(total[:stop + 1]))
-        same, n = int(equal[start:stop].sum()), stop - start
-        least = min(MIN_MATCH, int(np.ceil(MIN_SHARE * (b - a))))
-        return (same, n, s + start) if n and same >= least and same >= MIN_IDENTITY * n else None
+    def _verify(self, h, text, first, at, src, best) -> None:
+        """Keep the best run of each text and item on the diagonals of some hits."""
+        item = self.item[src]
+        begin = at - (self.pos[src] - self.first[item])
+        # (item, text, last diagonal first) as one number
+        reach, count = len(h) + len(self.h), len(first)
+        code = np.unique((item * count + text[at]) * (2 * reach) + reach - begin)
+        code, back = np.divmod(code, 2 * reach)
+        of, t = np.divmod(code, count)
+        diagonals = np.stack([t, reach - back], axis=1)
+        cuts = np.flatnonzero(np.diff(of)) + 1
+        for one, rows in zip(of[np.concatenate([[0], cuts])].tolist(), np.split(diagonals, cuts), strict=True):
+            a, b = int(self.first[one]), int(self.first[one + 1])
+            step = max(1, CELLS // (b - a))
+            for s in range(0, len(rows), step):
+                part = rows[s:s + step]
+                whole = {x: best[x, one][2] for x in np.unique(part[:, 0]).tolist() if best.get((x, one), (0,))[0] == b - a}
+                for x, place in whole.items():       # nothing before a whole occurrence is better
+                    part = part[(part[:, 0] != x) | (part[:, 1] > place)]
+                if len(part):
+                    self._runs(h, first, one, a, b, part, best)
+
+    def _runs(self, h, first, item, a, b, part, best) -> None:
+        """Best run of each diagonal on which the item's first word lies at ``part``'s second column."""
+        t, begin = part[:, 0], part[:, 1]
+        at = begin[:, None] + np.arange(b - a)
+        inside = (at >= first[t][:, None]) & (at < first[t + 1][:, None])
+        equal = inside & (h[np.clip(at, 0, len(h) - 1)] == self.h[None, a:b])
+        step = np.where(inside, np.where(equal, 1, -2), 0)
+        total = np.concatenate([np.zeros((len(part), 1), np.int64), np.cumsum(step, axis=1)], axis=1)
+        stop = (total - np.minimum.accumulate(total, axis=1)).argmax(axis=1)
+        # the run starts at the first lowest point before its end
+        low = np.where(np.arange(b - a + 1)[None, :] <= stop[:, None], total, np.iinfo(np.int64).max).argmin(axis=1)
+        low = np.maximum(low, np.maximum(0, first[t] - begin))
+        sums = np.concatenate([np.zeros((len(part), 1), np.int64), np.cumsum(equal, axis=1)], axis=1)
+        row = np.arange(len(part))
+        same, n = sums[row, stop] - sums[row, low], stop - low
+        least = min(MIN_MATCH, int(np.ceil(MIN_SHARE * (b - a)))) if b - a >= SHORTEST else b - a
+        ok = np.flatnonzero((n > 0) & (same >= least) & (same >= MIN_IDENTITY * n))
+        ok = ok[np.lexsort((begin[ok] + low[ok], n[ok], same[ok], t[ok]))]
+        for r in ok[np.append(np.diff(t[ok]) != 0, True)[:len(ok)]].tolist():      # the best of each text
+            run = (int(same[r]), int(n[r]), int(begin[r] + low[r]))
+            if run > best.get((int(t[r]), item), (0,)):
+                best[int(t[r]), item] = run
 
 
 def blocks(items: DataFrame) -> list[DataFrame]:
@@ -173,7 +243,11 @@ def _clean(index):
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Pipeline stage: documents that hold a benchmark item go; no text is shuffled."""
-    for block in blocks(items):
-        clean = _clean(_index(docs.sparkSession, block))
-        docs = docs.where(clean(F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+    todo = blocks(items)
+    for block in todo:
+        index = _index(docs.sparkSession, block)
+        docs = docs.where(_clean(index)(F.lower(F.coalesce(F.col("text").cast("string"), F.lit("")))))
+        if len(todo) > 1:                  # one block in memory at a time
+            docs = materialise(docs, "decontaminated", measure=False).df
+            index.unpersist()
     return docs
