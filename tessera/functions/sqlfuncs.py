@@ -3,8 +3,7 @@
 Registered as Spark SQL functions (``CREATE TEMPORARY FUNCTION ... RETURN expr``):
 their bodies are built-in expressions, so a call inlines into the caller's plan,
 constant-folds, and runs in whole-stage codegen like the DataFrame API.
-Table-producing operators (polyfill, compaction, joins) stay DataFrame
-operators; they shuffle and cannot be scalar functions.
+Fills and compaction are table functions (``sqltables``); joins stay DataFrame operators.
 """
 
 from __future__ import annotations
@@ -13,6 +12,7 @@ from pyspark.sql import SparkSession
 
 from tessera.functions import cells as C
 from tessera.functions import geometry as G
+from tessera.functions.sqltables import table_functions
 
 GEOM_SQL_TYPE = "STRUCT<gtype: STRING, polys: ARRAY<ARRAY<ARRAY<ARRAY<DOUBLE>>>>>"
 
@@ -201,7 +201,7 @@ def sql_functions() -> dict[str, tuple[str, str, str]]:
 def register_sql_functions(spark: SparkSession) -> list[str]:
     """Create (or replace) every SQL function for this session; returns the names."""
     names = []
-    for name, (params, rtype, body) in sql_functions().items():
+    for name, (params, rtype, body) in (sql_functions() | table_functions(_wkt_sql, _edges_sql)).items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({params}) RETURNS {rtype} RETURN {body}")
         names.append(name)
     return names

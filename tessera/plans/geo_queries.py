@@ -3,12 +3,16 @@ compaction, cell joins, point-in-polygon)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import cells as C
 from tessera.functions import geometry as G
+from tessera.functions.sqlfuncs import register_sql_functions
 from tessera.operators import polyfill as P
+from tessera.operators import tables as TB
 from tessera.operators import spatial_join as J
 from tessera.operators.sizing import materialise
 from tessera.plans.registry import register
@@ -165,6 +169,47 @@ def q_cell_uncompact(spark, sf):
     return P.uncompact(m.df, RES_TRIPS, "locationid")
 
 
+def _sql_cells(spark: SparkSession, source: DataFrame, select: str) -> DataFrame:
+    """CREATE TABLE IF NOT EXISTS ... AS ``select`` over the view {src}, with the SQL table functions."""
+    register_sql_functions(spark)
+    view, table = (f"{kind}_{uuid.uuid4().hex[:10]}" for kind in ("src", "cells_h3"))
+    source.createOrReplaceTempView(view)
+    out = TB.ctas_if_absent(spark, table, select.format(src=view))
+    back = materialise(out, "sql_cells", measure=False).df
+    TB.drop_if_exists(spark, table)
+    spark.catalog.dropTempView(view)
+    return back
+
+
+def _spread_airports(spark: SparkSession, sf: str) -> DataFrame:
+    """One airport's arrays are built by one task: keep the airports apart."""
+    return FX.airports_fx(spark, sf).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "LocationID")
+
+
+@register("sql_zones_cells", oracle="S")
+def q_sql_zones_cells(spark, sf):
+    """taxi_zone_explode_h3 as one SQL statement: fills in pieces, nothing shuffled."""
+    return _sql_cells(spark, FX.zones_fx(spark, sf), f"""
+        SELECT location_id AS locationid, borough, zone, c.cell
+        FROM {{src}}, LATERAL cell_polyfill_spans(the_geom, {RES_ZONES}) s, LATERAL cell_range(s.b, s.a0, s.a1, {RES_ZONES}) c""")
+
+
+@register("sql_airports_cells", oracle="S")
+def q_sql_airports_cells(spark, sf):
+    """airports_h3 as one SQL statement."""
+    return _sql_cells(spark, _spread_airports(spark, sf), f"""
+        SELECT LocationID AS locationid, c.cell FROM {{src}}, LATERAL cell_polyfill(the_geom, {RES_TRIPS}) c""")
+
+
+@register("sql_airports_cells_compacted", oracle="S")
+def q_sql_airports_cells_compacted(spark, sf):
+    """airports_h3_c as one SQL statement: the compacted array of the filled array."""
+    return _sql_cells(spark, _spread_airports(spark, sf), f"""
+        SELECT a.locationid, c.cell
+        FROM (SELECT LocationID AS locationid, cell_polyfill_array(the_geom, {RES_TRIPS}) AS cells FROM {{src}}) a,
+             LATERAL cell_compact(a.cells) c""")
+
+
 @register("cell_parent", oracle="S")
 def q_cell_parent(spark, sf):
     t = trips_cells(spark, sf, RES_TRIPS)
