@@ -159,6 +159,7 @@ firsts AS (
 SELECT t.trip_id, strftime(t.pickup_datetime, {TS}) AS pickup_datetime, t.pickup_latitude, t.pickup_longitude,
        f.pickup_borough
 FROM trips t LEFT JOIN firsts f ON f.trip_id = t.trip_id"""
+    q["join_bucketed_cells"] = q["join_cell_zone"]
     q["sql_zones_cells"] = q["zones_cells"]
     q["sql_airports_cells"] = q["cell_uncompact"]
     q["sql_airports_cells_compacted"] = q["cell_compact"]

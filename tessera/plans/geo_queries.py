@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.functions import cells as C
 from tessera.functions import geometry as G
 from tessera.functions.sqlfuncs import register_sql_functions
+from tessera.operators import bucketed as BK
 from tessera.operators import polyfill as P
 from tessera.operators import tables as TB
 from tessera.operators import spatial_join as J
@@ -283,6 +284,24 @@ def q_join_cell_zone(spark, sf):
                     "pickup_datetime", "h3index")
 
 
+@register("join_bucketed_cells", oracle="S")
+def q_join_bucketed_cells(spark, sf):
+    """join_cell_zone over stored buckets of the cell: no exchange in the join."""
+    pts = FX.trips_fx(spark, sf).select(
+        "trip_id", "pickup_longitude", "pickup_latitude", F.col("pickup_datetime").cast("string").alias("pickup_datetime"),
+        C.cell_from_lonlat(F.col("pickup_longitude"), F.col("pickup_latitude"), RES_ZONE_JOIN).alias("h3index"))
+    z = zones_geom(spark, sf)
+    cells = P.polyfill(z, "geom", RES_ZONE_JOIN, "location_id").join(z.select("location_id", "zone", "borough"), "location_id")
+    trips, zones = (f"{kind}_{uuid.uuid4().hex[:10]}" for kind in ("trips_b", "zones_b"))
+    BK.save_points(pts, "h3index", trips, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    BK.save_cells(cells, "cell", zones, trips)
+    out = materialise(BK.bucketed_cell_join(spark, trips, zones), "bucket_join", measure=False).df
+    BK.drop_points(spark, trips)
+    TB.drop_if_exists(spark, zones)
+    return out.select("zone", "borough", "trip_id", "pickup_longitude", "pickup_latitude", "pickup_datetime",
+                      F.col("cell").alias("h3index"))
+
+
 @register("cell_density", oracle="S")
 def q_cell_density(spark, sf):
     t = FX.trips_fx(spark, sf)

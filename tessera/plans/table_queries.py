@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
+from tessera.operators import quarantine as QR
 from tessera.operators import tables as TB
 from tessera.operators import trips as TR
 from tessera.operators.versioned import VersionedTable
@@ -50,6 +51,22 @@ def q_scan_csv_raw(spark, sf):
                       F.lit(",".join(dict(raw.dtypes).values())).alias("types"))
 
 
+@register("quarantine_csv", oracle="S")
+def q_quarantine_csv(spark, sf):
+    """Records in, clean, quarantined by reason, and values lost by column, of files with malformed lines."""
+    path = scratch_dir(spark, "bad_green_csv")
+    FX.write_bad_green_lines(spark, sf, path)
+    good, bad = QR.split_records(spark, path)
+    clean, _ = QR.clean_with_quarantine(spark, [path], "green")
+    one = F.count(F.lit(1)).alias("num_rows")
+    lost = QR.lost_values(good, "green")
+    lost = lost.select(F.lit("became null").alias("section"), F.col("column").alias("name"), F.col("became_null").alias("num_rows")) \
+        .unionByName(lost.select(F.lit("empty").alias("section"), F.col("column").alias("name"), F.col("empty").alias("num_rows")))
+    return (clean.agg(one).select(F.lit("records").alias("section"), F.lit("clean").alias("name"), "num_rows")
+            .unionByName(bad.groupBy(F.col("reason").alias("name")).agg(one).withColumn("section", F.lit("quarantine")))
+            .unionByName(lost).where(F.col("num_rows") > 0))
+
+
 @register("case_header_map", oracle="S")
 def q_case_header_map(spark, sf):
     """Trimmed, lower-cased headers; pass-through copies of payment and trip type."""
@@ -380,6 +397,18 @@ SELECT c.location_id, c.code, z.zone, z.borough FROM codes c JOIN zones z USING
     from tessera.plans.geo_oracle import _trips_cells_cte
     from tessera.plans.geo_queries import RES_TRIPS
     q["ctas_if_absent"] = f"WITH {O.trips_cte()},\n{_trips_cells_cte(RES_TRIPS)}\nSELECT * FROM t"
+    q["quarantine_csv"] = f"""WITH {O.trips_cte()},
+told AS (SELECT trip_id AS k, CASE WHEN trip_id % {FX.SHORT_MODULUS} = 0 THEN 'too few fields' WHEN trip_id % {FX.LONG_MODULUS} = 0
+         THEN 'too many fields' WHEN trip_id % {FX.QUOTE_MODULUS} = 0 THEN 'broken quote' END AS reason FROM trips),
+good AS (SELECT k FROM told WHERE reason IS NULL),
+counts AS (
+  SELECT 'records' AS section, 'clean' AS name, count(*) AS num_rows FROM good
+  UNION ALL SELECT 'quarantine', reason, count(*) FROM told WHERE reason IS NOT NULL GROUP BY reason
+  UNION ALL SELECT 'became null', 'passenger_count', count(*) FROM good WHERE k % 97 = 0
+  UNION ALL SELECT 'became null', 'pickup_datetime', count(*) FROM good WHERE k % 103 = 0
+  UNION ALL SELECT 'empty', 'passenger_count', count(*) FROM good WHERE k % 101 = 0 AND k % 97 <> 0
+  UNION ALL SELECT 'empty', 'ehail_fee', count(*) FROM good WHERE k % 2 = 0)
+SELECT * FROM counts WHERE num_rows > 0"""
     q["temp_view"] = (f"WITH {O.trips_cte()}\nSELECT vendor_id, count(*) AS num_trips, "
                       f"CAST(sum(passenger_count) AS BIGINT) AS num_passengers FROM trips GROUP BY vendor_id")
     q["compact_table_versions"] = f"WITH {O.trips_cte()}\nSELECT trip_id, pickup_longitude, pickup_latitude, fare_amount FROM trips"

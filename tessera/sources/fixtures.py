@@ -160,12 +160,31 @@ def _raw_values(t: DataFrame) -> DataFrame:
     )
 
 
-def trips_raw_green_fx(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips_raw_green_fx(spark: SparkSession, sf_dir: str, keep: str | None = None) -> DataFrame:
     v = _raw_values(trips_fx(spark, sf_dir))
     cols = ["v_vendor", "v_pick", "v_drop", "v_flag", "v_rate", "v_plon", "v_plat", "v_dlon",
             "v_dlat", "v_pax", "v_dist", "v_fare", "v_extra", "v_mta", "v_tip", "v_tolls",
             "v_ehail", "v_total", "v_pay", "v_ttype"]
-    return v.select(*[F.col(c).alias(h) for c, h in zip(cols, GREEN_RAW_HEADER)])
+    return v.select(*[F.col(c).alias(h) for c, h in zip(cols, GREEN_RAW_HEADER)], *([keep] if keep else []))
+
+
+# ---- fixed values: malformed lines of the file of bad rows (first that applies) ----
+SHORT_MODULUS, LONG_MODULUS, QUOTE_MODULUS = 89, 83, 79
+# -----------------------------------------------------------------------------------
+
+
+def write_bad_green_lines(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw green files as lines, some with a field less, a field more or an open quote."""
+    k = "trip_id"
+    v = trips_raw_green_fx(spark, sf_dir, keep=k)
+    cols = [F.col(f"`{c}`") for c in GREEN_RAW_HEADER]
+    short, whole = F.concat_ws(",", *cols[:-1]), F.concat_ws(",", *cols)
+    opened = F.concat_ws(",", *cols[:3], F.concat(F.lit('"'), cols[3]), *cols[4:])
+    line = (F.when(F.col(k) % SHORT_MODULUS == 0, short).when(F.col(k) % LONG_MODULUS == 0, F.concat(whole, F.lit(",?")))
+            .when(F.col(k) % QUOTE_MODULUS == 0, opened).otherwise(whole))
+    # one column without delimiters or quotes of its own: its name is the header line
+    (v.select(line.alias(",".join(GREEN_RAW_HEADER))).write.option("header", "true").option("sep", "\u0001")
+     .option("quote", "\u0000").option("ignoreTrailingWhiteSpace", "false").csv(path))
 
 
 def trips_raw_yellow_fx(spark: SparkSession, sf_dir: str, parity: int | None = None) -> DataFrame:
