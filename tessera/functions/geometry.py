@@ -15,6 +15,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.functions import projections as PJ
+
 POLYS_TYPE = "array<array<array<array<double>>>>"
 GEOM_TYPE = T.StructType([
     T.StructField("gtype", T.StringType()),
@@ -365,7 +367,7 @@ def crs_supported(crs) -> Column:
     false beside a reprojection, since those get null coordinates."""
     code = F.regexp_extract(F.upper(F.trim(_c(crs))), r"^EPSG:(\d+)$", 1)
     num = F.when(code != "", code.try_cast("int"))
-    known = num.isin(4326, 3857) | num.between(32601, 32660) | num.between(32701, 32760)
+    known = num.isin(4326, 3857) | PJ.is_conic(num) | num.between(32601, 32660) | num.between(32701, 32760)
     return F.when(_c(crs).isNotNull(), F.coalesce(known, F.lit(False)))
 
 
@@ -373,7 +375,8 @@ def st_reproject_xy(x, y, src_crs, dst_crs: str = "EPSG:4326") -> Column:
     """Reproject a coordinate pair to lon/lat (EPSG:4326).
 
     Supported sources: EPSG:4326 (identity), EPSG:3857 (spherical web mercator),
-    EPSG:326zz / 327zz (UTM north / south).  Other CRS give null.
+    EPSG:326zz / 327zz (UTM north / south) and the conic and polar codes of
+    ``projections``.  Other CRS give null.
     """
     if dst_crs.upper() != "EPSG:4326":
         raise ValueError("only EPSG:4326 is supported as target")
@@ -389,7 +392,9 @@ def st_reproject_xy(x, y, src_crs, dst_crs: str = "EPSG:4326") -> Column:
     mlat = F.degrees(F.atan(F.sinh(y / F.lit(WGS84_A))))
     lon = (F.when(num == 4326, x).when(num == 3857, mlon).when(is_utm_n | is_utm_s, ulon))
     lat = (F.when(num == 4326, y).when(num == 3857, mlat).when(is_utm_n | is_utm_s, ulat))
-    return F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("x"), lat.alias("y")))
+    conic = PJ.conic_lonlat(x, y, num)
+    plain = F.when(lon.isNotNull() & lat.isNotNull(), F.struct(lon.alias("x"), lat.alias("y")))
+    return F.when(PJ.is_conic(num), F.when(conic.isNotNull(), F.struct(conic["lon"].alias("x"), conic["lat"].alias("y")))).otherwise(plain)
 
 
 def st_reproject(geom, src_crs, dst_crs: str = "EPSG:4326") -> Column:

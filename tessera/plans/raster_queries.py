@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tessera.functions import geometry as G
+from tessera.functions import projections as PJ
 from tessera.operators import raster as RS
 from tessera.plans import oracle_parts as O
 from tessera.plans.registry import register
@@ -102,6 +103,21 @@ def q_st_reproject(spark, sf):
     return s.select(*RS.TILE_KEY, F.round(ll["x"], 7).alias("lon"), F.round(ll["y"], 7).alias("lat"))
 
 
+# ---- fixed values: projected systems that hold the trips, by trip id -----------
+TRIP_CRS = (2263, 32118, 3347, 3174, 5070, 3413)
+# ---------------------------------------------------------------------------------
+
+
+@register("st_reproject_conic", oracle="S")
+def q_st_reproject_conic(spark, sf):
+    """Pickups kept in conic and polar systems, several in one column, back to lon/lat."""
+    t = FX.trips_fx(spark, sf)
+    code = F.get(F.array(*map(F.lit, TRIP_CRS)), (F.col("trip_id") % len(TRIP_CRS)).cast("int"))
+    kept = t.select("trip_id", code.alias("code"), PJ.conic_xy(F.col("pickup_longitude"), F.col("pickup_latitude"), code).alias("at"))
+    back = G.st_reproject_xy(F.col("at.x"), F.col("at.y"), F.concat(F.lit("EPSG:"), F.col("code").cast("string")))
+    return kept.withColumn("p", back).select("trip_id", "code", F.round("p.x", 6).alias("lon"), F.round("p.y", 6).alias("lat"))
+
+
 @register("vegetated_tiles", oracle="S", flagship=False)
 def q_vegetated_tiles(spark, sf):
     """Read bands, rename, centroid lon/lat, NDVI, filter on the tile sum, project."""
@@ -196,6 +212,10 @@ SELECT {key}, xmin, ymin, xmin + {O.d(FX.TILE_SIZE_M)} AS xmax, ymin + {O.d(FX.T
     lon, lat = O.utm_inverse(cx, cy, zone)
     q["st_reproject"] = w + f""", {ext}
 SELECT {key}, round({lon}, 7) AS lon, round({lat}, 7) AS lat FROM ext"""
+    codes = f"[{', '.join(map(str, TRIP_CRS))}]"
+    q["st_reproject_conic"] = f"""WITH {O.trips_cte()}
+SELECT trip_id, {codes}[CAST(trip_id % {len(TRIP_CRS)} AS INT) + 1] AS code, round(pickup_longitude, 6) AS lon,
+       round(pickup_latitude, 6) AS lat FROM trips"""
     q["vegetated_tiles"] = w + f""", {ext}
 SELECT e.scene, e.tile_col, e.tile_row, round({lon}, 7) AS lon, round({lat}, 7) AS lat,
        round(t.red_sum, 6) AS red_sum, round(t.nir_sum, 6) AS nir_sum, round(t.ndvi_sum, 6) AS ndvi_sum
