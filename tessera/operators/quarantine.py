@@ -14,7 +14,7 @@ empty ones.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import trips as TR
@@ -23,6 +23,12 @@ from tessera.operators import trips as TR
 QUOTED = r'(?<![^,])"[^"\\]*+(?:(?:\\.|"")[^"\\]*+)*+"(?=,|$)'
 
 
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with ``columns``, each computed once for a row however often later steps use it (a generator keeps the
+    optimiser from putting a column's expression into each of its uses)."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
 def split_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """(records as text columns, quarantine: file, reason, fields, line) of one file set."""
     header = spark.read.option("header", "true").csv(path).columns
@@ -32,12 +38,13 @@ def split_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]
         .otherwise(F.from_csv("value", schema, {"columnNameOfCorruptRecord": "misfit", "escape": '"'}))
     own = F.array(*map(F.lit, header))
     values = F.array(*[F.col(f"r.c{i}") for i in range(len(header))])
-    bare = F.regexp_replace("value", QUOTED, "")
-    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","))) + 1
+    bare = F.when(F.contains("value", F.lit('"')), F.regexp_replace("value", QUOTED, "")).otherwise(F.col("value"))
+    fields = F.length("bare") - F.length(F.replace(F.col("bare"), F.lit(","))) + 1
     n = len(header)
-    reason = (F.when(bare.rlike('(?<![^,])"'), "broken quote").when(fields < n, "too few fields").when(fields > n, "too many fields"))
-    told = (lines.where(F.trim("value") != "").withColumn("fields", fields).withColumn("reason", reason)
-            .withColumn("r", F.when(F.col("reason").isNull(), names))
+    reason = (F.when(F.col("bare").rlike('(?<![^,])"'), "broken quote").when(F.col("fields") < n, "too few fields")
+              .when(F.col("fields") > n, "too many fields"))
+    counted = once(once(lines.where(F.trim("value") != ""), bare=bare), fields=fields)
+    told = (once(once(counted, reason=reason), r=F.when(F.col("reason").isNull(), names))
             .withColumn("reason", F.when(F.col("r.misfit").isNotNull(), "broken quote").otherwise(F.col("reason")))
             .where(F.col("r").isNull() | ~values.eqNullSafe(own)))
     good = told.where(F.col("reason").isNull()).select(*[F.col(f"r.c{i}").alias(h) for i, h in enumerate(header)])

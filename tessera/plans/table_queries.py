@@ -60,8 +60,8 @@ def q_quarantine_csv(spark, sf):
     clean, _ = QR.clean_with_quarantine(spark, [path], "green")
     one = F.count(F.lit(1)).alias("num_rows")
     lost = QR.lost_values(good, "green")
-    lost = lost.select(F.lit("became null").alias("section"), F.col("column").alias("name"), F.col("became_null").alias("num_rows")) \
-        .unionByName(lost.select(F.lit("empty").alias("section"), F.col("column").alias("name"), F.col("empty").alias("num_rows")))
+    lost = lost.select(F.inline(F.array(*[F.struct(F.lit(section).alias("section"), F.col("column").alias("name"), F.col(c).alias("num_rows"))
+                                          for section, c in (("became null", "became_null"), ("empty", "empty"))])))
     return (clean.agg(one).select(F.lit("records").alias("section"), F.lit("clean").alias("name"), "num_rows")
             .unionByName(bad.groupBy(F.col("reason").alias("name")).agg(one).withColumn("section", F.lit("quarantine")))
             .unionByName(lost).where(F.col("num_rows") > 0))

@@ -44,3 +44,11 @@ def test_a_long_field(spark, tmp_path):
     long = '"' + 'x""y,' * 50_000 + '"'
     good, bad = QR.split_records(spark, _write(tmp_path / "j", [HEADER, f"{long},2,3", f"{long},2"]))
     assert good.count() == 1 and [r.reason for r in bad.collect()] == ["too few fields"]
+
+
+def test_each_line_is_parsed_once(spark, tmp_path):
+    """Every use of a parsed column must not parse the line again."""
+    path = _write(tmp_path / "k", [",".join(f"h{i}" for i in range(20)), ",".join("v" * 20)])
+    for df in QR.split_records(spark, path):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("from_csv(") == 2 and plan.count("regexp_replace(") == 1      # one branch of two runs in a line
