@@ -248,9 +248,7 @@ def q_clean_trips_vintages(spark, sf):
 @register("peek_text", oracle="S")
 def q_peek_text(spark, sf):
     """The first line of every file is its header; the head of a text file is asked for."""
-    path = scratch_dir(spark, "head")
-    FX.trips_raw_green_fx(spark, sf).orderBy("VendorID").coalesce(1).write.option("header", "true").csv(path)
-    return RD.peek_text(spark, path, 1)
+    return RD.peek_text(spark, _write_raw(spark, sf, "green"), 1)
 
 
 @register("list_files", oracle="S")

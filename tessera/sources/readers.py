@@ -77,8 +77,16 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def peek_text(spark: SparkSession, path: str, n: int = 5) -> DataFrame:
-    """First ``n`` lines of a text file (``head``); the limit is the feature."""
-    return spark.read.text(path).limit(n)
+    """First ``n`` lines of a text file (``head``); the limit is the feature.
+
+    Of a folder, the files are taken in the order of their paths.  Each file that is not empty has a line, so only
+    the first ``n`` of them are read, and lines go by their place, as a later part of a split file may come first.
+    """
+    heads = [r["path"] for r in list_files(spark, path).where(F.col("length") > 0).orderBy("path").limit(n).collect()]
+    lines = spark.read.text(heads or path)
+    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+             F.monotonically_increasing_id().alias("at")]
+    return lines.select("value", *place).orderBy("file", "start", "at").limit(n).select("value")
 
 
 def sql_on_path(spark: SparkSession, fmt: str, path: str, select: str = "*") -> DataFrame:

@@ -5,10 +5,12 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tessera import session
 from tessera.operators import raster as RS
 from tessera.operators import tables as TB
 from tessera.operators import trips as TR
 from tessera.plans import raster_queries as RQ
+from tessera.plans import table_queries as TQ
 from tessera.session import scratch_dir
 from tessera.sources import fixtures as FX
 from tessera.sources import readers as RD
@@ -118,6 +120,38 @@ def test_compaction_of_files_lowers_their_number(spark):
     assert out.count() == spark.read.parquet(src).count()
 
 
+def test_peeked_lines_are_the_head_of_the_first_files(spark, tmp_path):
+    """Files in the order of their paths, whatever their sizes and however they are split."""
+    (tmp_path / "a.txt").write_text("")
+    (tmp_path / "b.txt").write_text("b0\n\nb2\n")
+    (tmp_path / "c.txt").write_text("".join(f"c{i}\n" for i in range(5000)))
+    (tmp_path / "d.txt").write_text("".join(f"d{i}\n" for i in range(9000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500")
+    try:
+        for n, want in ((1, ["b0"]), (5, ["b0", "", "b2", "c0", "c1"]), (900, ["b0", "", "b2", *(f"c{i}" for i in range(897))])):
+            got = RD.peek_text(spark, str(tmp_path), n)
+            assert got.columns == ["value"] and [r[0] for r in got.collect()] == want
+        assert [r[0] for r in RD.peek_text(spark, str(tmp_path / "d.txt"), 2).collect()] == ["d0", "d1"]
+        assert RD.peek_text(spark, str(tmp_path / "a.txt")).collect() == []
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_the_peeked_files_are_written_by_as_many_tasks_as_read_the_trips(spark, tmp_path):
+    spark.read.parquet(f"{SF_SMALL}/orders.parquet").repartition(3).write.parquet(str(tmp_path / "orders.parquet"))
+    before, conf = set(session._MADE), "spark.sql.files.openCostInBytes"
+    cost = spark.conf.get(conf)
+    spark.conf.set(conf, str(1 << 30))                                      # a task for each file
+    try:
+        head = TQ.q_peek_text(spark, str(tmp_path))
+        assert [r[0] for r in head.collect()] == [",".join(h.strip() for h in FX.GREEN_RAW_HEADER)]
+    finally:
+        spark.conf.set(conf, cost)
+    (path,) = session._MADE - before
+    assert RD.list_files(spark, path).count() == 3
+
+
 def test_sample_by_hash_is_the_same_under_any_partitioning(spark):
     t = FX.trips_fx(spark, SF_SMALL).select("trip_id")
     a = sorted(r[0] for r in TB.sample_by_hash(t.repartition(7), "trip_id", 0.1).collect())
