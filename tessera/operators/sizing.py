@@ -72,7 +72,7 @@ class Materialised:
         return self.df
 
 
-def _measure(df: DataFrame) -> tuple[int, int]:
+def rows_and_bytes(df: DataFrame) -> tuple[int, int]:
     """(rows, bytes) in one aggregation over the real contents."""
     row = F.lit(16)
     for f in df.schema.fields:
@@ -95,5 +95,5 @@ def materialise(df: DataFrame, name: str, partition_hint: int | None = None,
     back = spark.read.parquet(path)
     if not measure:               # intermediate that is never broadcast
         return Materialised(back, -1, -1, path)
-    rows, nbytes = _measure(back)
+    rows, nbytes = rows_and_bytes(back)
     return Materialised(back, rows, nbytes, path)

@@ -9,9 +9,12 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.operators.sizing import rows_and_bytes
 from tessera.sources.readers import list_files
 
 DEFAULT_TARGET_FILE_BYTES = 128 * 1024 * 1024
+# bytes of rows that one task of a compaction sorts
+DEFAULT_SORT_BYTES = 256 * 1024 * 1024
 
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
@@ -63,6 +66,23 @@ def sample_by_hash(df: DataFrame, key: str, fraction: float, seed: int = 42) ->
     return df.where(h < int(fraction * (1 << 32)))
 
 
+def file_bytes(spark: SparkSession, path: str) -> int:
+    """Summed file sizes of a table (a metadata listing, no data read)."""
+    return list_files(spark, path).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
+def split_by_range(df: DataFrame, key: str, nbytes: int, target_bytes: int, sort_bytes: int) -> DataFrame:
+    """``df`` range-partitioned on ``key`` and sorted, for files of about ``target_bytes`` (``nbytes`` are those of the
+    table's files).
+
+    A task sorts about ``sort_bytes`` of rows and no more, so rows that are stored in much fewer bytes than they
+    take in memory come in more and smaller files.  Rows of one key may be dealt to several tasks.
+    """
+    n = max(1, math.ceil(nbytes / target_bytes), math.ceil(rows_and_bytes(df)[1] / sort_bytes))
+    dealt = df.withColumn("__tie", F.monotonically_increasing_id()).repartitionByRange(n, key, "__tie").drop("__tie")
+    return dealt.sortWithinPartitions(key)
+
+
 def compact_files(spark: SparkSession, src: str, dst: str, order_by: str | None = None,
                   target_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> DataFrame:
     """Rewrite a parquet table with few large files (the content is unchanged).

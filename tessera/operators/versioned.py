@@ -12,14 +12,12 @@ let a box filter skip the rest.
 
 from __future__ import annotations
 
-import math
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators.tables import DEFAULT_TARGET_FILE_BYTES
-from tessera.sources.readers import list_files
+from tessera.operators.tables import DEFAULT_SORT_BYTES, DEFAULT_TARGET_FILE_BYTES, file_bytes, split_by_range
 
 HILBERT_BITS = 16
 
@@ -101,13 +99,11 @@ class VersionedTable:
         kinds[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
         files.rename(fresh, self._at(f"{self.path}/CURRENT"), kinds)
 
-    def compact(self, x: str, y: str, target_bytes: int = DEFAULT_TARGET_FILE_BYTES, options: dict[str, str] | None = None) -> str:
-        """Rewrite the current version in the order of the curve, in files of about ``target_bytes``."""
-        old = f"{self.path}/{self.current()}"
-        total = list_files(self.spark, old).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-        n = max(1, math.ceil(total / target_bytes))
-        df = self.read()
-        rows = with_hilbert(df, x, y, "__h").repartitionByRange(n, "__h").sortWithinPartitions("__h").drop("__h")
+    def compact(self, x: str, y: str, target_bytes: int = DEFAULT_TARGET_FILE_BYTES, options: dict[str, str] | None = None,
+                sort_bytes: int = DEFAULT_SORT_BYTES) -> str:
+        """Rewrite the current version in the order of the curve, in files of about ``target_bytes`` (``split_by_range``)."""
+        total = file_bytes(self.spark, f"{self.path}/{self.current()}")
+        rows = split_by_range(with_hilbert(self.read(), x, y, "__h"), "__h", total, target_bytes, sort_bytes).drop("__h")
         return self.write(rows, options)
 
     def drop_old(self, keep: int = 1) -> list[str]:

@@ -54,6 +54,17 @@ def test_compaction_keeps_the_rows_and_reads_fewer_row_groups(spark, table):
     assert table.read().count() == 40_000
 
 
+def test_a_compaction_splits_what_one_task_sorts(spark, tmp_path):
+    """300 MB of rows at one place, stored in a few kB: not all of them in one task."""
+    t = VersionedTable(spark, str(tmp_path / "wide"))
+    rows = spark.range(0, 3000, 1, 4).select("id", F.lit(1.0).alias("lon"), F.lit(2.0).alias("lat"), F.repeat(F.lit("x"), F.lit(100_000)).alias("t"))
+    t.write(rows)
+    t.compact("lon", "lat")
+    sizes = [r["n"] for r in t.read().groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 2 and sum(sizes) == 3000 and max(sizes) < 2000
+    assert t.read().agg(F.count_distinct("id"), F.sum(F.length("t"))).first() == (3000, 300_000_000)
+
+
 def test_a_failed_rewrite_leaves_the_current_version(spark, table):
     first = table.current()
     bad = table.read().withColumn("id", F.when(F.col("id") == 39_999, F.raise_error(F.lit("stopped")).cast("long")).otherwise(F.col("id")))
