@@ -84,18 +84,15 @@ def split_by_range(df: DataFrame, key: str, nbytes: int, target_bytes: int, sort
 
 
 def compact_files(spark: SparkSession, src: str, dst: str, order_by: str | None = None,
-                  target_bytes: int = DEFAULT_TARGET_FILE_BYTES) -> DataFrame:
+                  target_bytes: int = DEFAULT_TARGET_FILE_BYTES, sort_bytes: int = DEFAULT_SORT_BYTES) -> DataFrame:
     """Rewrite a parquet table with few large files (the content is unchanged).
 
-    The file count comes from the summed file sizes (a metadata listing, no data
-    read); ``order_by`` range-partitions the rewrite so parquet min/max
-    statistics let later filters skip row groups.
+    The file count comes from the summed file sizes; ``order_by`` range-partitions the
+    rewrite so parquet min/max statistics let later filters skip row groups, and then
+    the bytes of the rows count too (see ``split_by_range``).
     """
-    total = list_files(spark, src).agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    n = max(1, math.ceil(total / target_bytes))
+    total = file_bytes(spark, src)
     df = spark.read.parquet(src)
-    out = df.repartitionByRange(n, order_by) if order_by else df.repartition(n)
-    if order_by:
-        out = out.sortWithinPartitions(order_by)
+    out = split_by_range(df, order_by, total, target_bytes, sort_bytes) if order_by else df.repartition(max(1, math.ceil(total / target_bytes)))
     out.write.mode("overwrite").parquet(dst)
     return spark.read.parquet(dst)

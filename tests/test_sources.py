@@ -120,6 +120,17 @@ def test_compaction_of_files_lowers_their_number(spark):
     assert out.count() == spark.read.parquet(src).count()
 
 
+def test_compaction_splits_what_one_task_sorts(spark):
+    """300 MB of rows of one key, stored in a few kB: not all of them in one task."""
+    src = scratch_dir(spark, "wide")
+    rows = spark.range(0, 3000, 1, 4).select("id", F.lit(1).alias("k"), F.repeat(F.lit("x"), F.lit(100_000)).alias("t"))
+    rows.write.parquet(src)
+    out = TB.compact_files(spark, src, scratch_dir(spark, "split"), order_by="k")
+    sizes = [r["n"] for r in out.groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 2 and sum(sizes) == 3000 and max(sizes) < 2000
+    assert out.agg(F.count_distinct("id"), F.sum(F.length("t"))).first() == (3000, 300_000_000)
+
+
 def test_peeked_lines_are_the_head_of_the_first_files(spark, tmp_path):
     """Files in the order of their paths, whatever their sizes and however they are split."""
     (tmp_path / "a.txt").write_text("")
