@@ -69,12 +69,12 @@ def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[bytes
         ids = b.column(0).to_pylist()
         col = b.column(1)
         lo, size = 0, 0
-        lens = pc.binary_length(col).to_pylist()
+        lens = pc.fill_null(pc.binary_length(col), 0).to_pylist()
         for i, n in enumerate(lens):
             if i > lo and size + n > PIECE_BYTES:
                 yield ids[lo:i], utf8(col.slice(lo, i - lo))
                 lo, size = i, 0
-            size += n or 0
+            size += n
         if lo < len(ids):
             yield ids[lo:], utf8(col.slice(lo))
 

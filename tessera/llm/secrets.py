@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import keyed_texts, text_map
+from tessera.llm.common import keyed_texts, pieces, text_map
 from tessera.session import ship_package
 
 KINDS = ("assign", "access", "hex", "literal")
@@ -233,7 +233,9 @@ def redact_secrets(docs: DataFrame) -> DataFrame:
 
     @arrow_udf(T.StringType())
     def cleaned(text: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else redact(t) for t in text.to_pylist()], pa.string())
+        batch = pa.RecordBatch.from_arrays([pa.nulls(len(text)), text], names=["i", "t"])
+        parts = [pa.array([None if t is None else redact(t.decode()) for t in texts], pa.string()) for _, texts in pieces([batch])]
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
     out = docs.withColumn("text", cleaned(F.col("text").cast("string")))
     if "n_chars" in docs.columns:

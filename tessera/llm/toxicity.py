@@ -22,6 +22,7 @@ there are no labels); repeated rows get equal scores; other columns are not read
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf
 
-from tessera.llm.common import PIECE_BYTES, WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, utf8, words_of
+from tessera.llm.common import PIECE_BYTES, WORDLIKE, keyed_texts, mix, pieces, range_hashes, read_table, sampled, words_of
 from tessera.session import ship_package
 
 WINDOW, STRIDE = 16, 8
@@ -194,7 +195,7 @@ class Net:
         return g, dx
 
 
-def _parts(texts: list[bytes]):
+def _parts(texts: Iterable[bytes]):
     """Texts in lists of about PIECE_BYTES."""
     part, size = [], 0
     for t in texts:
@@ -208,33 +209,37 @@ def _parts(texts: list[bytes]):
 
 
 class Encoded:
-    """Texts as distinct words, their n-grams and windows."""
+    """Texts as distinct words, their n-grams and windows.  The texts are read once, a part at
+    a time, and not held."""
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: Iterable[bytes]):
         hashes, words, grams, first, known = [], [], [], [np.zeros(1, np.int64)], 0
+        seen = np.zeros(0, np.uint64)
         for part in _parts(texts):
             buf, s, e, h, own = words_of(part, WORDLIKE)
             us, ue, uh, word = unique_words(buf, s, e, h)
-            who, gid = gram_ids(buf, us, ue)
+            new = np.flatnonzero(~np.isin(uh, seen))           # one set of n-grams for each distinct word
+            who, gid = gram_ids(buf, us[new], ue[new])
             words.append((word + known).astype(np.int32))
-            grams.append((who + np.int32(known), gid))
+            grams.append(((new[who] + known).astype(np.int32), gid))
             hashes.append(uh)
+            seen = np.concatenate([seen, uh[new]])
             first.append(own[1:] + first[-1][-1])
             known += len(uh)
-        uh, at, number = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_index=True, return_inverse=True)
+        uh, number = np.unique(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), return_inverse=True)
+        number = number.astype(np.int32)
         self.wid = (uh % np.uint64(WORD_BUCKETS)).astype(np.int64)
-        self.word = number[np.concatenate(words)].astype(np.int32) if words else np.zeros(0, np.int32)
-        kept = np.zeros(known, dtype=bool)                     # one set of n-grams for each distinct word
-        kept[at] = True
-        grams = [(number[w[kept[w]]].astype(np.int32), g[kept[w]]) for w, g in grams]
-        self.who = np.concatenate([g[0] for g in grams]) if grams else np.zeros(0, np.int32)
+        self.word = np.concatenate([number[w] for w in words]) if words else np.zeros(0, np.int32)
+        self.who = np.concatenate([number[g[0]] for g in grams]) if grams else np.zeros(0, np.int32)
         self.gid = np.concatenate([g[1] for g in grams]) if grams else np.zeros(0, np.int32)
         self.first = np.concatenate(first)
-        self.idx, self.text, self.before = windows(self.first)
-        empty = self.idx < 0
-        if len(self.word):
-            self.idx = self.word[np.maximum(self.idx, 0)]
-        self.idx[empty] = len(uh)
+        self.idx, self.before = windows(self.first)[::2]
+        for lo in range(0, len(self.idx), 4096):               # word positions become words, in place
+            step = self.idx[lo:lo + 4096]
+            empty = step < 0
+            if len(self.word):
+                step[:] = self.word[np.maximum(step, 0)]
+            step[empty] = len(uh)
 
     def logits(self, net: Net, block: int = 4096) -> np.ndarray:
         x = net.inputs(self.wid, self.who, self.gid, len(self.wid))
@@ -250,38 +255,24 @@ def best_windows(logit: np.ndarray, before: np.ndarray) -> np.ndarray:
     return np.stack([top, second], axis=1)
 
 
-def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, seed: int = 7, rounds: int = 3,
+def train(rows: Iterable[tuple[int, bytes]], totals: dict[int, int] | None = None, seed: int = 7, rounds: int = 3,
           epochs: int = 3, batch: int = 256, rate: float = 0.01) -> Net:
     """Fit the network to (label, text) rows; see the module text.  ``totals`` holds how many
     rows each label has in all, so that the scores are calibrated to the true shares."""
     rng = np.random.default_rng(seed)
     net = Net.fresh(rng)
-    y = np.array([r[0] for r in rows])
-    if len(y) == 0 or y.min() == y.max():
-        net.constant = float(y.mean()) if len(y) else 0.0
+    label: list[int] = []
+    enc = Encoded(t for k, t in rows if not label.append(k))
+    y, n = np.array(label), len(label)
+    if n == 0 or y.min() == y.max():
+        net.constant = float(y.mean()) if n else 0.0
         return net
-    enc = Encoded([r[1] for r in rows])
-    n = len(rows)
-    # log-odds of words and n-grams over texts
-    text_of = np.repeat(np.arange(n), np.diff(enc.first))
-    pairs = np.unique(text_of * (len(enc.wid) + 1) + enc.word)
-    t, u = pairs // (len(enc.wid) + 1), pairs % (len(enc.wid) + 1)
-    odds_w = _log_odds(*[np.bincount(enc.wid[u[y[t] == k]], minlength=WORD_BUCKETS) for k in (1, 0)], y)
-    order = np.argsort(enc.who, kind="stable")
-    gid, start = enc.gid[order], np.searchsorted(enc.who[order], np.arange(len(enc.wid) + 1))
-    held = np.zeros((2, GRAM_BUCKETS))                  # texts of each label that hold an n-gram
-    ends = np.searchsorted(t, np.arange(0, n + 200, 200))
-    for lo, hi in zip(ends, ends[1:], strict=False):    # 200 texts at a time
-        count = np.diff(start)[u[lo:hi]]
-        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start[:-1][u[lo:hi]], count)
-        tg = np.unique(np.repeat(t[lo:hi], count) * GRAM_BUCKETS + gid[at])
-        for k in (0, 1):
-            held[k] += np.bincount(tg[y[tg // GRAM_BUCKETS] == k] % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
-    odds_g = _log_odds(held[1], held[0], y)
+    odds_w, odds_g = _class_odds(enc, y)
     net.words[:WORD_BUCKETS, 0] = odds_w
     net.grams[:, 0] = odds_g * 2
     x = net.inputs(enc.wid, enc.who, enc.gid, len(enc.wid))
-    guess = (x[:, 0] + x[:, DIM])[enc.idx].max(axis=1)
+    odds = x[:, 0] + x[:, DIM]
+    guess = np.concatenate([odds[enc.idx[i:i + 4096]].max(axis=1) for i in range(0, len(enc.idx), 4096)])
     state: dict = {}
     for _ in range(rounds):
         pos, neg = [], []
@@ -308,6 +299,26 @@ def train(rows: list[tuple[int, bytes]], totals: dict[int, int] | None = None, s
     return net
 
 
+def _class_odds(enc: Encoded, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-odds of the word and the n-gram buckets over texts, 200 texts at a time."""
+    order = np.argsort(enc.who, kind="stable")
+    gid, start = enc.gid[order], np.searchsorted(enc.who[order], np.arange(len(enc.wid) + 1))
+    del order
+    size = np.diff(start)
+    word, gram = np.zeros((2, WORD_BUCKETS)), np.zeros((2, GRAM_BUCKETS))  # texts of each label that hold one
+    for lo in range(0, len(y), 200):
+        first = enc.first[lo:lo + 201]
+        text_of = np.repeat(np.arange(lo, lo + len(first) - 1), np.diff(first))
+        t, u = np.divmod(np.unique(text_of * (len(enc.wid) + 1) + enc.word[first[0]:first[-1]]), len(enc.wid) + 1)
+        count = size[u]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(start[:-1][u], count)
+        tg = np.unique(np.repeat(t, count) * GRAM_BUCKETS + gid[at])
+        for k in (0, 1):
+            word[k] += np.bincount(enc.wid[u[y[t] == k]], minlength=WORD_BUCKETS)
+            gram[k] += np.bincount(tg[y[tg // GRAM_BUCKETS] == k] % GRAM_BUCKETS, minlength=GRAM_BUCKETS)
+    return _log_odds(word[1], word[0], y), _log_odds(gram[1], gram[0], y)
+
+
 def _log_odds(a, b, y):
     """Smoothed log-odds of buckets met in a texts of label 1 and b of label 0 (0 if never met)."""
     odds = np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / ((1 - y).sum() + 1))
@@ -379,7 +390,7 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, keep, seed: int
     rows, totals = sampled(spark, docs, labels, "toxic", keep, TRAIN_DOCS, TRAIN_CHARS)
 
     def run(batches):
-        own = [(y, t) for b in batches for y, t in zip(b.column(0).to_pylist(), utf8(b.column(1)), strict=True)]
+        own = ((y, t) for b in batches for ys, ts in pieces([b]) for y, t in zip(ys, ts, strict=True))
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(own, totals, seed))], pa.binary())], names=["net"])
 
     found = rows.mapInArrow(run, "net binary").first()     # none without partitions

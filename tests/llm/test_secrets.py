@@ -98,3 +98,10 @@ def test_awkward_rows(spark, awkward, no_documents):
     out = S.redact_secrets(awkward)
     assert out.columns == awkward.columns and out.count() == awkward.count()
     assert out.where("doc_id = 2").first()["text"] is None
+
+
+def test_redaction_of_batches_of_several_pieces_with_null_texts(spark):
+    texts = ["password=hunter2secret " + "plain words " * 30_000, None, None, "", "plain " * 60_000 + "token: abcdefgh1234", "calm"] * 2
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r["text"] for r in S.redact_secrets(docs).collect()}
+    assert got == {k: None if t is None else S.redact(t) for k, t in enumerate(texts)}

@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -56,6 +57,27 @@ def test_score_does_not_depend_on_the_piece():
     assert together[1:20:2].min() > together[0:20:2].max()
 
 
+def test_training_holds_no_texts_and_few_bytes_for_one_of_text():
+    words = [b"%s%d" % (w, k) for k in range(1500) for w in (b"harmless", b"meadow", b"gardener")]
+    rng = np.random.default_rng(3)
+    n, size = 700, 0
+
+    def rows():
+        nonlocal size
+        for k in range(n):
+            text = b" ".join(words[i] for i in rng.integers(0, len(words), 800))
+            size += len(text)
+            yield k % 2, text
+
+    tracemalloc.start()
+    try:
+        net = X.train(rows(), rounds=0)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert net.constant is None and peak < 12 * size     # 13.5 when all temporary arrays lived on
+
+
 @pytest.fixture(scope="module")
 def scored(spark):
     rows = X.toxicity_query(spark, SF).collect()
