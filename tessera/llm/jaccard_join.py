@@ -13,12 +13,13 @@ when 100 * intersection >= ``PERCENT`` * union.  Steps:
    histogram of set sizes; sets just below it post to the lists too, so that pairs across
    the boundary meet there;
 4. all sets of a list (or of a subset) form a group named by its smallest doc_id.  A group is
-   cut into blocks of at most ``BLOCK`` documents and every pair of blocks is a task.  A first
+   cut into blocks of about ``BLOCK`` documents and every pair of blocks is a task.  A first
    task compares sizes and counts of shingles in ``CELLS`` hash cells, which bound the overlap
    from above, and splits the group into the parts that may still hold links;
 5. only the documents of these parts send their texts, and in a task for every pair of blocks
-   of a part the overlaps are counted exactly; documents already known to be connected are
-   not compared again.  The task returns a spanning forest of the links it found;
+   (here of about ``BLOCK_SHINGLES`` shingles at most) of a part the overlaps are counted exactly;
+   a task turns its texts into sets a piece at a time, and documents already known to be connected
+   are not compared again.  The task returns a spanning forest of the links it found;
 6. connected components over the forests name the groups of linked documents.
 
 No list is ever cut short, and equal texts never multiply into pairs.
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import NOT_SPACE, connected_components, groups_of, keyed_texts, lists, mix, text_map, words_of
+from tessera.llm.common import NOT_SPACE, connected_components, groups_of, keyed_texts, lists, mix, pieces, text_map, words_of
 from tessera.operators.sizing import materialise
 
 GRAM, PERCENT = 4, 85
@@ -46,6 +47,9 @@ GRAM, PERCENT = 4, 85
 K = 2
 #: Documents of a group that meet in one task (two blocks of them).
 BLOCK = 512
+#: Shingles of a block where they are counted exactly: long documents meet in smaller blocks,
+#: so that a task's memory does not follow their lengths.
+BLOCK_SHINGLES = 400_000
 #: Hash cells of the overlap bound; a count that means "this many or more".
 CELLS, FULL_CELL = 256, 65535
 #: Measured bytes up to which the tasks of the candidate documents are broadcast to the texts;
@@ -99,19 +103,22 @@ def frequent_shingles(docs: DataFrame, gram: int, limit: int = FREQUENT) -> np.n
         return trim(keys, np.bincount(inv, weights=np.concatenate([p[1] for p in parts])).astype(np.int64))
 
     def run(batches):
-        from tessera.llm.common import pieces
         have, waiting, size = (np.zeros(0, np.uint64), np.zeros(0, np.int64)), [], 0
 
         def fold():
-            keys, counts = np.unique(np.concatenate(waiting), return_counts=True)
+            keys = np.concatenate(waiting)
+            waiting.clear()
+            keys.sort()                   # in place: np.unique would hold several copies
+            first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])[:len(keys)])
+            counts = np.diff(np.append(first, len(keys)))
             some = counts > 1             # among so many texts a frequent shingle repeats
-            return merge([have, (keys[some], counts[some].astype(np.int64))])
+            return merge([have, (keys[first[some]], counts[some])])
 
         for _, texts in pieces(batches):
             waiting.append(shingle_sets(texts, gram)[0])
             size += len(waiting[-1])
             if size > 40 * limit:
-                have, waiting, size = fold(), [], 0
+                have, size = fold(), 0
         if waiting:
             have = fold()
         yield pa.RecordBatch.from_arrays([pa.array(have[0].view(np.int64)), pa.array(have[1])], names=["g", "n"])
@@ -195,10 +202,14 @@ def forest(ids: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: in
     that it may link with is in another component."""
     n = len(ids)
     size = np.diff(offsets)
-    keys, inv = np.unique(values, return_inverse=True)
-    owner = np.repeat(np.arange(n), size)
-    order = np.argsort(inv, kind="stable")
-    post, start = owner[order], np.searchsorted(inv[order], np.arange(len(keys) + 1))
+    order = np.argsort(values, kind="stable")
+    new = np.ones(len(order), dtype=bool)
+    new[1:] = values[order[1:]] != values[order[:-1]]
+    start = np.append(np.flatnonzero(new), len(order))
+    inv = np.empty(len(order), dtype=np.int32)          # a block has far fewer than 2**31 shingles
+    inv[order] = np.cumsum(new, dtype=np.int32) - 1
+    post = np.repeat(np.arange(n, dtype=np.int32), size)[order]
+    del order, new
     root = np.arange(n)
     links = []
     todo = np.argsort(-size, kind="stable")
@@ -231,12 +242,16 @@ def forest(ids: np.ndarray, values: np.ndarray, offsets: np.ndarray, percent: in
 TASK = ["leader", "i", "j"]
 
 
-def block_tasks(groups: DataFrame) -> DataFrame:
+def block_tasks(groups: DataFrame, shingles: int | None = None) -> DataFrame:
     """(leader, i, j, block, doc_id): every document of a group in a task for each pair of its
-    block with a block of the group."""
-    sized = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("members"))
+    block with a block of the group.  With ``shingles`` a block holds about so many at most, by
+    the sizes ``n`` of the documents."""
+    members = F.count(F.lit(1))
+    many = members / F.lit(BLOCK)
+    if shingles:
+        many = F.greatest(many, F.least(members, F.sum("n") / F.lit(shingles)))
+    sized = groups.groupBy("leader").agg(F.ceil(many).cast("int").alias("blocks"))
     spot = (groups.join(sized, "leader")
-            .withColumn("blocks", F.ceil(F.col("members") / F.lit(BLOCK)).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int")))
     return (spot.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("leader", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "doc_id"))
@@ -248,8 +263,8 @@ def across(table: pa.Table) -> np.ndarray | None:
 
 
 def narrowed(groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """(leader, doc_id): the groups split into parts that may hold links, by an upper bound of the
-    overlaps; a part is named by its smallest doc_id."""
+    """(leader, doc_id, n): the groups split into parts that may hold links, by an upper bound of the
+    overlaps; a part is named by its smallest doc_id, n is the size of the set."""
     rows = (block_tasks(groups).join(reps.select("doc_id", "n", "cells"), "doc_id")
             .repartition(*TASK).sortWithinPartitions(*TASK, "n"))
 
@@ -275,15 +290,46 @@ def narrowed(groups: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
             part, size = np.unique(root, return_counts=True)
             lead = np.array([ids[root == r].min() for r in part[size > 1]], dtype=np.int64)
             for r, name in zip(part[size > 1], lead, strict=True):
-                own = ids[root == r]
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), name)), pa.array(own)], names=["leader", "doc_id"])
-
-    return rows.mapInArrow(run, "leader long, doc_id long").distinct()
+                own = root == r
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(own.sum(), name)), pa.array(ids[own]), pa.array(n[own])],
+                                                 names=["leader", "doc_id", "n"])
+
+    return rows.mapInArrow(run, "leader long, doc_id long, n long").groupBy("leader", "doc_id").agg(F.max("n").alias("n"))
+
+
+def task_sets(batches, gram: int):
+    """Of each task of sorted batches: the doc_ids, sorted shingles and offsets, and the block of
+    each document when only pairs across two blocks are due.  Texts become sets a piece at a
+    time, so that a task holds its sets and one batch of texts."""
+    key, rows, sets = None, [], []
+
+    def joined():
+        ids, block = (np.concatenate(x) for x in zip(*rows, strict=True))
+        values, sizes = (np.concatenate(x) for x in zip(*sets, strict=True))
+        return ids, values, np.append(0, np.cumsum(sizes)), None if key[1] == key[2] else block
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        task = np.stack([b.column(k).to_numpy() for k in TASK])
+        cut = [0, *(np.flatnonzero((task[:, 1:] != task[:, :-1]).any(axis=0)) + 1).tolist(), b.num_rows]
+        for s, e in zip(cut, cut[1:], strict=False):
+            name = tuple(task[:, s].tolist())
+            if rows and name != key:
+                yield joined()
+                rows, sets = [], []
+            key, part = name, b.slice(s, e - s)
+            rows.append(tuple(np.array(part.column(k)) for k in ("doc_id", "block")))
+            for _, texts in pieces([part.select(["doc_id", "text"])]):
+                values, offsets = shingle_sets(texts, gram)
+                sets.append((values, np.diff(offsets)))
+    if rows:
+        yield joined()
 
 
 def verified_links(groups: DataFrame, docs: DataFrame, gram: int, percent: int) -> DataFrame:
     """(a, b): enough links between the documents of each group to connect what is linked."""
-    wanted = (block_tasks(groups).groupBy("doc_id")
+    wanted = (block_tasks(groups, BLOCK_SHINGLES).groupBy("doc_id")
               .agg(F.collect_list(F.struct("leader", "i", "j", "block")).alias("tasks")))
     tasks = materialise(wanted, "jaccard-tasks")
     side = F.broadcast(tasks.df) if tasks.bytes() <= BROADCAST_BYTES else tasks.df
@@ -291,9 +337,8 @@ def verified_links(groups: DataFrame, docs: DataFrame, gram: int, percent: int)
             .select("t.*", "doc_id", "text").repartition(*TASK).sortWithinPartitions(*TASK, "doc_id"))
 
     def run(batches):
-        for t in groups_of(batches, TASK):
-            values, offsets = shingle_sets(t.column("text").cast(pa.large_binary()).to_pylist(), gram)
-            links = forest(t.column("doc_id").to_numpy(), values, offsets, percent, across(t))
+        for ids, values, offsets, block in task_sets(batches, gram):
+            links = forest(ids, values, offsets, percent, block)
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
     return sent.mapInArrow(run, "a long, b long")

@@ -14,6 +14,10 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+#: Bytes of a batch of rows on its way to a Python worker.
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _LOCAL_CONF = {
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
@@ -75,14 +79,24 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Rows go to Python workers in batches of about BATCH_BYTES, unless the session has its own
+    limit: with Spark's 64 MB a batch of wide rows takes several times as much, in the executor's
+    JVM outside its heap and in the worker, for each core."""
+    if spark.conf.get(_BATCH_CONF, None) is None:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Make ``tessera`` importable in executor Python workers (once per session).
+    """Make ``tessera`` importable in executor Python workers (once per session), and see that
+    these get small batches.
 
     Needed where Python code runs on executors by reference (the shapefile data
     source, the shapefile writer); zips the package on the driver and hands it to
     ``SparkContext.addPyFile``, which distributes it with the job.
     """
     import zipfile
+    small_batches(spark)
     sc = spark.sparkContext
     if spark.conf.get("tessera.shipped", "false") == "true":
         return

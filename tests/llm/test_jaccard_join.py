@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import jaccard_join as J
@@ -77,6 +78,60 @@ def test_blocks_of_a_large_group_give_the_same(spark, monkeypatch):
     assert result(J.jaccard_components(df, 5, 80)) == brute(rows, 5, 80)
 
 
+@pytest.mark.parametrize("shingles", [1, 60])
+def test_blocks_of_long_documents_give_the_same(spark, monkeypatch, shingles):
+    monkeypatch.setattr(J, "BLOCK_SHINGLES", shingles)
+    rows = near_copies(3, 120)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    assert result(J.jaccard_components(df, 5, 80)) == brute(rows, 5, 80)
+
+
+def test_long_documents_meet_in_blocks_of_few_shingles(spark):
+    sizes = {d: 1000 for d in range(60)} | {100: 10**9, 101: 10**9, 102: 1}
+    groups = spark.createDataFrame([(min(60, d) // 60 * 100, d, n) for d, n in sizes.items()], "leader long, doc_id long, n long")
+    tasks = {}
+    for r in J.block_tasks(groups, 10_000).collect():
+        tasks.setdefault((r["leader"], r["i"], r["j"]), []).append(r["doc_id"])
+    assert max(sum(sizes[d] for d in t) for (leader, _, _), t in tasks.items() if leader == 0) <= 40_000
+    assert len([t for leader, *t in tasks if leader == 100]) <= 6          # no more blocks than documents
+    together = {(a, b) for t in tasks.values() for a in t for b in t}
+    assert together == {(a, b) for a in sizes for b in sizes if (a < 60) == (b < 60)}
+
+
+def test_a_task_turns_its_texts_into_sets_by_pieces(monkeypatch):
+    from tessera.llm import common
+    rows = [(leader, 0, j, d % 2, d, text) for leader, j in ((1, 0), (1, 1), (2, 0)) for d, text in near_copies(leader, 40)]
+    names = ["leader", "i", "j", "block", "doc_id", "text"]
+    table = pa.Table.from_pylist([dict(zip(names, r, strict=True)) for r in rows])
+    monkeypatch.setattr(common, "PIECE_BYTES", 2000)
+    whole, sizes = J.shingle_sets, []
+    monkeypatch.setattr(J, "shingle_sets", lambda texts, gram: sizes.append(sum(map(len, texts))) or whole(texts, gram))
+    got = list(J.task_sets(table.to_batches(max_chunksize=17), 4))
+    assert max(sizes) <= 2000
+    assert len(got) == 3
+    for (ids, values, offsets, block), (leader, j) in zip(got, ((1, 0), (1, 1), (2, 0)), strict=True):
+        own = near_copies(leader, 40)
+        v, off = whole([t.encode() for _, t in own], 4)
+        assert ids.tolist() == [d for d, _ in own]
+        assert values.tolist() == v.tolist() and offsets.tolist() == off.tolist()
+        assert block is None if j == 0 else block.tolist() == [d % 2 for d, _ in own]
+
+
+def test_python_workers_get_small_batches(spark):
+    from tessera.llm.common import text_map
+    from tessera.session import BATCH_BYTES, ship_package
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    own = spark.newSession()
+    df = own.range(0, 2000, 1, 1).selectExpr("id AS doc_id", "repeat('word ', 2000) AS text")
+    text_map(df, lambda ids, texts: {"n": [len(texts)]}, "n long")
+    sizes = [r[0] for r in df.mapInArrow(lambda bs: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in bs), "n long").collect()]
+    assert sum(sizes) >= 2000 * 10_000 and max(sizes) <= BATCH_BYTES + 20_000
+    other = spark.newSession()
+    other.conf.set(key, "123456")
+    ship_package(other)
+    assert other.conf.get(key) in ("123456", "123456b")
+
+
 def test_counts_that_are_not_known_bound_nothing(spark, monkeypatch):
     monkeypatch.setattr(J, "FULL_CELL", 1)
     rows = near_copies(2, 80)
